@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .panel import TIME_ORDER, loan_window
 
@@ -79,3 +79,61 @@ def zero_balance_events(panel: DataFrame) -> DataFrame:
         "DEFT_COST",
         "DEFT_PROCS",
     )
+
+
+def _first_struct(condition: Column, fields: list[Column], order: Sequence[str]) -> Column:
+    """The loan's earliest row meeting ``condition``, as a struct (null if none)."""
+    whole = loan_window(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return F.first(F.when(condition, F.struct(*fields)), ignorenulls=True).over(whole)
+
+
+def loan_events(panel: DataFrame, order: Sequence[str] = TIME_ORDER) -> DataFrame:
+    """E1 + E2 + E3 in one pass: one row per (loan, zero-balance row).
+
+    Equivalent to the event universe left-joined to the first modification,
+    the first 90-day delinquency and all zero-balance rows, but computed
+    in a second window over the panel's existing partitioning and order, so
+    the monthly tape is shuffled once instead of once per event table.
+    Loans with a modification or delinquency but no zero-balance row keep
+    one anchor row (their first month) with null zero-balance columns.
+    """
+    whole = loan_window(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    mod = _first_struct(F.col("MOD_FLAG") == "Y", [
+        F.col("ACT_DTE").alias("MOD_DTE"), F.col("LOAN_AGE").alias("MOD_AGE"),
+        F.col("DLQ_STATUS").alias("MOD_DLQ"), F.col("DLQ_LAG").alias("MOD_DLQ_LAG"),
+        F.col("DLQ_LAGs12").alias("MOD_DLQ_LAGs12"),
+        F.col("DLQ_NEXT12MAX").alias("MOD_POST_MAXDLQ_12"), F.col("DLQ_NEXT24MAX").alias("MOD_POST_MAXDLQ_24"),
+        F.col("ZBCODE_NEXT12").alias("MOD_POST_ZBCODE_12"), F.col("ZBCODE_NEXT24").alias("MOD_POST_ZBCODE_24"),
+    ], order)
+    f3q = _first_struct(F.col("DLQ_STATUS") > SERIOUS_DLQ, [
+        F.col("ACT_DTE").alias("F3Q_DTE"), F.col("LOAN_AGE").alias("F3Q_AGE"),
+        F.col("DLQ_LAGs12").alias("F3Q_DLQ_LAGs12"),
+        F.col("DLQ_NEXT12MAX").alias("F3Q_POST_MAXDLQ_12"), F.col("DLQ_NEXT24MAX").alias("F3Q_POST_MAXDLQ_24"),
+        F.col("ZBCODE_NEXT12").alias("F3Q_POST_ZBCODE_12"), F.col("ZBCODE_NEXT24").alias("F3Q_POST_ZBCODE_24"),
+    ], order)
+    is_zb = F.col("ZB_CODE").isNotNull()
+    zb_cols = [
+        ("ZB_CODE", F.col("ZB_CODE")), ("ZB_DTE", F.col("ZB_DTE")), ("ZB_AGE", F.col("LOAN_AGE")),
+        ("ZB_DLQ_LAGs12", F.col("DLQ_LAGs12")), ("ZB_DLQ_LAG", F.col("DLQ_LAG")),
+        ("ZB_LAST_UPB", F.col("LAST_UPB")), ("LPI_DTE", _date_or_null(panel, "LPI_DTE")),
+        ("FCC_DTE", _date_or_null(panel, "FCC_DTE")), ("DISP_DTE", _date_or_null(panel, "DISP_DTE")),
+        ("DEFT_COST", F.col("DEFT_COST")), ("DEFT_PROCS", F.col("DEFT_PROCS")),
+    ]
+    staged = panel.select(
+        "LOAN_ID",
+        mod.alias("_mod"),
+        f3q.alias("_f3q"),
+        F.count(F.col("ZB_CODE")).over(whole).alias("_n_zb"),
+        F.row_number().over(loan_window(order)).alias("_rn"),
+        is_zb.alias("_is_zb"),
+        *[c.alias(f"_zb_{n}") for n, c in zb_cols],
+    )
+    keep = F.col("_is_zb") | (
+        (F.col("_n_zb") == 0) & (F.col("_rn") == 1) & (F.col("_mod").isNotNull() | F.col("_f3q").isNotNull())
+    )
+    return staged.where(keep).select(
+        "LOAN_ID",
+        "_mod.*",
+        "_f3q.*",
+        *[F.when(F.col("_is_zb"), F.col(f"_zb_{n}")).alias(n) for n, _ in zb_cols],
+    )

@@ -19,7 +19,7 @@ from ..functions.cleaning import channel_bucket, monthly_rate, round_half_up
 from ..operators import arrays as arr
 from ..operators.clean import clean_acquisition, clean_performance, fill_defaults, keep_columns, parse_dates
 from ..operators.events import first_modification, first_serious_delinquency, zero_balance_events
-from ..operators.outcome import event_universe, loan_with, max_age, universe_outcome
+from ..operators.outcome import event_universe, loan_with, max_age
 from ..operators.schedule import (
     payment_table, scheduled_balance_at_age, schedule_long, schedule_ppmt, schedule_unmasked,
     schedule_wide, with_level_payment,
@@ -325,10 +325,13 @@ _OUTCOME_EVENTS = (f"{O.cols(O.MOD_COLS[1:], 'm.')}, {O.cols(O.F3Q_COLS[1:], 'f.
                    f"{O.cols(O.ZB_COLS[1:], 'z.')}")
 
 
-@register("loan_outcome",
-          f"SELECT {O.cols(O.LOAN_COLS, 'l.')}, {_OUTCOME_EVENTS} FROM loans l "
-          "LEFT JOIN modf m ON l.LOAN_ID = m.LOAN_ID LEFT JOIN f3q f ON l.LOAN_ID = f.LOAN_ID "
-          "LEFT JOIN zb z ON l.LOAN_ID = z.LOAN_ID ORDER BY l.LOAN_ID")
+ORACLE_SELECT_OUTCOME = (
+    f"SELECT {O.cols(O.LOAN_COLS, 'l.')}, {_OUTCOME_EVENTS} FROM loans l "
+    "LEFT JOIN modf m ON l.LOAN_ID = m.LOAN_ID LEFT JOIN f3q f ON l.LOAN_ID = f.LOAN_ID "
+    "LEFT JOIN zb z ON l.LOAN_ID = z.LOAN_ID ORDER BY l.LOAN_ID")
+
+
+@register("loan_outcome", ORACLE_SELECT_OUTCOME)
 def loan_outcome_q(spark, sf):
     return present(_level(spark, sf).outcome(ordered=True))
 
@@ -336,19 +339,29 @@ def loan_outcome_q(spark, sf):
 _UNIVERSE = ("(SELECT LOAN_ID FROM modf UNION SELECT LOAN_ID FROM f3q UNION SELECT LOAN_ID FROM zb)")
 
 
+register("loan_outcome_joins", ORACLE_SELECT_OUTCOME)(
+    lambda spark, sf: present(_level(spark, sf).outcome_by_joins(ordered=True)))
+
+
 @register("event_universe", f"SELECT LOAN_ID FROM {_UNIVERSE}")
 def event_universe_q(spark, sf):
     lvl = _level(spark, sf)
     return event_universe(lvl.first_mod, lvl.first_90d, lvl.zero_balance)
 
 
-@register("universe_outcome",
-          f"SELECT u.LOAN_ID, {_OUTCOME_EVENTS} FROM {_UNIVERSE} u "
-          "LEFT JOIN modf m ON u.LOAN_ID = m.LOAN_ID LEFT JOIN f3q f ON u.LOAN_ID = f.LOAN_ID "
-          "LEFT JOIN zb z ON u.LOAN_ID = z.LOAN_ID")
+_UNIVERSE_OUTCOME = (f"SELECT u.LOAN_ID, {_OUTCOME_EVENTS} FROM {_UNIVERSE} u "
+                     "LEFT JOIN modf m ON u.LOAN_ID = m.LOAN_ID LEFT JOIN f3q f ON u.LOAN_ID = f.LOAN_ID "
+                     "LEFT JOIN zb z ON u.LOAN_ID = z.LOAN_ID")
+
+
+@register("universe_outcome", _UNIVERSE_OUTCOME)
 def universe_outcome_q(spark, sf):
-    lvl = _level(spark, sf)
-    return present(universe_outcome(lvl.first_mod, lvl.first_90d, lvl.zero_balance))
+    # No loan tape loaded: the outcome is the event universe with its events.
+    return present(build(fnma_performance(spark, sf), None, FNMA, MONTH_COUNT).outcome())
+
+
+register("universe_outcome_joins", _UNIVERSE_OUTCOME)(
+    lambda spark, sf: present(build(fnma_performance(spark, sf), None, FNMA, MONTH_COUNT).outcome_by_joins()))
 
 
 _PWS_COLS = ", ".join(
