@@ -14,7 +14,6 @@ Spark and inlined as a literal, not collected by this code.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -170,18 +169,23 @@ def _round_cents(x: np.ndarray) -> np.ndarray:
     return np.floor(x * 100.0 + 0.5) / 100.0
 
 
-def _payment_block(ids: np.ndarray, p: np.ndarray, rate: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+def _payment_columns(p: np.ndarray, rate: np.ndarray, n: np.ndarray):
+    """Payment rows of a block of loans, loan-major, as NumPy columns.
+
+    Vectorised over the loans, sequential over months: at month k only the
+    loans whose term reaches k are updated.
+    """
     r = rate / 1200.0
     with np.errstate(divide="ignore", invalid="ignore"):
         pay = np.where(r == 0, p / n, p * (r / (1.0 - (1.0 + r) ** (-n.astype(np.float64)))))
     total = int(n.sum())
-    start = np.concatenate(([0], np.cumsum(n)[:-1])).astype(np.int64)
+    start = np.zeros(len(n), np.int64)
+    np.cumsum(n[:-1], out=start[1:])
     out_no = np.empty(total, np.int32)
     out_beg = np.empty(total)
     out_int = np.empty(total)
     out_prn = np.empty(total)
     out_end = np.empty(total)
-    out_pay = np.repeat(pay, n)
     bal = p.astype(np.float64).copy()
     active = np.arange(len(p))
     for k in range(1, int(n.max()) + 1 if len(n) else 1):
@@ -199,36 +203,44 @@ def _payment_block(ids: np.ndarray, p: np.ndarray, rate: np.ndarray, n: np.ndarr
         out_prn[pos] = applied
         out_end[pos] = end
         bal[active] = end
-    return pd.DataFrame({
-        "LOAN_ID": np.repeat(ids, n),
-        "PMT_NO": out_no,
-        "BEG_BAL": out_beg,
-        "PAYMENT": out_pay,
-        "PRINCIPAL": out_prn,
-        "INTEREST": out_int,
-        "END_BAL": out_end,
-    })
+    return out_no, out_beg, np.repeat(pay, n), out_prn, out_int, out_end
 
 
 def _payment_batches(batches):
-    for pdf in batches:
-        for lo in range(0, len(pdf), _BLOCK):
-            b = pdf.iloc[lo:lo + _BLOCK]
-            yield _payment_block(
-                b["LOAN_ID"].to_numpy(object),
-                b["ORIG_AMT"].to_numpy(np.float64),
-                b["ORIG_RT"].to_numpy(np.float64),
-                b["ORIG_TRM"].to_numpy(np.int64),
+    import pyarrow as pa
+
+    schema = pa.schema([
+        ("LOAN_ID", pa.string()), ("PMT_NO", pa.int32()), ("BEG_BAL", pa.float64()),
+        ("PAYMENT", pa.float64()), ("PRINCIPAL", pa.float64()), ("INTEREST", pa.float64()),
+        ("END_BAL", pa.float64()),
+    ])
+    for rb in batches:
+        for lo in range(0, rb.num_rows, _BLOCK):
+            b = rb.slice(lo, _BLOCK)
+            n = b.column("ORIG_TRM").to_numpy(zero_copy_only=False).astype(np.int64)
+            cols = _payment_columns(
+                b.column("ORIG_AMT").to_numpy(zero_copy_only=False).astype(np.float64),
+                b.column("ORIG_RT").to_numpy(zero_copy_only=False).astype(np.float64),
+                n,
             )
+            ids = b.column("LOAN_ID").take(pa.array(np.repeat(np.arange(b.num_rows), n)))
+            yield pa.RecordBatch.from_arrays([ids, *[pa.array(c) for c in cols]], schema=schema)
 
 
-def payment_table(loans: DataFrame) -> DataFrame:
+def payment_table(loans: DataFrame, rows_per_task: int | None = 2_000_000) -> DataFrame:
     """One row per scheduled payment of every loan.
 
     Interest is rounded to cents each month and the rounding feeds the next
     balance, so there is no closed form: the recurrence runs in NumPy inside
     each task, vectorised over the loans of an Arrow batch and sequential
-    over months.  Spark partitions the loans; no loan crosses the driver.
+    over months, and the rows go back to Spark as Arrow batches (no pandas).
+    Spark partitions the loans; no loan crosses the driver.
+
+    A loan yields one row per month of its term, so input splits sized by
+    bytes would give tasks hundreds of times their input.  With
+    ``rows_per_task`` set, the (small) loan-terms frame is first spread
+    round-robin over enough partitions that each produces about that many
+    rows; the only value read on the driver is the total of the terms.
     """
     terms = loans.select(
         F.col("LOAN_ID").cast("string").alias("LOAN_ID"),
@@ -238,4 +250,8 @@ def payment_table(loans: DataFrame) -> DataFrame:
     ).where(
         F.col("ORIG_AMT").isNotNull() & F.col("ORIG_RT").isNotNull() & (F.col("ORIG_TRM") > 0)
     )
-    return terms.mapInPandas(_payment_batches, PAYMENT_SCHEMA)
+    if rows_per_task:
+        total = terms.agg(F.sum("ORIG_TRM")).first()[0] or 0
+        parallelism = terms.sparkSession.sparkContext.defaultParallelism
+        terms = terms.repartition(max(parallelism, -(-int(total) // rows_per_task)))
+    return terms.mapInArrow(_payment_batches, PAYMENT_SCHEMA)
