@@ -50,12 +50,15 @@ def balance_by_principal_parts(principal, rate, term, t) -> Column:
 
 
 def masked_balance(principal, rate, term, t) -> Column:
-    """Scheduled balance with the term mask: B(t) before n, 0 at n, -999 after."""
+    """Scheduled balance with the term mask: B(t) before n, 0 at n, -999 after.
+
+    Null when the term is unknown (for example a loan missing from the tape).
+    """
     n, t = col_of(term), col_of(t)
     return (
         F.when(t < n, balance(principal, rate, term, t))
         .when(t == n, F.lit(0.0))
-        .otherwise(F.lit(BEYOND_TERM))
+        .when(t > n, F.lit(BEYOND_TERM))
     )
 
 

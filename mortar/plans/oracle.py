@@ -134,7 +134,7 @@ def ppmt_balance_sql(t: str) -> str:
 def masked_cell_sql(i: str, start: int) -> str:
     t = f"({i} + {start})"
     return (f"(CASE WHEN {i} = 0 THEN {balance_sql(t)} WHEN {t} < n THEN {balance_sql(t)} "
-            f"WHEN {t} = n THEN 0.0 ELSE -999.0 END)")
+            f"WHEN {t} = n THEN 0.0 WHEN {t} > n THEN -999.0 END)")
 
 
 def month_count_sql(end_minus_start: int | None) -> str:

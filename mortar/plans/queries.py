@@ -481,8 +481,9 @@ SELECT LOAN_ID, PMT_NO, {_cents('BEG_BAL')} AS BEG_BAL, {_cents('PAYMENT')} AS P
        {_cents('PRINCIPAL')} AS PRINCIPAL, {_cents('INTEREST')} AS INTEREST, {_cents('END_BAL')} AS END_BAL
 FROM (
   WITH RECURSIVE pt(LOAN_ID, PMT_NO, BEG_BAL, PAYMENT, PRINCIPAL, INTEREST, END_BAL, r, n) AS (
-    SELECT LOAN_ID, 1, P, A, A - {_cents('P * r')}, {_cents('P * r')}, P - (A - {_cents('P * r')}), r, n
-    FROM pay WHERE P IS NOT NULL AND r IS NOT NULL AND n > 0
+    SELECT LOAN_ID, 1, P, Ac, Ac - {_cents('P * r')}, {_cents('P * r')}, P - (Ac - {_cents('P * r')}), r, n
+    FROM (SELECT *, floor(A * 100 + 0.5) / 100 AS Ac FROM pay)
+    WHERE P IS NOT NULL AND r IS NOT NULL AND n > 0
     UNION ALL
     SELECT LOAN_ID, PMT_NO + 1, END_BAL, PAYMENT, PAYMENT - {_cents('END_BAL * r')},
            {_cents('END_BAL * r')}, END_BAL - (PAYMENT - {_cents('END_BAL * r')}), r, n

@@ -42,9 +42,13 @@ def read_tape(spark: SparkSession, path: str, tape: TapeSchema) -> DataFrame:
 
 
 def rejected_rows(spark: SparkSession, path: str, tape: TapeSchema) -> DataFrame:
-    """Rows the parser could not fit to the schema (short rows, bad numbers)."""
+    """Rows the parser could not fit to the schema (short rows, bad numbers).
+
+    All parsed columns are kept beside the raw text: Spark refuses a scan
+    whose only referenced column is the corrupt-record column.
+    """
     df = tape_reader(spark, tape, with_corrupt=True).csv(path)
-    return df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    return df.where(F.col(CORRUPT).isNotNull())
 
 
 def read_acquisition(spark: SparkSession, path: str, agency: str | Agency = "FNMA") -> DataFrame:
