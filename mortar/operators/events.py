@@ -1,8 +1,7 @@
 """First-event extraction from the enriched panel.
 
 The enriched panel is already hash-partitioned by ``LOAN_ID`` and sorted by
-time, so the per-loan ``row_number`` below needs no further exchange and
-Catalyst turns ``rn == 1`` into a per-group limit.
+time, so per-loan aggregates and windows over it add no exchange.
 """
 
 from __future__ import annotations
@@ -14,30 +13,46 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .panel import TIME_ORDER, loan_window
 
 
-def first_per_loan(panel: DataFrame, condition: Column, order: Sequence[str] = TIME_ORDER) -> DataFrame:
-    """Rows meeting ``condition``, only the earliest one per loan."""
+def first_per_loan(panel: DataFrame, condition: Column, fields: list[Column],
+                   order: Sequence[str] = TIME_ORDER) -> DataFrame:
+    """For each loan, ``fields`` of its earliest row meeting ``condition``.
+
+    ``min_by`` over the time key is a partial aggregate: each task keeps one
+    candidate per loan before any shuffle, so a loan with a huge history is
+    never gathered into one task, and on a panel already partitioned by
+    ``LOAN_ID`` no exchange is added.
+    """
+    key = F.struct(*[F.col(c) for c in order])
     return (
         panel.where(condition)
-        .withColumn("_rn", F.row_number().over(loan_window(order)))
-        .where(F.col("_rn") == 1)
-        .drop("_rn")
+        .groupBy("LOAN_ID")
+        .agg(F.min_by(F.struct(*fields), key).alias("_e"))
+        .select("LOAN_ID", "_e.*")
     )
 
 
+def _mod_fields() -> list[Column]:
+    return [
+        F.col("ACT_DTE").alias("MOD_DTE"), F.col("LOAN_AGE").alias("MOD_AGE"),
+        F.col("DLQ_STATUS").alias("MOD_DLQ"), F.col("DLQ_LAG").alias("MOD_DLQ_LAG"),
+        F.col("DLQ_LAGs12").alias("MOD_DLQ_LAGs12"),
+        F.col("DLQ_NEXT12MAX").alias("MOD_POST_MAXDLQ_12"), F.col("DLQ_NEXT24MAX").alias("MOD_POST_MAXDLQ_24"),
+        F.col("ZBCODE_NEXT12").alias("MOD_POST_ZBCODE_12"), F.col("ZBCODE_NEXT24").alias("MOD_POST_ZBCODE_24"),
+    ]
+
+
+def _f3q_fields() -> list[Column]:
+    return [
+        F.col("ACT_DTE").alias("F3Q_DTE"), F.col("LOAN_AGE").alias("F3Q_AGE"),
+        F.col("DLQ_LAGs12").alias("F3Q_DLQ_LAGs12"),
+        F.col("DLQ_NEXT12MAX").alias("F3Q_POST_MAXDLQ_12"), F.col("DLQ_NEXT24MAX").alias("F3Q_POST_MAXDLQ_24"),
+        F.col("ZBCODE_NEXT12").alias("F3Q_POST_ZBCODE_12"), F.col("ZBCODE_NEXT24").alias("F3Q_POST_ZBCODE_24"),
+    ]
+
+
 def first_modification(panel: DataFrame, order: Sequence[str] = TIME_ORDER) -> DataFrame:
     """First month with ``MOD_FLAG = 'Y'``."""
-    return first_per_loan(panel, F.col("MOD_FLAG") == "Y", order).select(
-        "LOAN_ID",
-        F.col("ACT_DTE").alias("MOD_DTE"),
-        F.col("LOAN_AGE").alias("MOD_AGE"),
-        F.col("DLQ_STATUS").alias("MOD_DLQ"),
-        F.col("DLQ_LAG").alias("MOD_DLQ_LAG"),
-        F.col("DLQ_LAGs12").alias("MOD_DLQ_LAGs12"),
-        F.col("DLQ_NEXT12MAX").alias("MOD_POST_MAXDLQ_12"),
-        F.col("DLQ_NEXT24MAX").alias("MOD_POST_MAXDLQ_24"),
-        F.col("ZBCODE_NEXT12").alias("MOD_POST_ZBCODE_12"),
-        F.col("ZBCODE_NEXT24").alias("MOD_POST_ZBCODE_24"),
-    )
+    return first_per_loan(panel, F.col("MOD_FLAG") == "Y", _mod_fields(), order)
 
 
 # --- fixed values: serious delinquency threshold -----------------------------
@@ -47,16 +62,7 @@ SERIOUS_DLQ = 2  # status above this = 90 days or more past due
 
 def first_serious_delinquency(panel: DataFrame, order: Sequence[str] = TIME_ORDER) -> DataFrame:
     """First month 90 days or more past due."""
-    return first_per_loan(panel, F.col("DLQ_STATUS") > SERIOUS_DLQ, order).select(
-        "LOAN_ID",
-        F.col("ACT_DTE").alias("F3Q_DTE"),
-        F.col("LOAN_AGE").alias("F3Q_AGE"),
-        F.col("DLQ_LAGs12").alias("F3Q_DLQ_LAGs12"),
-        F.col("DLQ_NEXT12MAX").alias("F3Q_POST_MAXDLQ_12"),
-        F.col("DLQ_NEXT24MAX").alias("F3Q_POST_MAXDLQ_24"),
-        F.col("ZBCODE_NEXT12").alias("F3Q_POST_ZBCODE_12"),
-        F.col("ZBCODE_NEXT24").alias("F3Q_POST_ZBCODE_24"),
-    )
+    return first_per_loan(panel, F.col("DLQ_STATUS") > SERIOUS_DLQ, _f3q_fields(), order)
 
 
 def _date_or_null(panel: DataFrame, name: str) -> Column:
@@ -87,38 +93,37 @@ def _first_struct(condition: Column, fields: list[Column], order: Sequence[str])
     return F.first(F.when(condition, F.struct(*fields)), ignorenulls=True).over(whole)
 
 
-def loan_events(panel: DataFrame, order: Sequence[str] = TIME_ORDER) -> DataFrame:
-    """E1 + E2 + E3 in one pass: one row per (loan, zero-balance row).
-
-    Equivalent to the event universe left-joined to the first modification,
-    the first 90-day delinquency and all zero-balance rows, but computed
-    in a second window over the panel's existing partitioning and order, so
-    the monthly tape is shuffled once instead of once per event table.
-    Loans with a modification or delinquency but no zero-balance row keep
-    one anchor row (their first month) with null zero-balance columns.
-    """
-    whole = loan_window(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    mod = _first_struct(F.col("MOD_FLAG") == "Y", [
-        F.col("ACT_DTE").alias("MOD_DTE"), F.col("LOAN_AGE").alias("MOD_AGE"),
-        F.col("DLQ_STATUS").alias("MOD_DLQ"), F.col("DLQ_LAG").alias("MOD_DLQ_LAG"),
-        F.col("DLQ_LAGs12").alias("MOD_DLQ_LAGs12"),
-        F.col("DLQ_NEXT12MAX").alias("MOD_POST_MAXDLQ_12"), F.col("DLQ_NEXT24MAX").alias("MOD_POST_MAXDLQ_24"),
-        F.col("ZBCODE_NEXT12").alias("MOD_POST_ZBCODE_12"), F.col("ZBCODE_NEXT24").alias("MOD_POST_ZBCODE_24"),
-    ], order)
-    f3q = _first_struct(F.col("DLQ_STATUS") > SERIOUS_DLQ, [
-        F.col("ACT_DTE").alias("F3Q_DTE"), F.col("LOAN_AGE").alias("F3Q_AGE"),
-        F.col("DLQ_LAGs12").alias("F3Q_DLQ_LAGs12"),
-        F.col("DLQ_NEXT12MAX").alias("F3Q_POST_MAXDLQ_12"), F.col("DLQ_NEXT24MAX").alias("F3Q_POST_MAXDLQ_24"),
-        F.col("ZBCODE_NEXT12").alias("F3Q_POST_ZBCODE_12"), F.col("ZBCODE_NEXT24").alias("F3Q_POST_ZBCODE_24"),
-    ], order)
-    is_zb = F.col("ZB_CODE").isNotNull()
-    zb_cols = [
+def _zb_columns(panel: DataFrame) -> list[tuple[str, Column]]:
+    return [
         ("ZB_CODE", F.col("ZB_CODE")), ("ZB_DTE", F.col("ZB_DTE")), ("ZB_AGE", F.col("LOAN_AGE")),
         ("ZB_DLQ_LAGs12", F.col("DLQ_LAGs12")), ("ZB_DLQ_LAG", F.col("DLQ_LAG")),
         ("ZB_LAST_UPB", F.col("LAST_UPB")), ("LPI_DTE", _date_or_null(panel, "LPI_DTE")),
         ("FCC_DTE", _date_or_null(panel, "FCC_DTE")), ("DISP_DTE", _date_or_null(panel, "DISP_DTE")),
         ("DEFT_COST", F.col("DEFT_COST")), ("DEFT_PROCS", F.col("DEFT_PROCS")),
     ]
+
+
+def loan_events(panel: DataFrame, order: Sequence[str] = TIME_ORDER, by_aggregation: bool = False) -> DataFrame:
+    """E1 + E2 + E3 in one table: one row per (loan, zero-balance row).
+
+    Equivalent to the event universe left-joined to the first modification,
+    the first 90-day delinquency and all zero-balance rows.  Loans with a
+    modification or delinquency but no zero-balance row keep one row with
+    null zero-balance columns.
+
+    Default: a second window over the panel's existing partitioning and
+    order, so the monthly tape is shuffled once in total.  With
+    ``by_aggregation`` (used when some loans are too large for one task) the
+    first events come from partial aggregates instead, which never gather a
+    loan in one place, at the price of one more exchange.
+    """
+    if by_aggregation:
+        return _loan_events_by_aggregation(panel, order)
+    whole = loan_window(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    mod = _first_struct(F.col("MOD_FLAG") == "Y", _mod_fields(), order)
+    f3q = _first_struct(F.col("DLQ_STATUS") > SERIOUS_DLQ, _f3q_fields(), order)
+    is_zb = F.col("ZB_CODE").isNotNull()
+    zb_cols = _zb_columns(panel)
     staged = panel.select(
         "LOAN_ID",
         mod.alias("_mod"),
@@ -137,3 +142,20 @@ def loan_events(panel: DataFrame, order: Sequence[str] = TIME_ORDER) -> DataFram
         "_f3q.*",
         *[F.when(F.col("_is_zb"), F.col(f"_zb_{n}")).alias(n) for n, _ in zb_cols],
     )
+
+
+def _loan_events_by_aggregation(panel: DataFrame, order: Sequence[str]) -> DataFrame:
+    key = F.struct(*[F.col(c) for c in order])
+    firsts = panel.groupBy("LOAN_ID").agg(
+        F.min_by(F.struct(*_mod_fields()), F.when(F.col("MOD_FLAG") == "Y", key)).alias("_mod"),
+        F.min_by(F.struct(*_f3q_fields()), F.when(F.col("DLQ_STATUS") > SERIOUS_DLQ, key)).alias("_f3q"),
+        F.count(F.col("ZB_CODE")).alias("_n_zb"),
+    )
+    zb_cols = _zb_columns(panel)
+    zb = panel.where(F.col("ZB_CODE").isNotNull()).select("LOAN_ID", *[c.alias(n) for n, c in zb_cols])
+    with_zb = zb.join(firsts.select("LOAN_ID", "_mod", "_f3q"), "LOAN_ID", "left").select(
+        "LOAN_ID", "_mod.*", "_f3q.*", *[n for n, _ in zb_cols])
+    without_zb = firsts.where(
+        (F.col("_n_zb") == 0) & (F.col("_mod").isNotNull() | F.col("_f3q").isNotNull())
+    ).select("LOAN_ID", "_mod.*", "_f3q.*")
+    return with_zb.unionByName(without_zb, allowMissingColumns=True)

@@ -31,8 +31,8 @@ def loan_window(order: Sequence[str] = TIME_ORDER) -> WindowSpec:
     return Window.partitionBy(LOAN_KEY).orderBy(*order)
 
 
-def window_columns(order: Sequence[str] = TIME_ORDER) -> list:
-    w = loan_window(order)
+def window_columns(order: Sequence[str] = TIME_ORDER, w: WindowSpec | None = None) -> list:
+    w = loan_window(order) if w is None else w
     back = w.rowsBetween(-LOOK_BACK, -1)
     ahead_s = w.rowsBetween(1, LOOK_AHEAD_SHORT)
     ahead_l = w.rowsBetween(1, LOOK_AHEAD_LONG)
@@ -48,10 +48,108 @@ def window_columns(order: Sequence[str] = TIME_ORDER) -> list:
     ]
 
 
-def enrich_panel(perf: DataFrame, order: Sequence[str] = TIME_ORDER) -> DataFrame:
+# A real loan reports at most one row a month (under 500 rows); a loan with
+# more rows than this is treated as hot and split across tasks.
+HOT_LOAN_ROWS = 1_000_000
+# Rows per chunk of a hot loan (each chunk also carries 36 halo rows).
+CHUNK_ROWS = 200_000
+# Hot-loan block tables above this many rows are joined, not broadcast.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def hot_loans(perf: DataFrame, threshold: int = HOT_LOAN_ROWS) -> DataFrame:
+    """Loans with more than ``threshold`` rows (partial aggregation: skew-safe)."""
+    return perf.groupBy(LOAN_KEY).count().where(F.col("count") > threshold).select(LOAN_KEY)
+
+
+def _global_positions(rows: DataFrame, order: Sequence[str], n_hot: int) -> DataFrame:
+    """0-based position of every row inside its loan, without one task per loan.
+
+    Range partitioning on (loan, time) spreads a hot loan over many tasks;
+    each task numbers its sorted rows, and a table of per-partition counts
+    (at most partitions + hot loans rows) turns the local numbers into
+    positions within the loan.
+    """
+    keys = [LOAN_KEY, *order]
+    # The numbered rows feed two consumers (the block table and the join), so
+    # they are checkpointed to the shared checkpoint folder: both then see
+    # the same ids, and the lineage is cut before the wide stages.
+    ided = (
+        rows.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("_id", F.monotonically_increasing_id())
+        .withColumn("_pid", F.shiftright("_id", 33))
+        .checkpoint(eager=True)
+    )
+    before = Window.partitionBy(LOAN_KEY).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        ided.groupBy(LOAN_KEY, "_pid")
+        .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .select(LOAN_KEY, "_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    )
+    n_blocks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) + n_hot
+    if n_blocks <= MAX_BROADCAST_ROWS:
+        blocks = F.broadcast(blocks)
+    return ided.join(blocks, [LOAN_KEY, "_pid"]).withColumn(
+        "_pos", F.col("_offset") + F.col("_id") - F.col("_first")
+    ).drop("_id", "_pid", "_first", "_offset")
+
+
+def split_windows(rows: DataFrame, order: Sequence[str] = TIME_ORDER, chunk_rows: int = CHUNK_ROWS,
+                  n_hot: int = 1) -> DataFrame:
+    """W1-W8 for very long loans, computed chunk by chunk.
+
+    Each loan is cut into chunks of ``chunk_rows`` consecutive rows; the last
+    12 rows of a chunk are copied into the next chunk and the first 24 into
+    the previous one, so every row's frames (12 back, 24 ahead) lie inside
+    its own chunk's group.  Results are kept for each chunk's own rows only,
+    so the output equals the per-loan window exactly.
+    """
+    if chunk_rows < max(LOOK_BACK, LOOK_AHEAD_LONG):
+        raise ValueError("chunk_rows must cover the longest frame")
+    cols = rows.columns
+    pos = _global_positions(rows, order, n_hot)
+    chunk = F.floor(F.col("_pos") / F.lit(chunk_rows))
+    off = F.col("_pos") - chunk * F.lit(chunk_rows)
+    copies = F.array(
+        F.struct(chunk.alias("c"), F.lit(True).alias("core")),
+        F.when((off < LOOK_AHEAD_LONG) & (chunk > 0), F.struct((chunk - 1).alias("c"), F.lit(False).alias("core"))),
+        F.when(off >= chunk_rows - LOOK_BACK, F.struct((chunk + 1).alias("c"), F.lit(False).alias("core"))),
+    )
+    spread = pos.select(
+        "*", F.explode(F.filter(copies, lambda x: x.isNotNull())).alias("_copy")
+    ).select(*cols, "_pos", F.col("_copy.c").alias("_chunk"), F.col("_copy.core").alias("_core"))
+    w = Window.partitionBy(LOAN_KEY, "_chunk").orderBy("_pos")
+    return (
+        spread.select("*", *window_columns(order, w))
+        .where(F.col("_core"))
+        .drop("_pos", "_chunk", "_core")
+    )
+
+
+def enrich_panel(perf: DataFrame, order: Sequence[str] = TIME_ORDER,
+                 hot_threshold: int | None = HOT_LOAN_ROWS, chunk_rows: int = CHUNK_ROWS,
+                 n_hot: int | None = None) -> DataFrame:
     """Append the eight window columns to a cleaned panel.
 
     Expects ``DLQ_STATUS`` already as an integer (see ``performance_base``).
     Columns that are never selected downstream are pruned by Catalyst.
+
+    With ``hot_threshold`` set, loans holding more rows than that are found
+    first (one count per loan, read back as a single number; pass ``n_hot``
+    when it is known); when there are none the plan is the plain
+    one-exchange window, otherwise those loans take the chunked path and
+    the rest the plain one.
     """
-    return perf.select("*", *window_columns(order))
+    plain = perf.select("*", *window_columns(order))
+    if hot_threshold is None:
+        return plain
+    hot = hot_loans(perf, hot_threshold)
+    if n_hot is None:
+        n_hot = hot.count()
+    if n_hot == 0:
+        return plain
+    hot_b = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
+    cold = perf.join(hot_b, LOAN_KEY, "left_anti").select("*", *window_columns(order))
+    heavy = split_windows(perf.join(hot_b, LOAN_KEY, "left_semi"), order, chunk_rows, n_hot)
+    return cold.unionByName(heavy)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from ..operators.clean import clean_acquisition, keep_columns, performance_base
 from ..operators.events import first_modification, first_serious_delinquency, loan_events, zero_balance_events
 from ..operators.outcome import event_universe, loan_outcome, universe_outcome
-from ..operators.panel import enrich_panel
+from ..operators.panel import CHUNK_ROWS, HOT_LOAN_ROWS, enrich_panel, hot_loans
 from ..operators.schedule import panel_with_schedule
 from ..schema import Agency, agency as agency_of
 
@@ -29,10 +29,20 @@ class LoanLevel:
     perf_base: DataFrame
     loans: DataFrame | None = None
     month_count: int = 12
+    hot_threshold: int | None = HOT_LOAN_ROWS
+    chunk_rows: int = CHUNK_ROWS
+
+    @cached_property
+    def n_hot(self) -> int:
+        """Loans too long for one task (normally 0); one small scalar job."""
+        if self.hot_threshold is None:
+            return 0
+        return hot_loans(self.perf_base, self.hot_threshold).count()
 
     @cached_property
     def panel(self) -> DataFrame:
-        return enrich_panel(self.perf_base)
+        return enrich_panel(self.perf_base, hot_threshold=self.hot_threshold, chunk_rows=self.chunk_rows,
+                            n_hot=self.n_hot)
 
     @cached_property
     def first_mod(self) -> DataFrame:
@@ -53,7 +63,7 @@ class LoanLevel:
     @cached_property
     def events(self) -> DataFrame:
         """All three event tables in one pass (one row per loan and liquidation)."""
-        return loan_events(self.panel)
+        return loan_events(self.panel, by_aggregation=self.n_hot > 0)
 
     def outcome(self, ordered: bool = False) -> DataFrame:
         """Loan tape with its events; the event universe when no tape is loaded.
@@ -86,8 +96,9 @@ class LoanLevel:
 
 
 def build(perf_raw: DataFrame, loans_raw: DataFrame | None = None, agency: str | Agency = "FNMA",
-          month_count: int = 12) -> LoanLevel:
+          month_count: int = 12, hot_threshold: int | None = HOT_LOAN_ROWS,
+          chunk_rows: int = CHUNK_ROWS) -> LoanLevel:
     """Clean both tapes and wire the loan-level plan."""
     ag = agency if isinstance(agency, Agency) else agency_of(agency)
     loans = clean_acquisition(loans_raw, ag) if loans_raw is not None else None
-    return LoanLevel(ag, performance_base(perf_raw, ag), loans, month_count)
+    return LoanLevel(ag, performance_base(perf_raw, ag), loans, month_count, hot_threshold, chunk_rows)
