@@ -263,5 +263,6 @@ def payment_table(loans: DataFrame, rows_per_task: int | None = 2_000_000,
     if rows_per_task:
         total = terms.agg(F.sum("ORIG_TRM")).first()[0] or 0
         parallelism = terms.sparkSession.sparkContext.defaultParallelism
-        terms = terms.repartition(max(parallelism, -(-int(total) // rows_per_task)))
+        waves = max(1, -(-int(total) // (rows_per_task * parallelism)))
+        terms = terms.repartition(waves * parallelism)  # whole waves: no idle tail
     return terms.mapInArrow(partial(_payment_batches, round_payment=round_payment), PAYMENT_SCHEMA)

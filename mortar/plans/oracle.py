@@ -8,8 +8,8 @@ DuckDB drops the CTEs a query does not reference.
 
 from __future__ import annotations
 
-from ..schema import FNMA, ColumnSpec
-from ..sources.fixtures import FNMA_ACQUISITION_EXPRS, FNMA_PERFORMANCE_EXPRS, render
+from ..schema import FNMA, FRED, Agency, ColumnSpec
+from ..sources.fixtures import FNMA_ACQUISITION_EXPRS, FNMA_PERFORMANCE_EXPRS, fred_exprs, render
 
 W = "PARTITION BY LOAN_ID ORDER BY ACT_DTE, LOAN_AGE"
 
@@ -23,16 +23,16 @@ def sql_literal(spec: ColumnSpec) -> str:
     return f"cast({v} as integer)"
 
 
-def _loans_select() -> str:
+def _loans_select(ag: Agency = FNMA) -> str:
     cols = []
-    for spec in FNMA.acquisition.columns:
+    for spec in ag.acquisition.columns:
         if not spec.keep:
             continue
         c = spec.name
         if spec.default is not None:
             c = f"coalesce({spec.name}, {sql_literal(spec)})"
         if spec.name == "OCLTV":
-            oltv = f"coalesce(OLTV, {sql_literal(FNMA.acquisition['OLTV'])})"
+            oltv = f"coalesce(OLTV, {sql_literal(ag.acquisition['OLTV'])})"
             c = f"case when {c} = 0 then {oltv} else {c} end"
         cols.append(f"{c} AS {spec.name}" if c != spec.name else c)
     return ", ".join(cols + ["ACQ"])
@@ -42,10 +42,10 @@ DLQ_SQL = ("case when DLQ_STATUS is null then -1 when DLQ_STATUS = 'X' then -2 "
            "else try_cast(DLQ_STATUS as integer) end")
 
 
-def _perf_select() -> str:
-    cols = [DLQ_SQL + " AS DLQ_STATUS" if n == "DLQ_STATUS" else n for n in FNMA.performance.names]
-    cols.append(" + ".join(FNMA.cost_columns) + " AS DEFT_COST")
-    cols.append(" + ".join(FNMA.proceeds_columns) + " AS DEFT_PROCS")
+def _perf_select(ag: Agency = FNMA) -> str:
+    cols = [DLQ_SQL + " AS DLQ_STATUS" if n == "DLQ_STATUS" else n for n in ag.performance.names]
+    cols.append(" + ".join(ag.cost_columns) + " AS DEFT_COST")
+    cols.append(" + ".join(ag.proceeds_columns) + " AS DEFT_PROCS")
     return ", ".join(cols)
 
 
@@ -74,35 +74,49 @@ LOAN_COLS = FNMA.acquisition.keep_names + ["ACQ"]
 PERF_KEEP = FNMA.performance.keep_names
 ARRAY_COLS = {"DLQ_LAGs12", "MOD_DLQ_LAGs12", "F3Q_DLQ_LAGs12", "ZB_DLQ_LAGs12"}
 
-CTES = f"""
-acq_raw AS (SELECT {", ".join(render(FNMA_ACQUISITION_EXPRS, "duckdb"))} FROM orders),
-ev AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS k FROM events),
-perf_raw AS (SELECT {", ".join(render(FNMA_PERFORMANCE_EXPRS, "duckdb"))} FROM ev),
-loans AS (SELECT {_loans_select()} FROM acq_raw),
-perf AS (SELECT {_perf_select()} FROM perf_raw),
-panel AS (SELECT *, {PANEL_WINDOWS} FROM perf),
-modf AS (
+def _date_sql(ag: Agency, name: str) -> str:
+    return name if name in ag.performance else f"cast(NULL AS DATE) AS {name}"
+
+
+def agency_ctes(ag: Agency, p: str, acq_exprs: list[str], perf_exprs: list[str]) -> str:
+    """Tapes, cleaning, windows and event tables of one agency; names prefixed by ``p``."""
+    return f"""
+{p}acq_raw AS (SELECT {", ".join(render(acq_exprs, "duckdb"))} FROM orders),
+{p}perf_raw AS (SELECT {", ".join(render(perf_exprs, "duckdb"))} FROM ev),
+{p}loans AS (SELECT {_loans_select(ag)} FROM {p}acq_raw),
+{p}perf AS (SELECT {_perf_select(ag)} FROM {p}perf_raw),
+{p}panel AS (SELECT *, {PANEL_WINDOWS} FROM {p}perf),
+{p}modf AS (
   SELECT LOAN_ID, ACT_DTE AS MOD_DTE, LOAN_AGE AS MOD_AGE, DLQ_STATUS AS MOD_DLQ,
          DLQ_LAG AS MOD_DLQ_LAG, DLQ_LAGs12 AS MOD_DLQ_LAGs12,
          DLQ_NEXT12MAX AS MOD_POST_MAXDLQ_12, DLQ_NEXT24MAX AS MOD_POST_MAXDLQ_24,
          ZBCODE_NEXT12 AS MOD_POST_ZBCODE_12, ZBCODE_NEXT24 AS MOD_POST_ZBCODE_24
-  FROM panel WHERE MOD_FLAG = 'Y'
+  FROM {p}panel WHERE MOD_FLAG = 'Y'
   QUALIFY row_number() OVER ({W}) = 1),
-f3q AS (
+{p}f3q AS (
   SELECT LOAN_ID, ACT_DTE AS F3Q_DTE, LOAN_AGE AS F3Q_AGE, DLQ_LAGs12 AS F3Q_DLQ_LAGs12,
          DLQ_NEXT12MAX AS F3Q_POST_MAXDLQ_12, DLQ_NEXT24MAX AS F3Q_POST_MAXDLQ_24,
          ZBCODE_NEXT12 AS F3Q_POST_ZBCODE_12, ZBCODE_NEXT24 AS F3Q_POST_ZBCODE_24
-  FROM panel WHERE DLQ_STATUS > 2
+  FROM {p}panel WHERE DLQ_STATUS > 2
   QUALIFY row_number() OVER ({W}) = 1),
-zb AS (
+{p}zb AS (
   SELECT LOAN_ID, ZB_CODE, ZB_DTE, LOAN_AGE AS ZB_AGE, DLQ_LAGs12 AS ZB_DLQ_LAGs12,
-         DLQ_LAG AS ZB_DLQ_LAG, LAST_UPB AS ZB_LAST_UPB, LPI_DTE, FCC_DTE, DISP_DTE,
-         DEFT_COST, DEFT_PROCS
-  FROM panel WHERE ZB_CODE IS NOT NULL),
+         DLQ_LAG AS ZB_DLQ_LAG, LAST_UPB AS ZB_LAST_UPB, {_date_sql(ag, "LPI_DTE")},
+         {_date_sql(ag, "FCC_DTE")}, {_date_sql(ag, "DISP_DTE")}, DEFT_COST, DEFT_PROCS
+  FROM {p}panel WHERE ZB_CODE IS NOT NULL)"""
+
+
+CTES = f"""
+ev AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS k FROM events),
+{agency_ctes(FNMA, "", FNMA_ACQUISITION_EXPRS, FNMA_PERFORMANCE_EXPRS).strip()},
 terms AS (SELECT LOAN_ID, ORIG_AMT AS P, ORIG_RT / 1200.0 AS r, ORIG_TRM AS n FROM loans),
-pay AS (SELECT *, CASE WHEN r = 0 THEN P / n ELSE P * (r / (1 - pow(1 + r, -n))) END AS A FROM terms)
+pay AS (SELECT *, CASE WHEN r = 0 THEN P / n ELSE P * (r / (1 - pow(1 + r, -n))) END AS A FROM terms),
+{agency_ctes(FRED, "fred_", fred_exprs("acquisition"), fred_exprs("performance")).strip()}
 """
 
+FRED_LOAN_COLS = FRED.acquisition.keep_names + ["ACQ"]
+FRED_PERF_KEEP = FRED.performance.keep_names
+
 
 def with_ctes(select: str) -> str:
     return f"WITH {CTES.strip()}\n{select.strip()}"

@@ -531,3 +531,46 @@ def array_columns_q(spark, sf):
     out = loan_with(lvl.loans.select("LOAN_ID"), lvl.first_90d.select("LOAN_ID", "F3Q_AGE", "F3Q_DLQ_LAGs12"))
     out = arr.expand_array(out, "F3Q_DLQ_LAGs12", 12)
     return out.select("LOAN_ID", "F3Q_AGE", "F3Q_DLQ_LAGs12_OrigSize", *[f"F3Q_DLQ_LAGs12_{i}" for i in range(12)])
+
+
+# --- second agency through the same code path ------------------------------------
+
+from ..schema import FRED  # noqa: E402
+from ..sources.fixtures import fred_acquisition, fred_performance  # noqa: E402
+
+
+def _fred_text(spark, sf, kind: str) -> str:
+    path = scratch_path(spark, f"fred-{kind}-text")
+    if kind == "acquisition":
+        write_tape(fred_acquisition(spark, sf), path, FRED.acquisition)
+    else:
+        write_tape(fred_performance(spark, sf), path, FRED.performance)
+    return path
+
+
+@register("fred_scan_acquisition", f"SELECT {', '.join(FRED.acquisition.keep_names)} FROM fred_loans")
+def fred_scan_acquisition_q(spark, sf):
+    return read_acquisition(spark, _fred_text(spark, sf, "acquisition"), FRED)
+
+
+@register("fred_scan_performance",
+          f"SELECT {', '.join(O.FRED_PERF_KEEP)} FROM fred_perf WHERE LOAN_AGE >= 0")
+def fred_scan_performance_q(spark, sf):
+    return read_performance(spark, _fred_text(spark, sf, "performance"), FRED)
+
+
+@register("fred_default_totals", "SELECT LOAN_ID, ACT_DTE, DEFT_COST, DEFT_PROCS FROM fred_perf")
+def fred_default_totals_q(spark, sf):
+    return build(fred_performance(spark, sf), None, FRED).perf_base.select(
+        "LOAN_ID", "ACT_DTE", "DEFT_COST", "DEFT_PROCS")
+
+
+@register("fred_loan_outcome",
+          f"SELECT {O.cols(FRED.acquisition.keep_names, 'l.')}, "
+          f"{O.cols(O.MOD_COLS[1:], 'm.')}, {O.cols(O.F3Q_COLS[1:], 'f.')}, {O.cols(O.ZB_COLS[1:], 'z.')} "
+          "FROM fred_loans l LEFT JOIN fred_modf m ON l.LOAN_ID = m.LOAN_ID "
+          "LEFT JOIN fred_f3q f ON l.LOAN_ID = f.LOAN_ID LEFT JOIN fred_zb z ON l.LOAN_ID = z.LOAN_ID")
+def fred_loan_outcome_q(spark, sf):
+    lvl = build(read_tape(spark, _fred_text(spark, sf, "performance"), FRED.performance),
+                read_tape(spark, _fred_text(spark, sf, "acquisition"), FRED.acquisition), FRED, MONTH_COUNT)
+    return present(lvl.outcome())

@@ -129,3 +129,51 @@ def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fnma_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw FNMA monthly tape (typed dates, status still text)."""
     return numbered_events(spark, sf_dir).selectExpr(*render(FNMA_PERFORMANCE_EXPRS))
+
+
+# --- fixed values: FRED fixture mapping (this engine's own definition) --------
+# Columns shared with the FNMA tapes reuse the FNMA expressions by name.
+FRED_ACQUISITION_EXTRA = {
+    "LOAN_ID": "'F' || cast(o_orderkey as TEXT) as LOAN_ID",
+    "MAT_DTE": "ADDM(cast(date_trunc('month', o_orderdate) as date), 2 + cast(case o_orderkey % 5 when 0 then 6 "
+               "when 1 then 10 when 2 then 120 when 3 then 180 else 360 end as int)) as MAT_DTE",
+    "MSA": "cast(10000 + o_custkey % 300 as TEXT) as MSA",
+    "ppmt_pnlty": "case when o_orderkey % 29 = 0 then 'Y' else 'N' end as ppmt_pnlty",
+    "SERVICER": "'Servicer' || cast(o_custkey % 4 as TEXT) as SERVICER",
+    "flag_sc": "case when o_orderkey % 31 = 0 then 'Y' else null end as flag_sc",
+}
+FRED_PERFORMANCE_EXTRA = {
+    "LOAN_ID": "'F' || cast(user_id as TEXT) as LOAN_ID",
+    "EXpenses": "cast(case when event_id % 38 = 0 then null else (event_id % 106) * 5 end as double) as EXpenses",
+    "LEGAL_COST": "cast(case when event_id % 29 = 0 then null else (event_id % 97) * 5 end as double) as LEGAL_COST",
+    "MAINT_COST": "cast(case when event_id % 30 = 0 then null else (event_id % 98) * 5 end as double) as MAINT_COST",
+    "MISC_COST": "cast(case when event_id % 32 = 0 then null else (event_id % 100) * 5 end as double) as MISC_COST",
+    "ACTUAL_LOSS": f"case when {_ZB} then cast((event_id % 50) * 100 as double) else null end as ACTUAL_LOSS",
+    "MOD_LOSS": "cast(0 as double) as MOD_LOSS",
+    "STEPMOD_IND": "'N' as STEPMOD_IND",
+    "DPM_IND": "'N' as DPM_IND",
+    "ELTV": "cast(60 + user_id % 40 as double) as ELTV",
+}
+# --- end of fixed values ------------------------------------------------------
+
+
+def _by_name(exprs: list[str]) -> dict[str, str]:
+    return {e.rsplit(" as ", 1)[1]: e for e in exprs}
+
+
+def fred_exprs(kind: str) -> list[str]:
+    """FRED tape expressions in FRED file order (acquisition adds ``ACQ``)."""
+    from ..schema import FRED
+    if kind == "acquisition":
+        base, extra, names = _by_name(FNMA_ACQUISITION_EXPRS), FRED_ACQUISITION_EXTRA, FRED.acquisition.names + ["ACQ"]
+    else:
+        base, extra, names = _by_name(FNMA_PERFORMANCE_EXPRS), FRED_PERFORMANCE_EXTRA, FRED.performance.names
+    return [extra.get(n) or base[n] for n in names]
+
+
+def fred_acquisition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(*render(fred_exprs("acquisition")))
+
+
+def fred_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numbered_events(spark, sf_dir).selectExpr(*render(fred_exprs("performance")))
