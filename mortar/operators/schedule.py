@@ -13,9 +13,11 @@ Spark and inlined as a literal, not collected by this code.
 
 from __future__ import annotations
 
+import sys
 from functools import partial
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -152,6 +154,11 @@ def panel_with_schedule(panel: DataFrame, loans: DataFrame, month_count_: int =
 
 # --- payment table ------------------------------------------------------------
 
+# The NumPy kernel below runs in executors' Python workers.  Pickling this
+# module's functions by value ships them with the task, so executors need
+# only NumPy and pyarrow, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PAYMENT_SCHEMA = T.StructType([
     T.StructField("LOAN_ID", T.StringType()),
     T.StructField("PMT_NO", T.IntegerType()),

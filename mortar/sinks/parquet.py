@@ -73,7 +73,12 @@ def save_table(spark: SparkSession, df: DataFrame, database: str, table: str,
     for n in (database, table):
         if not _NAME.match(n):
             raise ValueError(f"not a plain identifier: {n!r}")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    if path is not None:
+        # keep a new database beside its tables in the shared folder
+        location = path.rstrip("/").rsplit("/", 1)[0] + f"/{database}.db"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+    else:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     name = f"{database}.{table}"
     writer = df.write.mode("overwrite").format("parquet")
     if path is not None:
