@@ -45,3 +45,17 @@ def test_schedule_has_no_python_and_no_schedule_join(spark, tmp_dir):
     plan = _plan(lvl.performance())
     assert "Generate" not in plan  # no exploded schedule to join
     assert "Python" not in plan
+
+
+def test_bucketed_panel_needs_no_exchange(spark, tmp_dir):
+    from mortar.operators.panel import enrich_panel
+    from mortar.sinks.parquet import save_bucketed
+    lvl = _level(spark, tmp_dir)
+    name = save_bucketed(spark, lvl.perf_base, "mortar_test_db", "perf_bucketed", 4, "LOAN_ID",
+                         ["ACT_DTE", "LOAN_AGE"], path=tmp_dir + "/bucketed")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(enrich_panel(spark.table(name), hot_threshold=None))
+        assert "Exchange" not in plan and "Window [" in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
