@@ -14,14 +14,25 @@ from .panel import TIME_ORDER, loan_window
 
 
 def first_per_loan(panel: DataFrame, condition: Column, fields: list[Column],
-                   order: Sequence[str] = TIME_ORDER) -> DataFrame:
+                   order: Sequence[str] = TIME_ORDER, method: str = "min_by") -> DataFrame:
     """For each loan, ``fields`` of its earliest row meeting ``condition``.
 
-    ``min_by`` over the time key is a partial aggregate: each task keeps one
-    candidate per loan before any shuffle, so a loan with a huge history is
-    never gathered into one task, and on a panel already partitioned by
-    ``LOAN_ID`` no exchange is added.
+    ``min_by`` (default): ``min_by`` over the time key is a partial
+    aggregate; each task keeps one candidate per loan before any shuffle, so
+    a loan with a huge history is never gathered into one task, and on a
+    panel already partitioned by ``LOAN_ID`` no exchange is added.
+
+    ``row_number`` (W9/W10 + F5): number the matching rows per loan in time
+    order and keep ``rn == 1``; Catalyst adds a per-group limit before the
+    sort.  Same rows; it needs the whole loan in one task.
     """
+    if method == "row_number":
+        return (
+            panel.where(condition)
+            .withColumn("_rn", F.row_number().over(loan_window(order)))
+            .where(F.col("_rn") == 1)
+            .select("LOAN_ID", *fields)
+        )
     key = F.struct(*[F.col(c) for c in order])
     return (
         panel.where(condition)
@@ -50,9 +61,9 @@ def _f3q_fields() -> list[Column]:
     ]
 
 
-def first_modification(panel: DataFrame, order: Sequence[str] = TIME_ORDER) -> DataFrame:
+def first_modification(panel: DataFrame, order: Sequence[str] = TIME_ORDER, method: str = "min_by") -> DataFrame:
     """First month with ``MOD_FLAG = 'Y'``."""
-    return first_per_loan(panel, F.col("MOD_FLAG") == "Y", _mod_fields(), order)
+    return first_per_loan(panel, F.col("MOD_FLAG") == "Y", _mod_fields(), order, method)
 
 
 # --- fixed values: serious delinquency threshold -----------------------------
@@ -60,9 +71,10 @@ SERIOUS_DLQ = 2  # status above this = 90 days or more past due
 # --- end of fixed values ------------------------------------------------------
 
 
-def first_serious_delinquency(panel: DataFrame, order: Sequence[str] = TIME_ORDER) -> DataFrame:
+def first_serious_delinquency(panel: DataFrame, order: Sequence[str] = TIME_ORDER,
+                              method: str = "min_by") -> DataFrame:
     """First month 90 days or more past due."""
-    return first_per_loan(panel, F.col("DLQ_STATUS") > SERIOUS_DLQ, _f3q_fields(), order)
+    return first_per_loan(panel, F.col("DLQ_STATUS") > SERIOUS_DLQ, _f3q_fields(), order, method)
 
 
 def _date_or_null(panel: DataFrame, name: str) -> Column:

@@ -15,19 +15,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..functions.arrays import as_text
-from ..functions.cleaning import channel_bucket, monthly_rate, round_half_up
+from ..functions.cleaning import channel_bucket, dlq_status, monthly_rate, round_half_up
 from ..operators import arrays as arr
-from ..operators.clean import clean_acquisition, clean_performance, fill_defaults, keep_columns, parse_dates
+from ..operators.clean import (
+    clean_acquisition, clean_performance, fill_defaults, keep_columns, parse_dates, staged_performance,
+)
 from ..operators.events import first_modification, first_serious_delinquency, zero_balance_events
 from ..operators.outcome import event_universe, loan_with, max_age
 from ..operators.schedule import (
     payment_table, scheduled_balance_at_age, schedule_long, schedule_ppmt, schedule_unmasked,
     schedule_wide, with_level_payment,
 )
-from ..schema import FNMA
+from ..operators.panel import WINDOW_COLUMNS, enrich_panel
+from ..schema import FNMA, FRED
 from ..session import scratch_path
-from ..sinks.parquet import save_parquet, save_table, save_vintage, stage_to_vintage
-from ..sources.fixtures import fnma_acquisition, fnma_performance
+from ..sinks.parquet import save_bucketed, save_parquet, save_table, save_vintage, stage_to_vintage
+from ..sources.fixtures import fnma_acquisition, fnma_performance, fred_acquisition, fred_performance
 from ..sources.text import read_acquisition, read_performance, read_tape, write_tape
 from ..streaming.ingest import ingest_incremental
 from . import oracle as O
@@ -115,7 +118,6 @@ def ingest_incremental_q(spark, sf):
 
 @register("stage_to_vintage", f"SELECT {_staged_sql()}, '{VINTAGE}' AS ACQ FROM perf_raw")
 def stage_to_vintage_q(spark, sf):
-    from ..operators.clean import staged_performance
     staged = scratch_path(spark, "staged")
     save_parquet(staged_performance(fnma_performance(spark, sf), FNMA), staged)
     out = scratch_path(spark, "perf-vintage")
@@ -196,7 +198,6 @@ def loan_clean_q(spark, sf):
 
 @register("dlq_status", f"SELECT LOAN_ID, ACT_DTE, DLQ_STATUS AS DLQ_TEXT, {O.DLQ_SQL} AS DLQ_STATUS FROM perf_raw")
 def dlq_status_q(spark, sf):
-    from ..functions.cleaning import dlq_status
     raw = fnma_performance(spark, sf)
     return raw.select("LOAN_ID", "ACT_DTE", F.col("DLQ_STATUS").alias("DLQ_TEXT"),
                       dlq_status("DLQ_STATUS").alias("DLQ_STATUS"))
@@ -256,7 +257,6 @@ for _key, _col in [
     ["DLQ_LAG", "DLQ_LAGs12", "DLQ_NEXT12MAX", "DLQ_NEXT24MAX", "ZBCODE_NEXT12", "ZBCODE_NEXT24",
      "MOD_NEXT12", "MOD_NEXT24"]) + " FROM panel")
 def panel_windows_q(spark, sf):
-    from ..operators.panel import WINDOW_COLUMNS
     return present(_level(spark, sf).panel.select("LOAN_ID", "ACT_DTE", "LOAN_AGE", *WINDOW_COLUMNS))
 
 
@@ -265,8 +265,6 @@ def panel_windows_q(spark, sf):
      "MOD_NEXT12", "MOD_NEXT24"]) + " FROM panel")
 def bucketed_panel_q(spark, sf):
     """W1-W8 read from a table bucketed by LOAN_ID: the window needs no exchange."""
-    from ..operators.panel import WINDOW_COLUMNS, enrich_panel
-    from ..sinks.parquet import save_bucketed
     path = scratch_path(spark, "bucketed")
     name = save_bucketed(spark, _level(spark, sf).perf_base, "mortar_db", "perf_" + path.rsplit("-", 1)[-1],
                          8, "LOAN_ID", ["ACT_DTE", "LOAN_AGE"], path=path)
@@ -549,9 +547,6 @@ def array_columns_q(spark, sf):
 
 # --- second agency through the same code path ------------------------------------
 
-from ..schema import FRED  # noqa: E402
-from ..sources.fixtures import fred_acquisition, fred_performance  # noqa: E402
-
 
 def _fred_text(spark, sf, kind: str) -> str:
     path = scratch_path(spark, f"fred-{kind}-text")

@@ -63,23 +63,27 @@ def stage_to_vintage(staged: DataFrame, vintage: str, path: str) -> str:
     return path
 
 
-def save_table(spark: SparkSession, df: DataFrame, database: str, table: str,
-               path: str | None = None) -> str:
-    """Create the database if missing and (re)write ``database.table``.
-
-    With ``path`` the table is external at that location (a shared folder),
-    otherwise it lands in the session's warehouse.
-    """
+def _ensure_database(spark: SparkSession, database: str, table: str, path: str | None) -> str:
     for n in (database, table):
         if not _NAME.match(n):
             raise ValueError(f"not a plain identifier: {n!r}")
     if path is not None:
-        # keep a new database beside its tables in the shared folder
+        # a new database is kept beside its tables in the shared folder
         location = path.rstrip("/").rsplit("/", 1)[0] + f"/{database}.db"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     else:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    name = f"{database}.{table}"
+    return f"{database}.{table}"
+
+
+def save_table(spark: SparkSession, df: DataFrame, database: str, table: str,
+               path: str | None = None) -> str:
+    """Create the database if missing and (re)write ``database.table``.
+
+    With ``path`` the table is external at that location (a shared folder),
+    otherwise it lands in the session's warehouse.
+    """
+    name = _ensure_database(spark, database, table, path)
     writer = df.write.mode("overwrite").format("parquet")
     if path is not None:
         writer = writer.option("path", path)
@@ -96,15 +100,7 @@ def save_bucketed(spark: SparkSession, df: DataFrame, database: str, table: str,
     instead of on every run.  Tables to be joined should share the bucket
     count.
     """
-    for n in (database, table):
-        if not _NAME.match(n):
-            raise ValueError(f"not a plain identifier: {n!r}")
-    if path is not None:
-        location = path.rstrip("/").rsplit("/", 1)[0] + f"/{database}.db"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
-    else:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    name = f"{database}.{table}"
+    name = _ensure_database(spark, database, table, path)
     writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key)
     if sort_by:
         writer = writer.sortBy(*sort_by)

@@ -140,3 +140,14 @@ def test_chunk_must_cover_frames(spark):
     df = spark.createDataFrame(panel_rows("A", [0, 1]), SCHEMA)
     with pytest.raises(ValueError):
         split_windows(df, chunk_rows=10)
+
+
+def test_min_by_equals_row_number(spark):
+    from conftest import SF001
+    from mortar.plans.loan_level import build
+    from mortar.sources.fixtures import fnma_performance
+    panel = build(fnma_performance(spark, SF001)).panel
+    for fn in (first_modification, first_serious_delinquency):
+        a = fn(panel)
+        b = fn(panel, method="row_number").select(*a.columns)
+        assert _rows(a) == _rows(b)

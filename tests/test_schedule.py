@@ -118,3 +118,17 @@ def test_schedule_in_place_equals_exploded_join(spark):
     a = sorted((r.LOAN_ID, r.LOAN_AGE, r.SCHD_UPB) for r in in_place.collect())
     b = sorted((r.LOAN_ID, r.LOAN_AGE, r.SCHD_UPB) for r in joined.collect())
     assert a == b
+
+
+def test_closed_form_random_loans(spark):
+    rng = np.random.default_rng(7)
+    rows = [(str(i), float(rng.integers(1_000, 900_000)), float(rng.choice([0.0, 1.5, 3.625, 7.875, 12.0])),
+             int(rng.choice([6, 10, 60, 120, 180, 360]))) for i in range(300)]
+    loans = loans_df(spark, rows)
+    got = {}
+    for r in schedule_long(loans, 36).collect():
+        got.setdefault(r.LOAN_ID, {})[r.LOAN_AGE] = r.SCHD_UPB
+    for lid, p, rate, n in rows:
+        exp = recurrence(p, rate, n, 36)
+        vals = [got[lid][t] for t in range(36)]
+        assert np.allclose(vals, exp, rtol=1e-9, atol=1e-6), lid
