@@ -60,9 +60,12 @@ def main() -> None:
         "acquisition_load_write": lambda: save_parquet(read_acquisition(spark, acq_txt), out("acq")),
         "performance_load_write": lambda: save_parquet(read_performance(spark, perf_txt), out("perf")),
         "enriched_panel": lambda: save_parquet(loan_level().panel, out("panel")),
-        "loan_outcome": lambda: save_parquet(sorted_for_sink(loan_level().outcome(), ["LOAN_ID"]), out("outcome")),
+        # Sinks sort each task's output by the keys (no extra shuffle); see
+        # sinks.parquet.sorted_for_sink for the total-order variant.
+        "loan_outcome": lambda: save_parquet(
+            sorted_for_sink(loan_level().outcome(), ["LOAN_ID"], total_order=False), out("outcome")),
         "panel_with_schedule": lambda: save_parquet(
-            sorted_for_sink(loan_level().performance(), ["LOAN_ID", "ACT_DTE"]), out("pws")),
+            sorted_for_sink(loan_level().performance(), ["LOAN_ID", "ACT_DTE"], total_order=False), out("pws")),
         "schedule_long": lambda: save_parquet(schedule_long(read_acquisition(spark, acq_txt), 12), out("schd")),
         "payment_table": lambda: save_parquet(payment_table(read_acquisition(spark, acq_txt)), out("pay")),
     }

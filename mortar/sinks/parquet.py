@@ -15,11 +15,19 @@ VINTAGE = "ACQ"
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
-def sorted_for_sink(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
-    """O1/O2 at the sink: range-partition then sort inside each partition.
-
-    Gives globally ordered files without funnelling rows through one task.
+def sorted_for_sink(df: DataFrame, keys: list[str], partitions: int | None = None,
+                    total_order: bool = True) -> DataFrame:
+    """O1/O2 at the sink.
+
+    ``total_order``: range-partition then sort inside each partition, which
+    gives globally ordered files without funnelling rows through one task,
+    at the price of a full range shuffle.  Otherwise each task's output is
+    sorted in place (no shuffle): files are clustered by the keys, which is
+    what Parquet min/max pruning needs, and a frame that is already
+    hash-partitioned by ``LOAN_ID`` keeps every loan in one file.
     """
+    if not total_order:
+        return df.sortWithinPartitions(*keys)
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     return ranged.sortWithinPartitions(*keys)
 
