@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
+from .skew import MAX_BROADCAST_ROWS, hot_keys, global_positions
+
 # Time order inside a loan; LOAN_AGE breaks ties between equal dates.
 TIME_ORDER: tuple[str, ...] = ("ACT_DTE", "LOAN_AGE")
 LOAN_KEY = "LOAN_ID"
@@ -53,46 +55,11 @@ def window_columns(order: Sequence[str] = TIME_ORDER, w: WindowSpec | None = Non
 HOT_LOAN_ROWS = 1_000_000
 # Rows per chunk of a hot loan (each chunk also carries 36 halo rows).
 CHUNK_ROWS = 200_000
-# Hot-loan block tables above this many rows are joined, not broadcast.
-MAX_BROADCAST_ROWS = 1_000_000
 
 
 def hot_loans(perf: DataFrame, threshold: int = HOT_LOAN_ROWS) -> DataFrame:
     """Loans with more than ``threshold`` rows (partial aggregation: skew-safe)."""
-    return perf.groupBy(LOAN_KEY).count().where(F.col("count") > threshold).select(LOAN_KEY)
-
-
-def _global_positions(rows: DataFrame, order: Sequence[str], n_hot: int) -> DataFrame:
-    """0-based position of every row inside its loan, without one task per loan.
-
-    Range partitioning on (loan, time) spreads a hot loan over many tasks;
-    each task numbers its sorted rows, and a table of per-partition counts
-    (at most partitions + hot loans rows) turns the local numbers into
-    positions within the loan.
-    """
-    keys = [LOAN_KEY, *order]
-    # The numbered rows feed two consumers (the block table and the join), so
-    # they are checkpointed to the shared checkpoint folder: both then see
-    # the same ids, and the lineage is cut before the wide stages.
-    ided = (
-        rows.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("_pid", F.shiftright("_id", 33))
-        .checkpoint(eager=True)
-    )
-    before = Window.partitionBy(LOAN_KEY).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        ided.groupBy(LOAN_KEY, "_pid")
-        .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .select(LOAN_KEY, "_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    n_blocks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) + n_hot
-    if n_blocks <= MAX_BROADCAST_ROWS:
-        blocks = F.broadcast(blocks)
-    return ided.join(blocks, [LOAN_KEY, "_pid"]).withColumn(
-        "_pos", F.col("_offset") + F.col("_id") - F.col("_first")
-    ).drop("_id", "_pid", "_first", "_offset")
+    return hot_keys(perf, LOAN_KEY, threshold)
 
 
 def split_windows(rows: DataFrame, order: Sequence[str] = TIME_ORDER, chunk_rows: int = CHUNK_ROWS,
@@ -108,7 +75,7 @@ def split_windows(rows: DataFrame, order: Sequence[str] = TIME_ORDER, chunk_rows
     if chunk_rows < max(LOOK_BACK, LOOK_AHEAD_LONG):
         raise ValueError("chunk_rows must cover the longest frame")
     cols = rows.columns
-    pos = _global_positions(rows, order, n_hot)
+    pos = global_positions(rows, LOAN_KEY, order, n_hot)
     chunk = F.floor(F.col("_pos") / F.lit(chunk_rows))
     off = F.col("_pos") - chunk * F.lit(chunk_rows)
     copies = F.array(

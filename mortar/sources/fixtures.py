@@ -8,7 +8,9 @@ mapping document; every column of the tape grows with the input tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators.skew import row_positions
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,15 +122,22 @@ def fnma_acquisition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(*render(FNMA_ACQUISITION_EXPRS))
 
 
-def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with their 0-based month index k per user."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return table(spark, sf_dir, "events").withColumn("k", F.row_number().over(w) - 1)
+# Users with more events than this are numbered by the split path.
+HOT_USER_ROWS = 1_000_000
+
+
+def numbered_events(spark: SparkSession, sf_dir: str, hot_threshold: int | None = HOT_USER_ROWS) -> DataFrame:
+    """Events with their 0-based month index k per user, in (ts, event_id) order.
+
+    A user holding a large share of the events is numbered across many tasks
+    (``operators.skew.row_positions``) rather than in one window partition.
+    """
+    return row_positions(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], hot_threshold, "k")
 
 
-def fnma_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fnma_performance(spark: SparkSession, sf_dir: str, hot_threshold: int | None = HOT_USER_ROWS) -> DataFrame:
     """Raw FNMA monthly tape (typed dates, status still text)."""
-    return numbered_events(spark, sf_dir).selectExpr(*render(FNMA_PERFORMANCE_EXPRS))
+    return numbered_events(spark, sf_dir, hot_threshold).selectExpr(*render(FNMA_PERFORMANCE_EXPRS))
 
 
 # --- fixed values: FRED fixture mapping (this engine's own definition) --------

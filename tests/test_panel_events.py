@@ -151,3 +151,12 @@ def test_min_by_equals_row_number(spark):
         a = fn(panel)
         b = fn(panel, method="row_number").select(*a.columns)
         assert _rows(a) == _rows(b)
+
+
+def test_fixture_numbering_split_path_equals_plain(spark):
+    from conftest import SF001
+    from mortar.sources.fixtures import numbered_events
+    plain = numbered_events(spark, SF001, hot_threshold=None).select("event_id", "user_id", "k")
+    split = numbered_events(spark, SF001, hot_threshold=70).select("event_id", "user_id", "k")
+    assert dict(split.dtypes)["k"] == dict(plain.dtypes)["k"]
+    assert _rows(split) == _rows(plain)
