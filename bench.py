@@ -53,8 +53,11 @@ def main() -> None:
         return build(read_tape(spark, perf_txt, FNMA.performance), read_tape(spark, acq_txt, FNMA.acquisition),
                      FNMA, 12)
 
+    outputs: dict[str, str] = {}
+
     def out(label):
-        return scratch_path(spark, f"bench-out-{label}")
+        # one folder per query and run; the repeat overwrites it
+        return outputs.setdefault(label, scratch_path(spark, f"bench-out-{label}"))
 
     jobs = {
         "acquisition_load_write": lambda: save_parquet(read_acquisition(spark, acq_txt), out("acq")),

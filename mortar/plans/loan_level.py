@@ -19,6 +19,7 @@ from ..operators.outcome import event_universe, loan_outcome, universe_outcome
 from ..operators.panel import CHUNK_ROWS, HOT_LOAN_ROWS, enrich_panel, hot_loans
 from ..operators.schedule import panel_with_schedule
 from ..schema import Agency, agency as agency_of
+from ..sinks.parquet import save_vintage, sorted_for_sink
 
 
 @dataclass
@@ -95,6 +96,24 @@ class LoanLevel:
         return panel_with_schedule(panel, self.loans, self.month_count, ordered)
 
 
+def save(level: LoanLevel, folder: str, vintage: str, loan: bool = True, performance: bool = True) -> dict:
+    """S8 for a whole build: ``<folder>/<agency>/Loan.parquet/ACQ=<vintage>``
+    (the outcome) and ``.../LoanPerformance.parquet/ACQ=<vintage>`` (the
+    scheduled panel).  Only that vintage is replaced; each file is sorted by
+    its keys within the task that writes it.
+    """
+    paths = {}
+    if loan:
+        paths["Loan"] = save_vintage(sorted_for_sink(level.outcome(), ["LOAN_ID"], total_order=False),
+                                     folder, level.agency.name, "Loan", vintage)
+    perf = level.performance() if performance else None
+    if perf is not None:
+        paths["LoanPerformance"] = save_vintage(
+            sorted_for_sink(perf, ["LOAN_ID", "ACT_DTE"], total_order=False),
+            folder, level.agency.name, "LoanPerformance", vintage)
+    return paths
+
+
 def build(perf_raw: DataFrame, loans_raw: DataFrame | None = None, agency: str | Agency = "FNMA",
           month_count: int = 12, hot_threshold: int | None = HOT_LOAN_ROWS,
           chunk_rows: int = CHUNK_ROWS) -> LoanLevel:

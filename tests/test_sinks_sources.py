@@ -75,3 +75,17 @@ def test_sorted_sink_is_ordered(spark, tmp_dir):
             assert last <= ids[0]
         if ids:
             last = ids[-1]
+
+
+def test_save_build_by_vintage(spark, tmp_dir):
+    from mortar.plans.loan_level import build, save
+    lvl = build(fnma_performance(spark, SF0001), fnma_acquisition(spark, SF0001))
+    p1 = save(lvl, tmp_dir, "2000Q1")
+    p2 = save(lvl, tmp_dir, "2000Q2", performance=False)
+    assert p1["Loan"] == p2["Loan"] and p1["Loan"].endswith("/FNMA/Loan.parquet")
+    loans = spark.read.parquet(p1["Loan"])
+    assert sorted(r[0] for r in loans.select("ACQ").distinct().collect()) == ["2000Q1", "2000Q2"]
+    assert loans.where(F.col("ACQ") == "2000Q1").count() == lvl.outcome().count()
+    perf = spark.read.parquet(p1["LoanPerformance"])
+    assert perf.count() == lvl.performance().count()
+    assert [r[0] for r in perf.select("ACQ").distinct().collect()] == ["2000Q1"]
