@@ -42,6 +42,9 @@ def main() -> None:
             "spark.sql.shuffle.partitions": str(cpus * 4),
             "spark.driver.memory": "16g",
             "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+            # small local tapes: let the scan split below the 4 MB default
+            # file-open cost so every core gets a share
+            "spark.sql.files.openCostInBytes": str(1 << 20),
         },
     )
 
