@@ -291,7 +291,7 @@ def zero_balance_q(spark, sf):
 
 def _expanded_sql(source: str, column: str, size: int = 12, extra: str = "") -> str:
     """Padded array and its elements, as the A3/A4 oracle."""
-    n = f"coalesce(len({column}), 0)"
+    n = f"CAST(coalesce(len({column}), 0) AS INTEGER)"
     padded = (f"list_concat(list_transform(range(greatest(0, {size} - {n})), lambda x: -1), "
               f"coalesce({column}, []::INTEGER[]))")
     elems = ", ".join(f"padded[{i + 1}] AS {column}_{i}" for i in range(size))
@@ -517,7 +517,7 @@ def payment_table_q(spark, sf):
 
 @register("array_fill_size",
           "SELECT l.LOAN_ID, coalesce(array_to_string(f.F3Q_DLQ_LAGs12, ','), '') AS F3Q_DLQ_LAGs12, "
-          "coalesce(len(f.F3Q_DLQ_LAGs12), 0) AS F3Q_DLQ_LAGs12_OrigSize "
+          "CAST(coalesce(len(f.F3Q_DLQ_LAGs12), 0) AS INTEGER) AS F3Q_DLQ_LAGs12_OrigSize "
           "FROM loans l LEFT JOIN f3q f ON l.LOAN_ID = f.LOAN_ID")
 def array_fill_size_q(spark, sf):
     lvl = _level(spark, sf)

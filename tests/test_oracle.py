@@ -11,6 +11,8 @@ import __spark_entry__ as entry
 from conftest import SF0001
 
 TABLES = ["orders", "events"]
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN"}
 
 
 def _norm(v):
@@ -44,6 +46,10 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF0001)
     rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(entry.oracle_sql()[name])
+    duck_types = {c.lower(): str(t) for c, t in zip(rel.columns, rel.types)}
+    spark_types = {c.lower(): SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+    assert spark_types == duck_types
     cur = duck.execute(entry.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
