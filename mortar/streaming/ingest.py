@@ -12,10 +12,11 @@ batch over the landed table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.clean import staged_performance
 from ..schema import Agency, agency as agency_of
+from ..sinks.parquet import VINTAGE
 
 
 def landing_stream(spark: SparkSession, source_dir: str, agency: str | Agency = "FNMA",
@@ -34,16 +35,22 @@ def landing_stream(spark: SparkSession, source_dir: str, agency: str | Agency =
 
 def ingest_incremental(spark: SparkSession, source_dir: str, target_dir: str, checkpoint_dir: str,
                        agency: str | Agency = "FNMA", max_files_per_trigger: int = 1,
-                       timeout_s: float | None = None) -> str:
+                       timeout_s: float | None = None, vintage: str | None = None) -> str:
     """Process every file present now, in batches, then stop.
 
     Re-running with the same checkpoint picks up only files that arrived
-    since; the staging table is appended to, never rewritten.
+    since; the staging table is appended to, never rewritten.  With
+    ``vintage`` the rows land directly in the ``ACQ=<vintage>`` layout
+    (S5 + S6 in one stream).
     """
     stream = landing_stream(spark, source_dir, agency, max_files_per_trigger)
+    if vintage is not None:
+        stream = stream.withColumn(VINTAGE, F.lit(vintage))
+    writer = stream.writeStream.format("parquet")
+    if vintage is not None:
+        writer = writer.partitionBy(VINTAGE)
     query = (
-        stream.writeStream.format("parquet")
-        .option("path", target_dir)
+        writer.option("path", target_dir)
         .option("checkpointLocation", checkpoint_dir)
         .outputMode("append")
         .trigger(availableNow=True)

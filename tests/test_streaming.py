@@ -21,3 +21,13 @@ def test_incremental_ingest_picks_up_only_new_files(spark, tmp_dir):
     assert staged.count() == perf.count()  # no file read twice, none lost
     assert staged.where(F.col("Months_To_Legal_Mat").isNull()).count() == 0  # defaults filled
     assert dict(staged.dtypes)["ACT_DTE"] == "date"
+
+
+def test_ingest_into_vintage_layout(spark, tmp_dir):
+    perf = fnma_performance(spark, SF0001)
+    landing, target, ckpt = tmp_dir + "/landing", tmp_dir + "/staged", tmp_dir + "/ckpt"
+    write_tape(perf, landing, FNMA.performance, num_files=3)
+    ingest_incremental(spark, landing, target, ckpt, "FNMA", 1, timeout_s=300, vintage="2000Q1")
+    staged = spark.read.parquet(target)
+    assert staged.count() == perf.count()
+    assert [r[0] for r in staged.select("ACQ").distinct().collect()] == ["2000Q1"]
