@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import checkpoint_root
+
 # Key sets / block tables above this many rows are joined, not broadcast.
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -32,6 +34,7 @@ def global_positions(rows: DataFrame, key: str, order: Sequence[str], n_hot: int
     positions within the key.  ``order`` must be a total order per key.
     """
     keys = [key, *order]
+    checkpoint_root(rows.sparkSession)  # the session's shared folder (set only where unset)
     # The numbered rows feed two consumers (the block table and the join), so
     # they are checkpointed to the shared checkpoint folder: both then see
     # the same ids, and the lineage is cut before the wide stages.

@@ -160,3 +160,43 @@ def test_fixture_numbering_split_path_equals_plain(spark):
     split = numbered_events(spark, SF001, hot_threshold=70).select("event_id", "user_id", "k")
     assert dict(split.dtypes)["k"] == dict(plain.dtypes)["k"]
     assert _rows(split) == _rows(plain)
+
+
+def _expected_windows(statuses, zbs, mods):
+    out = []
+    n = len(statuses)
+
+    def mx(values):
+        vals = [v for v in values if v is not None]
+        return max(vals) if vals else None
+
+    for i in range(n):
+        out.append((
+            statuses[i - 1] if i > 0 else None,
+            statuses[max(0, i - 12):i],
+            mx(statuses[i + 1:i + 13]), mx(statuses[i + 1:i + 25]),
+            mx(zbs[i + 1:i + 13]), mx(zbs[i + 1:i + 25]),
+            mx(mods[i + 1:i + 13]), mx(mods[i + 1:i + 25]),
+        ))
+    return out
+
+
+def test_windows_match_python_reference_on_random_panels(spark):
+    import numpy as np
+    rng = np.random.default_rng(11)
+    rows, expected = [], {}
+    for loan in range(40):
+        n = int(rng.integers(1, 60))
+        statuses = [int(x) for x in rng.integers(-2, 7, n)]
+        zbs = [None if rng.random() < 0.9 else f"0{int(rng.integers(1, 10))}" for _ in range(n)]
+        mods = [str(rng.choice(["Y", "N"])) for _ in range(n)]
+        lid = f"L{loan}"
+        for i in range(n):
+            rows.append((lid, month(i), i, statuses[i], mods[i], zbs[i], None, 1.0, None, None, None, 0.0, 0.0))
+        for i, e in enumerate(_expected_windows(statuses, zbs, mods)):
+            expected[(lid, i)] = e
+    got = enrich_panel(spark.createDataFrame(rows, SCHEMA), hot_threshold=None).collect()
+    assert len(got) == len(expected)
+    for r in got:
+        assert (r.DLQ_LAG, r.DLQ_LAGs12, r.DLQ_NEXT12MAX, r.DLQ_NEXT24MAX, r.ZBCODE_NEXT12, r.ZBCODE_NEXT24,
+                r.MOD_NEXT12, r.MOD_NEXT24) == expected[(r.LOAN_ID, r.LOAN_AGE)]
