@@ -200,3 +200,26 @@ def test_windows_match_python_reference_on_random_panels(spark):
     for r in got:
         assert (r.DLQ_LAG, r.DLQ_LAGs12, r.DLQ_NEXT12MAX, r.DLQ_NEXT24MAX, r.ZBCODE_NEXT12, r.ZBCODE_NEXT24,
                 r.MOD_NEXT12, r.MOD_NEXT24) == expected[(r.LOAN_ID, r.LOAN_AGE)]
+
+
+def test_single_row_history(spark):
+    df = spark.createDataFrame(panel_rows("S", [4], mods=(0,), zbs=(0,)), SCHEMA)
+    r = enrich_panel(df, hot_threshold=None).collect()[0]
+    assert r.DLQ_LAG is None and r.DLQ_LAGs12 == []
+    assert r.DLQ_NEXT12MAX is None and r.ZBCODE_NEXT24 is None and r.MOD_NEXT12 is None
+    ev = loan_events(enrich_panel(df, hot_threshold=None)).collect()
+    assert len(ev) == 1 and ev[0].MOD_AGE == 0 and ev[0].F3Q_AGE == 0 and ev[0].ZB_AGE == 0
+
+
+def test_fred_costs_and_missing_dates(spark):
+    from conftest import SF001
+    from mortar.plans.loan_level import build
+    from mortar.schema import FRED
+    from mortar.sources.fixtures import fred_performance
+    lvl = build(fred_performance(spark, SF001), None, FRED)
+    base = lvl.perf_base
+    row = base.where(F.col("LEGAL_COST").isNotNull() & F.col("MAINT_COST").isNotNull()
+                     & F.col("TAX_COST").isNotNull() & F.col("MISC_COST").isNotNull()).first()
+    assert row.DEFT_COST == row.LEGAL_COST + row.MAINT_COST + row.TAX_COST + row.MISC_COST
+    zb = zero_balance_events(lvl.panel).collect()
+    assert zb and all(r.FCC_DTE is None and r.DISP_DTE is None for r in zb)
