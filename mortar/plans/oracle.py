@@ -111,7 +111,9 @@ ev AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)
 {agency_ctes(FNMA, "", FNMA_ACQUISITION_EXPRS, FNMA_PERFORMANCE_EXPRS).strip()},
 terms AS (SELECT LOAN_ID, ORIG_AMT AS P, ORIG_RT / 1200.0 AS r, ORIG_TRM AS n FROM loans),
 pay AS (SELECT *, CASE WHEN r = 0 THEN P / n ELSE P * (r / (1 - pow(1 + r, -n))) END AS A FROM terms),
-{agency_ctes(FRED, "fred_", fred_exprs("acquisition"), fred_exprs("performance")).strip()}
+{agency_ctes(FRED, "fred_", fred_exprs("acquisition"), fred_exprs("performance")).strip()},
+fred_terms AS (SELECT LOAN_ID, ORIG_AMT AS P, ORIG_RT / 1200.0 AS r, ORIG_TRM AS n FROM fred_loans),
+fred_pay AS (SELECT *, CASE WHEN r = 0 THEN P / n ELSE P * (r / (1 - pow(1 + r, -n))) END AS A FROM fred_terms)
 """
 
 FRED_LOAN_COLS = FRED.acquisition.keep_names + ["ACQ"]
@@ -151,7 +153,7 @@ def masked_cell_sql(i: str, start: int) -> str:
             f"WHEN {t} = n THEN 0.0 WHEN {t} > n THEN -999.0 END)")
 
 
-def month_count_sql(end_minus_start: int | None) -> str:
+def month_count_sql(end_minus_start: int | None, loans: str = "loans") -> str:
     if end_minus_start is None:
-        return "(SELECT max(ORIG_TRM) FROM loans)"
-    return f"(SELECT least(max(ORIG_TRM), {max(1, end_minus_start)}) FROM loans)"
+        return f"(SELECT max(ORIG_TRM) FROM {loans})"
+    return f"(SELECT least(max(ORIG_TRM), {max(1, end_minus_start)}) FROM {loans})"

@@ -604,3 +604,19 @@ def fred_loan_outcome_q(spark, sf):
     lvl = build(read_tape(spark, _fred_text(spark, sf, "performance"), FRED.performance),
                 read_tape(spark, _fred_text(spark, sf, "acquisition"), FRED.acquisition), FRED, MONTH_COUNT)
     return present(lvl.outcome())
+
+
+_FRED_PWS_COLS = ", ".join(
+    f"coalesce(p.LAST_UPB, round({O.masked_cell_sql('p.LOAN_AGE', 0)}, 3) + 0.0) AS LAST_UPB"
+    if c == "LAST_UPB" else f"p.{c}" for c in O.FRED_PERF_KEEP
+)
+
+
+@register("fred_panel_with_schedule",
+          f"SELECT {_FRED_PWS_COLS} FROM fred_perf p LEFT JOIN "
+          f"(SELECT *, {O.month_count_sql(MONTH_COUNT, 'fred_loans')} AS N FROM fred_pay) s "
+          "ON p.LOAN_ID = s.LOAN_ID AND p.LOAN_AGE < s.N WHERE p.LOAN_AGE >= 0")
+def fred_panel_with_schedule_q(spark, sf):
+    lvl = build(read_tape(spark, _fred_text(spark, sf, "performance"), FRED.performance),
+                read_tape(spark, _fred_text(spark, sf, "acquisition"), FRED.acquisition), FRED, MONTH_COUNT)
+    return lvl.performance()
