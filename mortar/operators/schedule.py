@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions.amortize import balance, balance_by_principal_parts, level_payment, masked_balance
 from ..functions.cleaning import monthly_rate
+from ..session import parallelism
 
 LOAN_TERMS = ("LOAN_ID", "ORIG_AMT", "ORIG_RT", "ORIG_TRM")
 
@@ -269,7 +270,7 @@ def payment_table(loans: DataFrame, rows_per_task: int | None = 2_000_000,
     )
     if rows_per_task:
         total = terms.agg(F.sum("ORIG_TRM")).first()[0] or 0
-        parallelism = terms.sparkSession.sparkContext.defaultParallelism
-        waves = max(1, -(-int(total) // (rows_per_task * parallelism)))
-        terms = terms.repartition(waves * parallelism)  # whole waves: no idle tail
+        slots = parallelism(terms.sparkSession)
+        waves = max(1, -(-int(total) // (rows_per_task * slots)))
+        terms = terms.repartition(waves * slots)  # whole waves: no idle tail
     return terms.mapInArrow(partial(_payment_batches, round_payment=round_payment), PAYMENT_SCHEMA)
