@@ -60,13 +60,3 @@ def masked_balance(principal, rate, term, t) -> Column:
         .when(t == n, F.lit(0.0))
         .when(t > n, F.lit(BEYOND_TERM))
     )
-
-
-def interest_part(principal, rate, term, t) -> Column:
-    """Interest in payment t: B(t-1) * r."""
-    return balance(principal, rate, term, col_of(t) - 1) * col_of(rate)
-
-
-def principal_part(principal, rate, term, t) -> Column:
-    """Principal in payment t: A - B(t-1) * r."""
-    return level_payment(principal, rate, term) - interest_part(principal, rate, term, t)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -87,9 +86,3 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return path
-
-
-def ensure_dir(path: str) -> str:
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(local_path(path), exist_ok=True)
-    return path

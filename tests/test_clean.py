@@ -87,3 +87,19 @@ def test_malformed_text_rows(spark, tmp_dir):
     assert loans["10"].ORIG_TRM is None and loans["10"].NUM_BO == -1
     assert len(rejected_rows(spark, path, FNMA.acquisition).collect()) == 2  # bad number, short row
     assert read_tape(spark, path, FNMA.acquisition).count() == 4
+
+
+def test_drop_flagged_and_staged_scan(spark, tmp_dir):
+    from conftest import SF0001
+    from mortar.operators.clean import drop_flagged
+    from mortar.sources.fixtures import fnma_acquisition, fnma_performance
+    from mortar.sources.text import read_performance_staged, write_tape
+    raw = fnma_acquisition(spark, SF0001)
+    assert "SellerName" not in drop_flagged(raw, FNMA.acquisition).columns
+    perf = fnma_performance(spark, SF0001)
+    write_tape(perf, tmp_dir + "/perf", FNMA.performance)
+    staged = read_performance_staged(spark, tmp_dir + "/perf", FNMA)
+    assert staged.columns == FNMA.performance.names  # all columns kept
+    assert staged.where(F.col("Adj_Month_To_Mat").isNull()).count() == 0  # defaults filled
+    assert staged.where(F.col("Adj_Month_To_Mat") == -1).count() == perf.where(F.col("Adj_Month_To_Mat").isNull()).count()
+    assert dict(staged.dtypes)["ACT_DTE"] == "date" and dict(staged.dtypes)["DLQ_STATUS"] == "string"
