@@ -59,3 +59,23 @@ def test_bucketed_panel_needs_no_exchange(spark, tmp_dir):
         assert "Exchange" not in plan and "Window [" in plan
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_bucketed_tables_join_without_exchange(spark, tmp_dir):
+    from mortar.operators.clean import keep_columns
+    from mortar.operators.schedule import scheduled_balance_at_age
+    from mortar.sinks.parquet import save_bucketed
+    lvl = _level(spark, tmp_dir)
+    panel = save_bucketed(spark, keep_columns(lvl.perf_base, FNMA.performance), "mortar_test_db", "pb_panel", 4,
+                          "LOAN_ID", ["ACT_DTE", "LOAN_AGE"], path=tmp_dir + "/pb_panel")
+    loans = save_bucketed(spark, lvl.loans, "mortar_test_db", "pb_loans", 4, "LOAN_ID", path=tmp_dir + "/pb_loans")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = scheduled_balance_at_age(spark.table(panel), spark.table(loans), 12)
+        plan = _plan(joined)
+        assert "SortMergeJoin" in plan
+        assert "Exchange hashpartitioning" not in plan  # both sides read co-partitioned buckets
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
