@@ -20,7 +20,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from mortar.operators.schedule import payment_table, schedule_long  # noqa: E402
+from mortar.operators.schedule import PAYMENT_MONEY, payment_table, schedule_long  # noqa: E402
 from mortar.plans.loan_level import build  # noqa: E402
 from mortar.schema import FNMA  # noqa: E402
 from mortar.session import build_session, scratch_path  # noqa: E402
@@ -73,7 +73,8 @@ def main() -> None:
         "panel_with_schedule": lambda: save_parquet(
             sorted_for_sink(loan_level().performance(), ["LOAN_ID", "ACT_DTE"], total_order=False), out("pws")),
         "schedule_long": lambda: save_parquet(schedule_long(read_acquisition(spark, acq_txt), 12), out("schd")),
-        "payment_table": lambda: save_parquet(payment_table(read_acquisition(spark, acq_txt)), out("pay")),
+        "payment_table": lambda: save_parquet(payment_table(read_acquisition(spark, acq_txt)), out("pay"),
+                                              no_dictionary=PAYMENT_MONEY),
     }
 
     # Warm the JVM once on the smallest job.

@@ -170,6 +170,9 @@ PAYMENT_SCHEMA = T.StructType([
     T.StructField("END_BAL", T.DoubleType()),
 ])
 
+# Computed amounts of the payment table (high entropy: no dictionary pays off).
+PAYMENT_MONEY = ("BEG_BAL", "PAYMENT", "PRINCIPAL", "INTEREST", "END_BAL")
+
 # Loans per NumPy block; bounds a block's output to ~360 rows per loan.
 _BLOCK = 2048
 

@@ -32,9 +32,18 @@ def sorted_for_sink(df: DataFrame, keys: list[str], partitions: int | None = Non
     return ranged.sortWithinPartitions(*keys)
 
 
-def save_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Write one table to a given path."""
-    df.write.mode(mode).parquet(path)
+def save_parquet(df: DataFrame, path: str, mode: str = "overwrite",
+                 no_dictionary: list[str] | tuple[str, ...] = ()) -> str:
+    """Write one table to a given path.
+
+    ``no_dictionary`` names high-entropy columns (computed balances and
+    amounts) for which the writer should skip the dictionary it would build
+    and then abandon.
+    """
+    writer = df.write.mode(mode)
+    for c in no_dictionary:
+        writer = writer.option(f"parquet.enable.dictionary#{c}", "false")
+    writer.parquet(path)
     return path
 
 

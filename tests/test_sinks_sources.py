@@ -89,3 +89,11 @@ def test_save_build_by_vintage(spark, tmp_dir):
     perf = spark.read.parquet(p1["LoanPerformance"])
     assert perf.count() == lvl.performance().count()
     assert [r[0] for r in perf.select("ACQ").distinct().collect()] == ["2000Q1"]
+
+
+def test_save_parquet_without_dictionary(spark, tmp_dir):
+    from mortar.operators.schedule import PAYMENT_MONEY, payment_table
+    loans = clean_acquisition(fnma_acquisition(spark, SF0001), FNMA).where(F.col("ORIG_TRM") < 12)
+    pt = payment_table(loans)
+    path = save_parquet(pt, tmp_dir + "/pay", no_dictionary=PAYMENT_MONEY)
+    assert _rows(spark.read.parquet(path)) == _rows(pt)
