@@ -103,3 +103,27 @@ def test_drop_flagged_and_staged_scan(spark, tmp_dir):
     assert staged.where(F.col("Adj_Month_To_Mat").isNull()).count() == 0  # defaults filled
     assert staged.where(F.col("Adj_Month_To_Mat") == -1).count() == perf.where(F.col("Adj_Month_To_Mat").isNull()).count()
     assert dict(staged.dtypes)["ACT_DTE"] == "date" and dict(staged.dtypes)["DLQ_STATUS"] == "string"
+
+
+def test_cent_rounding_same_in_spark_and_numpy(spark):
+    import numpy as np
+    from mortar.functions.cleaning import round_half_up
+    from mortar.operators.schedule import _round_cents
+    rng = np.random.default_rng(3)
+    vals = np.concatenate([rng.uniform(-1e6, 1e6, 2000), np.round(rng.uniform(0, 1e4, 500), 3) + 0.005,
+                           [0.125, 2.675, -0.005, 1e-9, 0.0]])
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    got = [r[0] for r in df.select(round_half_up("x", 2)).collect()]
+    assert np.array_equal(np.array(got), _round_cents(vals) + 0.0)
+
+
+def test_date_patterns_round_trip(spark):
+    import random
+    from pyspark.sql import functions as F
+    rnd = random.Random(5)
+    days = [dt.date(rnd.randint(1990, 2030), rnd.randint(1, 12), rnd.randint(1, 28)) for _ in range(300)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    for pattern, first_of_month in [("MM/yyyy", True), ("MM/dd/yyyy", False), ("yyyyMM", True)]:
+        back = df.select("d", parse_date(F.date_format("d", pattern), pattern).alias("p")).collect()
+        for r in back:
+            assert r.p == (r.d.replace(day=1) if first_of_month else r.d), pattern
