@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from ..functions.amortize import balance, balance_by_principal_parts, level_payment, masked_balance
+from ..functions.amortize import BEYOND_TERM, balance, balance_by_principal_parts, level_payment, masked_balance
 from ..functions.cleaning import monthly_rate
 from ..session import parallelism
 
@@ -141,13 +141,18 @@ def panel_with_schedule(panel: DataFrame, loans: DataFrame, month_count_: int =
                         ordered: bool = False) -> DataFrame:
     """J5 + P10 + F1: fill missing LAST_UPB with the scheduled balance (3 places).
 
+    Past the term the schedule holds -999; such rows keep a null balance.
+
     ``loans`` must be the loan tape itself (one row per loan), not an outcome
     table that repeats loans.
     """
+    schd = F.col("SCHD_UPB")
+    # The -999 "beyond the term" marker is not a balance: it fills nothing.
+    fill = F.when(schd != F.lit(BEYOND_TERM), F.round(schd, 3))
     out = (
         scheduled_balance_at_age(panel, loans, month_count_)
         .where(F.col("LOAN_AGE") >= 0)
-        .withColumn("LAST_UPB", F.coalesce(F.col("LAST_UPB"), F.round(F.col("SCHD_UPB"), 3)))
+        .withColumn("LAST_UPB", F.coalesce(F.col("LAST_UPB"), fill))
         .drop("SCHD_UPB")
     )
     return out.orderBy("LOAN_ID", "ACT_DTE") if ordered else out

@@ -397,8 +397,11 @@ register("universe_outcome_joins", _UNIVERSE_OUTCOME)(
     lambda spark, sf: present(build(fnma_performance(spark, sf), None, FNMA, MONTH_COUNT).outcome_by_joins()))
 
 
+# P10: -999 (past the term) fills nothing.
+_FILL_SQL = (f"CASE WHEN {O.masked_cell_sql('p.LOAN_AGE', 0)} = -999.0 THEN NULL "
+             f"ELSE round({O.masked_cell_sql('p.LOAN_AGE', 0)}, 3) + 0.0 END")
 _PWS_COLS = ", ".join(
-    f"coalesce(p.LAST_UPB, round({O.masked_cell_sql('p.LOAN_AGE', 0)}, 3) + 0.0) AS LAST_UPB"
+    f"coalesce(p.LAST_UPB, {_FILL_SQL}) AS LAST_UPB"
     if c == "LAST_UPB" else f"p.{c}" for c in O.PERF_KEEP
 )
 
@@ -607,7 +610,7 @@ def fred_loan_outcome_q(spark, sf):
 
 
 _FRED_PWS_COLS = ", ".join(
-    f"coalesce(p.LAST_UPB, round({O.masked_cell_sql('p.LOAN_AGE', 0)}, 3) + 0.0) AS LAST_UPB"
+    f"coalesce(p.LAST_UPB, {_FILL_SQL}) AS LAST_UPB"
     if c == "LAST_UPB" else f"p.{c}" for c in O.FRED_PERF_KEEP
 )
 

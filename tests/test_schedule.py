@@ -132,3 +132,15 @@ def test_closed_form_random_loans(spark):
         exp = recurrence(p, rate, n, 36)
         vals = [got[lid][t] for t in range(36)]
         assert np.allclose(vals, exp, rtol=1e-9, atol=1e-6), lid
+
+
+def test_fill_skips_beyond_term_marker(spark):
+    from mortar.operators.schedule import panel_with_schedule
+    # a 360-month loan in the set makes N = 12, so ages 6..9 are scheduled
+    loans = loans_df(spark, [("s", 1000.0, 6.0, 6), ("l", 1000.0, 6.0, 360)])
+    panel = spark.createDataFrame([("s", age, None) for age in range(0, 10)],
+                                  "LOAN_ID string, LOAN_AGE int, LAST_UPB double")
+    got = {r.LOAN_AGE: r.LAST_UPB for r in panel_with_schedule(panel, loans, 12).collect()}
+    assert got[0] == 1000.0 and got[5] > 0
+    assert got[6] == 0.0                       # paid off at the term
+    assert all(got[a] is None for a in (7, 8, 9))  # past the term: no -999 balance
