@@ -10,8 +10,13 @@ from pyspark.sql import types as T
 from ..schema import ColumnSpec
 
 
-def col_of(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def col_of(c: str | Column | int | float) -> Column:
+    """Column name, Column, or a scalar (wrapped as a literal column)."""
+    if isinstance(c, str):
+        return F.col(c)
+    if isinstance(c, (int, float)):
+        return F.lit(c)
+    return c
 
 
 def parse_date(c: str | Column, pattern: str) -> Column:

@@ -144,3 +144,13 @@ def test_fill_skips_beyond_term_marker(spark):
     assert got[0] == 1000.0 and got[5] > 0
     assert got[6] == 0.0                       # paid off at the term
     assert all(got[a] is None for a in (7, 8, 9))  # past the term: no -999 balance
+
+
+def test_scalar_inputs(spark):
+    from mortar.functions.amortize import level_payment, masked_balance
+    row = spark.range(1).select(
+        level_payment(55000.0, 7.875 / 1200.0, 180).alias("a"),
+        masked_balance(1000.0, 0.0, 10, 4).alias("b"),
+        masked_balance(1000.0, 0.005, 6, 7).alias("c"),
+    ).first()
+    assert round(row.a, 2) == 521.65 and row.b == 600.0 and row.c == -999.0
