@@ -223,3 +223,31 @@ def test_fred_costs_and_missing_dates(spark):
     assert row.DEFT_COST == row.LEGAL_COST + row.MAINT_COST + row.TAX_COST + row.MISC_COST
     zb = zero_balance_events(lvl.panel).collect()
     assert zb and all(r.FCC_DTE is None and r.DISP_DTE is None for r in zb)
+
+
+def test_one_loan_with_a_third_of_all_rows(spark):
+    """The skew case: one loan holds a third of the panel; split path == plain."""
+    from mortar.operators.events import loan_events
+    from mortar.operators.panel import WINDOW_COLUMNS
+    ids = spark.range(30000)
+    panel = ids.select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("L"), (F.col("id") % 500).cast("string")))
+        .alias("LOAN_ID"),
+        F.date_add(F.lit(dt.date(2000, 1, 1)), F.col("id").cast("int")).alias("ACT_DTE"),
+        F.col("id").cast("int").alias("LOAN_AGE"),
+        ((F.col("id") * 7919) % 9 - 2).cast("int").alias("DLQ_STATUS"),
+        F.when(F.col("id") % 97 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("MOD_FLAG"),
+        F.when(F.col("id") % 1013 == 0, F.lit("03")).alias("ZB_CODE"),
+        F.lit(None).cast("date").alias("ZB_DTE"),
+        F.col("id").cast("double").alias("LAST_UPB"),
+        F.lit(None).cast("date").alias("LPI_DTE"), F.lit(None).cast("date").alias("FCC_DTE"),
+        F.lit(None).cast("date").alias("DISP_DTE"),
+        F.lit(1.0).alias("DEFT_COST"), F.lit(2.0).alias("DEFT_PROCS"),
+    )
+    cols = ["LOAN_ID", "ACT_DTE", "LOAN_AGE", *WINDOW_COLUMNS]
+    plain = enrich_panel(panel, hot_threshold=None)
+    split = enrich_panel(panel, hot_threshold=5000, chunk_rows=2000)
+    assert _rows(split.select(*cols)) == _rows(plain.select(*cols))
+    a = loan_events(split, by_aggregation=True)
+    b = loan_events(plain).select(*a.columns)
+    assert _rows(a) == _rows(b)
