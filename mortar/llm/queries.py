@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontam import match_digest
 from .licenses import license_digest
 from .lines import line_digest
+from .pieces import token_digest
+from .topk import top_digest
+from .warc import record_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,3 +63,29 @@ def op2_decontamination(spark, sf_dir):
 @register("op7_license_scan")
 def op7_license_scan(spark, sf_dir):
     return license_digest(table(spark, sf_dir, "documents"))
+
+
+@register("op6_sentencepiece")
+def op6_sentencepiece(spark, sf_dir):
+    return token_digest(table(spark, sf_dir, "documents"))
+
+
+@register("op8_topk_search", """
+WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 5
+""")
+def op8_topk_search(spark, sf_dir):
+    return top_digest(table(spark, sf_dir, "embeddings"))
+
+
+@register("op10_warc")
+def op10_warc(spark, sf_dir):
+    return record_digest(table(spark, sf_dir, "pages"))
