@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontam import match_digest
+from .jaccard import component_digest
 from .licenses import license_digest
 from .lines import line_digest
 from .pieces import token_digest
 from .topk import top_digest
+from .wrappers import text_digest
 from .warc import record_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +91,13 @@ def op8_topk_search(spark, sf_dir):
 @register("op10_warc")
 def op10_warc(spark, sf_dir):
     return record_digest(table(spark, sf_dir, "pages"))
+
+
+@register("op5_ngram_jaccard_join")
+def op5_ngram_jaccard_join(spark, sf_dir):
+    return component_digest(table(spark, sf_dir, "documents"))
+
+
+@register("op9_html_extraction")
+def op9_html_extraction(spark, sf_dir):
+    return text_digest(table(spark, sf_dir, "pages"))
