@@ -11,7 +11,9 @@ from .jaccard import component_digest
 from .licenses import license_digest
 from .lines import line_digest
 from .pieces import token_digest
+from .quality import quality_digest
 from .topk import top_digest
+from .toxicity import toxicity_digest
 from .wrappers import text_digest
 from .warc import record_digest
 
@@ -101,3 +103,13 @@ def op5_ngram_jaccard_join(spark, sf_dir):
 @register("op9_html_extraction")
 def op9_html_extraction(spark, sf_dir):
     return text_digest(table(spark, sf_dir, "pages"))
+
+
+@register("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    return toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op4_quality_classifier")
+def op4_quality_classifier(spark, sf_dir):
+    return quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
