@@ -62,6 +62,13 @@ HEADER_NAMES = frozenset("header topbar".split())
 ROOTS = frozenset("article main".split())
 # --- end of fixed values ------------------------------------------------------
 
+# Siblings of these elements are folded whenever they follow each other, those of
+# others (parts of a layout) in runs of more than RUN.
+LISTED = frozenset("p li tr td th dt dd option h1 h2 h3 h4 h5 h6 figure blockquote pre".split())
+RUN = 12
+# Elements nested deeper are read as children of the last level.
+DEPTH = 200
+
 MIN_PAGES = 3
 MAX_WRAPPER_BYTES = 32 << 20
 
@@ -118,10 +125,8 @@ def parse(source: str) -> Node:
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}[\\s/>]", re.I).search(source, at)
             at = end.start() if end else size
-        elif tag not in VOID and not m.group(3).endswith("/"):
-            stack.append(node)
-        elif tag not in VOID and tag in INLINE | {"p", "div"}:
-            stack.append(node)  # browsers ignore the slash of ordinary elements
+        elif tag not in VOID and len(stack) < DEPTH and (not m.group(3).endswith("/") or tag in INLINE | {"p", "div"}):
+            stack.append(node)  # (browsers ignore the slash of ordinary elements)
     return root
 
 
@@ -180,6 +185,8 @@ def skeleton(root: Node) -> list:
             else:
                 groups.append([child])
         inline = " ".join(plain_text(c) for c in children if c.tag in INLINE)
+        groups = [part for g in groups for part in (
+            [g] if g[0].tag in LISTED or len(g) > RUN else [[n] for n in g])]
         mark = hashlib.blake2b((own + "\0" + inline).encode("utf-8", "replace"), digest_size=6).hexdigest() \
             if own or inline else ""
         return [members[0].tag, mark, mine, [build(g) for g in groups]]
