@@ -24,9 +24,10 @@ def _growth(r: Column, t: Column) -> Column:
 
 
 def level_payment(principal, rate, term) -> Column:
-    """A = P r / (1 - (1+r)^-n); P / n when the rate is zero."""
+    """A = P r / (1 - (1+r)^-n); P / n when the rate is zero; null for a term below one."""
     p, r, n = col_of(principal), col_of(rate), col_of(term)
-    return F.when(r == 0, p / n).otherwise(p * (r / (F.lit(1.0) - F.pow(F.lit(1.0) + r, -n))))
+    level = p * F.try_divide(r, F.lit(1.0) - F.pow(F.lit(1.0) + r, -n))
+    return F.when(n > 0, F.when(r == 0, F.try_divide(p, n)).otherwise(level))
 
 
 def balance(principal, rate, term, t) -> Column:
@@ -34,7 +35,7 @@ def balance(principal, rate, term, t) -> Column:
     p, r, n, t = col_of(principal), col_of(rate), col_of(term), col_of(t)
     a = level_payment(p, r, n)
     g = _growth(r, t)
-    return F.when(r == 0, p - a * t).otherwise(p * g - a * (g - F.lit(1.0)) / r)
+    return F.when(r == 0, p - a * t).otherwise(p * g - F.try_divide(a * (g - F.lit(1.0)), r))
 
 
 def balance_by_principal_parts(principal, rate, term, t) -> Column:
@@ -46,17 +47,18 @@ def balance_by_principal_parts(principal, rate, term, t) -> Column:
     p, r, n, t = col_of(principal), col_of(rate), col_of(term), col_of(t)
     a = level_payment(p, r, n)
     g = _growth(r, t)
-    return F.when(r == 0, p - a * t).otherwise(p - (a - p * r) * (g - F.lit(1.0)) / r)
+    return F.when(r == 0, p - a * t).otherwise(p - F.try_divide((a - p * r) * (g - F.lit(1.0)), r))
 
 
 def masked_balance(principal, rate, term, t) -> Column:
     """Scheduled balance with the term mask: B(t) before n, 0 at n, -999 after.
 
-    Null when the term is unknown (for example a loan missing from the tape).
+    Null when the term is unknown (for example a loan missing from the tape)
+    or below one month.
     """
     n, t = col_of(term), col_of(t)
-    return (
+    return F.when(n > 0, (
         F.when(t < n, balance(principal, rate, term, t))
         .when(t == n, F.lit(0.0))
         .when(t > n, F.lit(BEYOND_TERM))
-    )
+    ))

@@ -136,7 +136,3 @@ def keep_columns(df: DataFrame, tape: TapeSchema) -> DataFrame:
     """P5: keep-list projection in schema order."""
     return df.select(*[c for c in tape.keep_names if c in df.columns])
 
-
-def drop_flagged(df: DataFrame, tape: TapeSchema) -> DataFrame:
-    """Remove the columns flagged ``keep=False``."""
-    return df.drop(*tape.dropped_names)

@@ -10,15 +10,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .events import has_event
 
-def event_universe(mod: DataFrame, f3q: DataFrame, zb: DataFrame) -> DataFrame:
-    """Distinct loans that have any event."""
-    return (
-        mod.select("LOAN_ID")
-        .unionByName(f3q.select("LOAN_ID"))
-        .unionByName(zb.select("LOAN_ID"))
-        .distinct()
-    )
+
+def event_universe(perf: DataFrame) -> DataFrame:
+    """Distinct loans that have any event.
+
+    Whether a month is an event depends on its own row only, so one filter
+    over the monthly rows and a partial distinct do; no window is needed.
+    """
+    return perf.where(has_event()).select("LOAN_ID").distinct()
 
 
 def attach_events(base: DataFrame, mod: DataFrame, f3q: DataFrame, zb: DataFrame) -> DataFrame:
@@ -41,9 +42,9 @@ def loan_outcome(loans: DataFrame, mod: DataFrame, f3q: DataFrame, zb: DataFrame
     return out.orderBy("LOAN_ID") if ordered else out
 
 
-def universe_outcome(mod: DataFrame, f3q: DataFrame, zb: DataFrame) -> DataFrame:
+def universe_outcome(universe: DataFrame, mod: DataFrame, f3q: DataFrame, zb: DataFrame) -> DataFrame:
     """Outcome rows for the event universe when no loan tape is loaded."""
-    return attach_events(event_universe(mod, f3q, zb), mod, f3q, zb)
+    return attach_events(universe, mod, f3q, zb)
 
 
 def loan_with(loans: DataFrame, events: DataFrame) -> DataFrame:

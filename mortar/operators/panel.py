@@ -11,10 +11,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
-from .skew import MAX_BROADCAST_ROWS, hot_keys, global_positions
-
-# Time order inside a loan; LOAN_AGE breaks ties between equal dates.
-TIME_ORDER: tuple[str, ...] = ("ACT_DTE", "LOAN_AGE")
+from .skew import global_positions, hot_keys, split_by_key
+
+# Time order inside a loan: date, then age, then every other column that the
+# windows and events read, so that rows which still tie are alike in all of
+# them and the result depends on neither partitioning nor plan.
+TIME_ORDER: tuple[str, ...] = (
+    "ACT_DTE", "LOAN_AGE", "DLQ_STATUS", "ZB_CODE", "MOD_FLAG", "LAST_UPB", "ZB_DTE", "LPI_DTE", "FCC_DTE",
+    "DISP_DTE", "DEFT_COST", "DEFT_PROCS",
+)
 LOAN_KEY = "LOAN_ID"
 
 # --- fixed values: window horizons (rows) -----------------------------------
@@ -29,6 +34,11 @@ WINDOW_COLUMNS = (
 )
 
 
+def order_of(df: DataFrame) -> tuple[str, ...]:
+    """``TIME_ORDER`` as far as the frame has its columns (agencies differ)."""
+    return tuple(c for c in TIME_ORDER if c in df.columns)
+
+
 def loan_window(order: Sequence[str] = TIME_ORDER) -> WindowSpec:
     return Window.partitionBy(LOAN_KEY).orderBy(*order)
 
@@ -62,7 +72,7 @@ def hot_loans(perf: DataFrame, threshold: int = HOT_LOAN_ROWS) -> DataFrame:
     return hot_keys(perf, LOAN_KEY, threshold)
 
 
-def split_windows(rows: DataFrame, order: Sequence[str] = TIME_ORDER, chunk_rows: int = CHUNK_ROWS,
+def split_windows(rows: DataFrame, order: Sequence[str] | None = None, chunk_rows: int = CHUNK_ROWS,
                   n_hot: int = 1) -> DataFrame:
     """W1-W8 for very long loans, computed chunk by chunk.
 
@@ -75,6 +85,7 @@ def split_windows(rows: DataFrame, order: Sequence[str] = TIME_ORDER, chunk_rows
     if chunk_rows < max(LOOK_BACK, LOOK_AHEAD_LONG):
         raise ValueError("chunk_rows must cover the longest frame")
     cols = rows.columns
+    order = order or order_of(rows)
     pos = global_positions(rows, LOAN_KEY, order, n_hot)
     chunk = F.floor(F.col("_pos") / F.lit(chunk_rows))
     off = F.col("_pos") - chunk * F.lit(chunk_rows)
@@ -94,7 +105,7 @@ def split_windows(rows: DataFrame, order: Sequence[str] = TIME_ORDER, chunk_rows
     )
 
 
-def enrich_panel(perf: DataFrame, order: Sequence[str] = TIME_ORDER,
+def enrich_panel(perf: DataFrame, order: Sequence[str] | None = None,
                  hot_threshold: int | None = HOT_LOAN_ROWS, chunk_rows: int = CHUNK_ROWS,
                  n_hot: int | None = None) -> DataFrame:
     """Append the eight window columns to a cleaned panel.
@@ -108,6 +119,7 @@ def enrich_panel(perf: DataFrame, order: Sequence[str] = TIME_ORDER,
     one-exchange window, otherwise those loans take the chunked path and
     the rest the plain one.
     """
+    order = order or order_of(perf)
     plain = perf.select("*", *window_columns(order))
     if hot_threshold is None:
         return plain
@@ -116,7 +128,5 @@ def enrich_panel(perf: DataFrame, order: Sequence[str] = TIME_ORDER,
         n_hot = hot.count()
     if n_hot == 0:
         return plain
-    hot_b = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
-    cold = perf.join(hot_b, LOAN_KEY, "left_anti").select("*", *window_columns(order))
-    heavy = split_windows(perf.join(hot_b, LOAN_KEY, "left_semi"), order, chunk_rows, n_hot)
-    return cold.unionByName(heavy)
+    cold, heavy = split_by_key(perf, hot, LOAN_KEY, n_hot)
+    return cold.select("*", *window_columns(order)).unionByName(split_windows(heavy, order, chunk_rows, n_hot))

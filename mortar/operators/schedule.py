@@ -43,6 +43,11 @@ def horizon(loans: DataFrame, max_month: int | None = None) -> Column:
     return F.lit(max(1, max_month))
 
 
+def _months(n: Column) -> Column:
+    """0 .. N-1; null (no month) when no loan has a term of a month or more."""
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1))
+
+
 def _terms(loans: DataFrame) -> DataFrame:
     return loans.select(
         "LOAN_ID",
@@ -69,7 +74,7 @@ def schedule_long(loans: DataFrame, month_count_: int | None = 12, start_period:
     t = _terms(loans)
     i = F.col("_i")
     return (
-        t.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("_i"))
+        t.select("*", F.explode(_months(n)).alias("_i"))
         .select(
             "LOAN_ID",
             (i + F.lit(start_period)).cast("int").alias("LOAN_AGE"),
@@ -86,7 +91,7 @@ def schedule_wide(loans: DataFrame, month_count_: int | None = 12, start_period:
     t = _terms(loans).select("*", n.alias("_months"))
     return t.select(
         "LOAN_ID",
-        F.transform(F.sequence(F.lit(0), F.col("_months") - 1), lambda i: _cell(i, start_period))
+        F.transform(_months(F.col("_months")), lambda i: _cell(i, start_period))
         .alias("SCHD_UPB"),
     )
 
@@ -96,7 +101,7 @@ def schedule_ppmt(loans: DataFrame, max_month: int | None = 12) -> DataFrame:
     n = horizon(loans, max_month)
     t = _terms(loans)
     i = F.col("_i")
-    return t.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("_i")).select(
+    return t.select("*", F.explode(_months(n)).alias("_i")).select(
         "LOAN_ID",
         i.cast("int").alias("LOAN_AGE"),
         balance_by_principal_parts("_P", "_r", "_n", i).alias("SCHD_UPB"),
@@ -108,7 +113,7 @@ def schedule_unmasked(loans: DataFrame, max_month: int | None = 12) -> DataFrame
     n = horizon(loans, max_month)
     t = _terms(loans)
     i = F.col("_i")
-    return t.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("_i")).select(
+    return t.select("*", F.explode(_months(n)).alias("_i")).select(
         "LOAN_ID",
         i.cast("int").alias("LOAN_AGE"),
         balance("_P", "_r", "_n", i).alias("SCHD_UPB"),
@@ -123,28 +128,41 @@ def with_level_payment(loans: DataFrame) -> DataFrame:
     )
 
 
-def scheduled_balance_at_age(panel: DataFrame, loans: DataFrame, month_count_: int = 12) -> DataFrame:
+def _one_row_per_loan(terms: DataFrame) -> DataFrame:
+    """Loan terms by partial aggregation; a repeated loan with other terms is an error."""
+    term = F.struct("_P", "_r", "_n")
+    one = terms.where(F.col("LOAN_ID").isNotNull()).groupBy("LOAN_ID").agg(
+        F.min(term).alias("_t"), F.max(term).alias("_u"))
+    checked = F.when(F.col("_t").eqNullSafe(F.col("_u")), F.col("_t")).otherwise(
+        F.raise_error(F.concat(F.lit("loan with two sets of terms: "), F.col("LOAN_ID"))))
+    return one.select("LOAN_ID", checked.alias("_t")).select("LOAN_ID", "_t.*")
+
+
+def scheduled_balance_at_age(panel: DataFrame, loans: DataFrame, month_count_: int | None = 12) -> DataFrame:
     """J5 without the exploded join: SCHD_UPB = B(LOAN_AGE) for 0 <= age < N.
 
     Same result as joining the long schedule on (LOAN_ID, LOAN_AGE): ages
-    outside 0..N-1 or loans missing from the tape get null.
+    outside 0..N-1 or loans missing from the tape get null.  ``month_count_``
+    None means the longest term of the tape.  A loan that the tape repeats
+    (for example in two vintages) must repeat its terms: the panel is joined
+    with one row per loan, and differing terms fail the job.
     """
-    n = month_count(loans, 0, month_count_)
-    t = _terms(loans).withColumnRenamed("LOAN_ID", "_lid")
+    n = month_count(loans, 0, month_count_) if month_count_ is not None else month_count(loans)
+    t = _one_row_per_loan(_terms(loans)).withColumnRenamed("LOAN_ID", "_lid")
     age = F.col("LOAN_AGE")
     joined = panel.join(t, panel["LOAN_ID"] == t["_lid"], "left")
     schd = F.when((age >= 0) & (age < n), _cell(age, 0))
     return joined.select(*[panel[c] for c in panel.columns], schd.alias("SCHD_UPB"))
 
 
-def panel_with_schedule(panel: DataFrame, loans: DataFrame, month_count_: int = 12,
+def panel_with_schedule(panel: DataFrame, loans: DataFrame, month_count_: int | None = 12,
                         ordered: bool = False) -> DataFrame:
     """J5 + P10 + F1: fill missing LAST_UPB with the scheduled balance (3 places).
 
     Past the term the schedule holds -999; such rows keep a null balance.
 
-    ``loans`` must be the loan tape itself (one row per loan), not an outcome
-    table that repeats loans.
+    ``month_count_`` is the requested horizon (12 in the published plan: ages
+    beyond it are not filled); None fills the whole term.
     """
     schd = F.col("SCHD_UPB")
     # The -999 "beyond the term" marker is not a balance: it fills nothing.
@@ -178,8 +196,10 @@ PAYMENT_SCHEMA = T.StructType([
 # Computed amounts of the payment table (high entropy: no dictionary pays off).
 PAYMENT_MONEY = ("BEG_BAL", "PAYMENT", "PRINCIPAL", "INTEREST", "END_BAL")
 
-# Loans per NumPy block; bounds a block's output to ~360 rows per loan.
-_BLOCK = 2048
+# Output rows per NumPy block.
+_BLOCK_ROWS = 1_000_000
+# Longest usable term in months; longer ones are rejected as corrupt.
+MAX_TERM = 1200
 
 
 def _round_cents(x: np.ndarray) -> np.ndarray:
@@ -187,7 +207,7 @@ def _round_cents(x: np.ndarray) -> np.ndarray:
     return np.floor(x * 100.0 + 0.5) / 100.0
 
 
-def _payment_columns(p: np.ndarray, rate: np.ndarray, n: np.ndarray, round_payment: bool = True):
+def _payment_columns(p: np.ndarray, rate: np.ndarray, n: np.ndarray, round_payment: bool = False):
     """Payment rows of a block of loans, loan-major, as NumPy columns.
 
     Vectorised over the loans, sequential over months: at month k only the
@@ -226,7 +246,7 @@ def _payment_columns(p: np.ndarray, rate: np.ndarray, n: np.ndarray, round_payme
     return out_no, out_beg, np.repeat(pay, n), out_prn, out_int, out_end
 
 
-def _payment_batches(batches, round_payment: bool = True):
+def _payment_batches(batches, round_payment: bool = False):
     import pyarrow as pa
 
     schema = pa.schema([
@@ -235,8 +255,12 @@ def _payment_batches(batches, round_payment: bool = True):
         ("END_BAL", pa.float64()),
     ])
     for rb in batches:
-        for lo in range(0, rb.num_rows, _BLOCK):
-            b = rb.slice(lo, _BLOCK)
+        terms = rb.column("ORIG_TRM").to_numpy(zero_copy_only=False).astype(np.int64)
+        # a block ends where its rows (the sum of its terms) reach _BLOCK_ROWS
+        block = (np.cumsum(terms) - terms) // _BLOCK_ROWS
+        starts = np.flatnonzero(np.diff(block, prepend=-1))
+        for lo, hi in zip(starts, np.append(starts[1:], rb.num_rows)):
+            b = rb.slice(int(lo), int(hi - lo))
             n = b.column("ORIG_TRM").to_numpy(zero_copy_only=False).astype(np.int64)
             cols = _payment_columns(
                 b.column("ORIG_AMT").to_numpy(zero_copy_only=False).astype(np.float64),
@@ -248,13 +272,31 @@ def _payment_batches(batches, round_payment: bool = True):
             yield pa.RecordBatch.from_arrays([ids, *[pa.array(c) for c in cols]], schema=schema)
 
 
+def unusable_terms() -> Column:
+    """Why a loan has no schedule; null for a usable one."""
+    trm = F.col("ORIG_TRM")
+    return (
+        F.when(F.col("LOAN_ID").isNull(), "no loan id")
+        .when(F.col("ORIG_AMT").isNull(), "no amount")
+        .when(F.col("ORIG_RT").isNull(), "no rate")
+        .when(trm.isNull(), "no term")
+        .when(trm <= 0, "term below one month")
+        .when(trm > MAX_TERM, "term too long")
+    )
+
+
+def rejected_loans(loans: DataFrame) -> DataFrame:
+    """Loans that no schedule or payment table can use, with the reason."""
+    return loans.select(*LOAN_TERMS, unusable_terms().alias("REASON")).where(F.col("REASON").isNotNull())
+
+
 def payment_table(loans: DataFrame, rows_per_task: int | None = 2_000_000,
-                  round_payment: bool = True) -> DataFrame:
-    """One row per scheduled payment of every loan.
+                  round_payment: bool = False) -> DataFrame:
+    """One row per scheduled payment of every loan with usable terms.
 
-    The level payment is rounded to cents (what the borrower pays, and what
-    the published sample table uses: 521.65 for 55,000 at 7.875 % over 180
-    months); ``round_payment=False`` keeps the unrounded payment.
+    The level payment is not rounded; ``round_payment=True`` rounds it to
+    cents (521.65 for 55,000 at 7.875 % over 180 months).  Loans without
+    usable terms have no payments: ``rejected_loans`` lists them.
 
     Interest is rounded to cents each month and the rounding feeds the next
     balance, so there is no closed form: the recurrence runs in NumPy inside
@@ -268,13 +310,11 @@ def payment_table(loans: DataFrame, rows_per_task: int | None = 2_000_000,
     round-robin over enough partitions that each produces about that many
     rows; the only value read on the driver is the total of the terms.
     """
-    terms = loans.select(
+    terms = loans.where(unusable_terms().isNull()).select(
         F.col("LOAN_ID").cast("string").alias("LOAN_ID"),
         F.col("ORIG_AMT").cast("double").alias("ORIG_AMT"),
         F.col("ORIG_RT").cast("double").alias("ORIG_RT"),
         F.col("ORIG_TRM").cast("long").alias("ORIG_TRM"),
-    ).where(
-        F.col("ORIG_AMT").isNotNull() & F.col("ORIG_RT").isNotNull() & (F.col("ORIG_TRM") > 0)
     )
     if rows_per_task:
         total = terms.agg(F.sum("ORIG_TRM")).first()[0] or 0

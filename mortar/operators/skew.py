@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import checkpoint_root
 
-# Key sets / block tables above this many rows are joined, not broadcast.
+# Key sets / block tables (a key and three longs a row) above this many rows
+# are joined, not broadcast: about 100 MB with keys of up to 64 bytes.
 MAX_BROADCAST_ROWS = 1_000_000
 
 
@@ -24,6 +25,15 @@ def hot_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
     return df.groupBy(key).count().where(F.col("count") > threshold).select(key)
 
 
+def split_by_key(rows: DataFrame, hot: DataFrame, key: str, n_hot: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of other keys, rows of the hot keys); a null key may be hot too."""
+    named = hot.select(F.col(key).alias("_hot_key"))
+    if n_hot <= MAX_BROADCAST_ROWS:
+        named = F.broadcast(named)
+    same = rows[key].eqNullSafe(F.col("_hot_key"))
+    return rows.join(named, same, "left_anti"), rows.join(named, same, "left_semi")
+
+
 def global_positions(rows: DataFrame, key: str, order: Sequence[str], n_hot: int,
                      name: str = "_pos") -> DataFrame:
     """0-based position of every row inside its key, without one task per key.
@@ -51,12 +61,14 @@ def global_positions(rows: DataFrame, key: str, order: Sequence[str], n_hot: int
         .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .select(key, "_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    n_blocks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) + n_hot
-    if n_blocks <= MAX_BROADCAST_ROWS:
+    # one row per (key, task) that holds rows of the key; counted, not guessed
+    blocks = blocks.withColumnsRenamed({key: "_block_key", "_pid": "_block"}).checkpoint(eager=True)
+    if blocks.count() <= MAX_BROADCAST_ROWS:
         blocks = F.broadcast(blocks)
-    return ided.join(blocks, [key, "_pid"]).withColumn(
+    same = ided[key].eqNullSafe(F.col("_block_key")) & (F.col("_pid") == F.col("_block"))
+    return ided.join(blocks, same).withColumn(
         name, F.col("_offset") + F.col("_id") - F.col("_first")
-    ).drop("_id", "_pid", "_first", "_offset")
+    ).drop("_id", "_pid", "_first", "_offset", "_block_key", "_block")
 
 
 def row_positions(df: DataFrame, key: str, order: Sequence[str], threshold: int | None,
@@ -69,8 +81,23 @@ def row_positions(df: DataFrame, key: str, order: Sequence[str], threshold: int
     n_hot = hot.count()
     if n_hot == 0:
         return plain
-    hot_b = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
-    cold = df.join(hot_b, key, "left_anti")
+    cold, heavy = split_by_key(df, hot, key, n_hot)
     cold = cold.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1)
-    heavy = global_positions(df.join(hot_b, key, "left_semi"), key, order, n_hot, name)
+    heavy = global_positions(heavy, key, order, n_hot, name)
     return cold.unionByName(heavy.withColumn(name, F.col(name).cast("int")))
+
+
+def row_places(ordered: DataFrame, name: str = "POS") -> DataFrame:
+    """0-based place of every row of an ordered frame (partitions in order, rows in order inside).
+
+    Only one count per partition is summed up; the rows stay where they are.
+    """
+    checkpoint_root(ordered.sparkSession)
+    ided = ordered.withColumn("_id", F.monotonically_increasing_id()).withColumn(
+        "_pid", F.shiftright("_id", 33)).checkpoint(eager=True)
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ided.groupBy("_pid").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).select(
+        F.col("_pid").alias("_part"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return ided.join(F.broadcast(offsets), F.col("_pid") == F.col("_part")).withColumn(
+        name, F.col("_offset") + F.col("_id") - F.col("_first")
+    ).drop("_id", "_pid", "_part", "_first", "_offset")

@@ -1,24 +1,25 @@
 """The loan-level plan: cleaned tapes -> enriched panel -> events -> outcome.
 
-Everything is lazy.  The enriched panel is consumed by three event branches
-and the panel output; those branches share the panel's hash exchange on
-``LOAN_ID`` (Spark reuses identical exchanges), so the monthly tape is
-shuffled once.
+Frames are lazy but for two small things asked of the monthly rows when the
+panel is first used: the count of loans too long for one task and, only if
+there are any, the checkpoints that split them.  Loan ids that are null are
+kept out of the plan and listed by ``rejected_months``.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.clean import clean_acquisition, keep_columns, performance_base
 from ..operators.events import first_modification, first_serious_delinquency, loan_events, zero_balance_events
 from ..operators.outcome import event_universe, loan_outcome, universe_outcome
 from ..operators.panel import CHUNK_ROWS, HOT_LOAN_ROWS, enrich_panel, hot_loans
-from ..operators.schedule import panel_with_schedule
+from ..operators.schedule import panel_with_schedule, rejected_loans
 from ..schema import Agency, agency as agency_of
+from ..session import remove_path, scratch_path
 from ..sinks.parquet import save_vintage, sorted_for_sink
 
 
@@ -29,20 +30,35 @@ class LoanLevel:
     agency: Agency
     perf_base: DataFrame
     loans: DataFrame | None = None
-    month_count: int = 12
+    month_count: int | None = 12
     hot_threshold: int | None = HOT_LOAN_ROWS
     chunk_rows: int = CHUNK_ROWS
 
+    @property
+    def months(self) -> DataFrame:
+        """Monthly rows that belong to a loan."""
+        return self.perf_base.where(F.col("LOAN_ID").isNotNull())
+
+    @property
+    def rejected_months(self) -> DataFrame:
+        """Monthly rows without a loan id, with the reason."""
+        return self.perf_base.where(F.col("LOAN_ID").isNull()).withColumn("REASON", F.lit("no loan id"))
+
+    @property
+    def rejected_loans(self) -> DataFrame | None:
+        """Loans without usable terms, with the reason."""
+        return None if self.loans is None else rejected_loans(self.loans)
+
     @cached_property
     def n_hot(self) -> int:
         """Loans too long for one task (normally 0); one small scalar job."""
         if self.hot_threshold is None:
             return 0
-        return hot_loans(self.perf_base, self.hot_threshold).count()
+        return hot_loans(self.months, self.hot_threshold).count()
 
     @cached_property
     def panel(self) -> DataFrame:
-        return enrich_panel(self.perf_base, hot_threshold=self.hot_threshold, chunk_rows=self.chunk_rows,
+        return enrich_panel(self.months, hot_threshold=self.hot_threshold, chunk_rows=self.chunk_rows,
                             n_hot=self.n_hot)
 
     @cached_property
@@ -59,12 +75,13 @@ class LoanLevel:
 
     @property
     def universe(self) -> DataFrame:
-        return event_universe(self.first_mod, self.first_90d, self.zero_balance)
+        return event_universe(self.months)
 
     @cached_property
     def events(self) -> DataFrame:
         """All three event tables in one pass (one row per loan and liquidation)."""
-        return loan_events(self.panel, by_aggregation=self.n_hot > 0)
+        hot = hot_loans(self.months, self.hot_threshold) if self.n_hot else None
+        return loan_events(self.panel, hot=hot, n_hot=self.n_hot)
 
     def outcome(self, ordered: bool = False) -> DataFrame:
         """Loan tape with its events; the event universe when no tape is loaded.
@@ -80,7 +97,7 @@ class LoanLevel:
     def outcome_by_joins(self, ordered: bool = False) -> DataFrame:
         """The same outcome as three successive left joins."""
         if self.loans is None:
-            return universe_outcome(self.first_mod, self.first_90d, self.zero_balance)
+            return universe_outcome(self.universe, self.first_mod, self.first_90d, self.zero_balance)
         return loan_outcome(self.loans, self.first_mod, self.first_90d, self.zero_balance, ordered)
 
     def performance(self, ordered: bool = False) -> DataFrame | None:
@@ -92,7 +109,7 @@ class LoanLevel:
         """
         if self.loans is None:
             return None
-        panel = keep_columns(self.perf_base, self.agency.performance)
+        panel = keep_columns(self.months, self.agency.performance)
         return panel_with_schedule(panel, self.loans, self.month_count, ordered)
 
 
@@ -101,8 +118,16 @@ def save(level: LoanLevel, folder: str, vintage: str, loan: bool = True, perform
     (the outcome) and ``.../LoanPerformance.parquet/ACQ=<vintage>`` (the
     scheduled panel).  Only that vintage is replaced; each file is sorted by
     its keys within the task that writes it.
+
+    The monthly tape is parsed once, into a Parquet copy in the scratch
+    folder; the hot-loan count, the outcome and the scheduled panel read the
+    columns they need from there.
     """
     paths = {}
+    spark = level.perf_base.sparkSession
+    staged = scratch_path(spark, "save-months")
+    level.perf_base.write.parquet(staged)
+    level = replace(level, perf_base=spark.read.parquet(staged))
     if loan:
         paths["Loan"] = save_vintage(sorted_for_sink(level.outcome(), ["LOAN_ID"], total_order=False),
                                      folder, level.agency.name, "Loan", vintage)
@@ -111,11 +136,12 @@ def save(level: LoanLevel, folder: str, vintage: str, loan: bool = True, perform
         paths["LoanPerformance"] = save_vintage(
             sorted_for_sink(perf, ["LOAN_ID", "ACT_DTE"], total_order=False),
             folder, level.agency.name, "LoanPerformance", vintage)
+    remove_path(spark, staged)
     return paths
 
 
 def build(perf_raw: DataFrame, loans_raw: DataFrame | None = None, agency: str | Agency = "FNMA",
-          month_count: int = 12, hot_threshold: int | None = HOT_LOAN_ROWS,
+          month_count: int | None = 12, hot_threshold: int | None = HOT_LOAN_ROWS,
           chunk_rows: int = CHUNK_ROWS) -> LoanLevel:
     """Clean both tapes and wire the loan-level plan."""
     ag = agency if isinstance(agency, Agency) else agency_of(agency)

@@ -21,20 +21,21 @@ from ..operators.clean import (
     clean_acquisition, clean_performance, fill_defaults, keep_columns, parse_dates, staged_performance,
 )
 from ..operators.events import first_modification, first_serious_delinquency, zero_balance_events
-from ..operators.outcome import event_universe, loan_with, max_age
+from ..operators.outcome import loan_with, max_age
 from ..operators.schedule import (
     payment_table, scheduled_balance_at_age, schedule_long, schedule_ppmt, schedule_unmasked,
     schedule_wide, with_level_payment,
 )
 from ..operators.panel import WINDOW_COLUMNS, enrich_panel
+from ..operators.skew import row_places
 from ..schema import FNMA, FRED
-from ..session import scratch_path
+from ..session import parallelism, scratch_path
 from ..sinks.parquet import save_bucketed, save_parquet, save_table, save_vintage, stage_to_vintage
 from ..sources.fixtures import fnma_acquisition, fnma_performance, fred_acquisition, fred_performance
 from ..sources.text import read_acquisition, read_performance, read_tape, write_tape
-from ..streaming.ingest import ingest_incremental
+from ..streaming.ingest import ingest_incremental, read_staged
 from . import oracle as O
-from .loan_level import build
+from .loan_level import build, save
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,6 +43,7 @@ ORACLE: dict[str, str] = {}
 
 # Vintage used where the reference reads one quarter's files.
 VINTAGE = "2000Q1"
+NEXT_VINTAGE = "2000Q2"
 MONTH_COUNT = 12
 
 
@@ -70,18 +72,18 @@ def _level(spark, sf):
     return build(fnma_performance(spark, sf), fnma_acquisition(spark, sf), FNMA, MONTH_COUNT)
 
 
-def _text_tape(spark, sf, kind: str, num_files: int | None = None) -> str:
+def _text_tape(spark, sf, kind: str) -> str:
     path = scratch_path(spark, f"{kind}-text")
     if kind == "acquisition":
-        write_tape(fnma_acquisition(spark, sf), path, FNMA.acquisition, num_files=num_files)
+        write_tape(fnma_acquisition(spark, sf), path, FNMA.acquisition)
     else:
-        write_tape(fnma_performance(spark, sf), path, FNMA.performance, num_files=num_files)
+        write_tape(fnma_performance(spark, sf), path, FNMA.performance)
     return path
 
 
 # --- sources and sinks -------------------------------------------------------
 
-_LOANS_NO_ACQ = ", ".join(FNMA.acquisition.keep_names)
+_LOANS_NO_ACQ = ", ".join(O.LOAN_KEEP)
 
 
 @register("scan_acquisition", f"SELECT {_LOANS_NO_ACQ} FROM loans")
@@ -97,26 +99,39 @@ def scan_performance(spark, sf):
     return read_performance(spark, _text_tape(spark, sf, "performance"), FNMA)
 
 
-def _staged_sql() -> str:
-    out = []
-    for spec in FNMA.performance.columns:
-        if spec.default is not None:
-            out.append(f"coalesce({spec.name}, {O.sql_literal(spec)}) AS {spec.name}")
-        else:
-            out.append(spec.name)
-    return ", ".join(out)
+_STAGED_SQL = O.filled(O.PERF_ALL, O.PERF_DEFAULTS)
 
 
-@register("ingest_incremental", f"SELECT {_staged_sql()} FROM perf_raw")
+@register("ingest_incremental", f"SELECT {_STAGED_SQL} FROM perf_raw")
 def ingest_incremental_q(spark, sf):
-    landing = _text_tape(spark, sf, "performance", num_files=4)
+    landing = _text_tape(spark, sf, "performance")
     target = scratch_path(spark, "staged")
-    ckpt = scratch_path(spark, "ingest-ckpt")
-    ingest_incremental(spark, landing, target, ckpt, FNMA, max_files_per_trigger=1, timeout_s=600)
-    return spark.read.parquet(target)
+    ingest_incremental(spark, landing, target, scratch_path(spark, "ingest-ckpt"), FNMA)
+    return read_staged(spark, target)
 
 
-@register("stage_to_vintage", f"SELECT {_staged_sql()}, '{VINTAGE}' AS ACQ FROM perf_raw")
+def _two_sources(spark, sf, mode: str) -> DataFrame:
+    """The monthly tape landed twice, as two quarters with a landing folder and a checkpoint each."""
+    target = scratch_path(spark, "staged")
+    for vintage, how in ((VINTAGE, "append"), (NEXT_VINTAGE, mode)):
+        landing, ckpt = _text_tape(spark, sf, "performance"), scratch_path(spark, "ingest-ckpt")
+        ingest_incremental(spark, landing, target, ckpt, FNMA, vintage=vintage, mode=how)
+        ingest_incremental(spark, landing, target, ckpt, FNMA, vintage=vintage, mode=how)  # finds nothing new
+    return read_staged(spark, target)
+
+
+@register("ingest_two_quarters", f"SELECT {_STAGED_SQL}, '2000Q1' AS ACQ FROM perf_raw UNION ALL "
+                                 f"SELECT {_STAGED_SQL}, '2000Q2' AS ACQ FROM perf_raw")
+def ingest_two_quarters_q(spark, sf):
+    return _two_sources(spark, sf, "append")
+
+
+@register("ingest_replace", f"SELECT {_STAGED_SQL}, '2000Q2' AS ACQ FROM perf_raw")
+def ingest_replace_q(spark, sf):
+    return _two_sources(spark, sf, "replace")
+
+
+@register("stage_to_vintage", f"SELECT {_STAGED_SQL}, '2000Q1' AS ACQ FROM perf_raw")
 def stage_to_vintage_q(spark, sf):
     staged = scratch_path(spark, "staged")
     save_parquet(staged_performance(fnma_performance(spark, sf), FNMA), staged)
@@ -155,14 +170,28 @@ def catalog_table_q(spark, sf):
 _CHN_SQL = "case when ORIG_CHN in ('R', 'C') then 'R1' when ORIG_CHN = 'B' then 'B1' else ORIG_CHN end"
 
 
-@register("sql_view", f"SELECT LOAN_ID, {_CHN_SQL} AS K, ORIG_CHN FROM loans WHERE OCLTV IS NOT NULL")
+@register("rewrite_vintage_empty", f"SELECT {_LOANS_SQL} FROM loans WHERE ACQ <> '2000Q1'")
+def rewrite_vintage_empty_q(spark, sf):
+    """A vintage rewritten with no rows is empty afterwards; the others stay."""
+    folder = scratch_path(spark, "result")
+    loans = _loans(spark, sf)
+    save_vintage(loans, folder, "FNMA", "Loan")
+    return spark.read.parquet(save_vintage(loans.where("false"), folder, "FNMA", "Loan", VINTAGE))
+
+
+# Loans and their largest amount per channel bucket and vintage.
+@register("sql_view", """
+SELECT b.bucket AS CHN_BUCKET, l.ACQ, count(*) AS N_LOANS, max(l.ORIG_AMT) AS MAX_AMT, min(l.OCLTV) AS MIN_LTV
+FROM loans l JOIN (VALUES ('R', 'R1'), ('C', 'R1'), ('B', 'B1')) b(channel, bucket) ON b.channel = l.ORIG_CHN
+GROUP BY b.bucket, l.ACQ HAVING count(*) > 1
+""")
 def sql_view_q(spark, sf):
     view = "acq_" + scratch_path(spark, "view").rsplit("-", 1)[-1]
-    _loans(spark, sf).createOrReplaceTempView(view)
+    loans = _loans(spark, sf)
+    loans.withColumn("CHN_BUCKET", channel_bucket("ORIG_CHN")).createOrReplaceTempView(view)
     return spark.sql(
-        f"SELECT LOAN_ID, CASE WHEN ORIG_CHN IN ('R', 'C') THEN 'R1' WHEN ORIG_CHN = 'B' THEN 'B1' "
-        f"ELSE ORIG_CHN END AS K, ORIG_CHN FROM {view} WHERE OCLTV IS NOT NULL"
-    )
+        f"SELECT CHN_BUCKET, ACQ, count(1) AS N_LOANS, max(ORIG_AMT) AS MAX_AMT, min(OCLTV) AS MIN_LTV "
+        f"FROM {view} GROUP BY CHN_BUCKET, ACQ HAVING count(1) > 1")
 
 
 # --- cleaning ----------------------------------------------------------------
@@ -179,9 +208,7 @@ def date_parse_q(spark, sf):
 _DEFAULTED = [c.name for c in FNMA.acquisition.defaulted]
 
 
-@register("default_fill", "SELECT LOAN_ID, " + ", ".join(
-    f"coalesce({s.name}, {O.sql_literal(s)}) AS {s.name}" for s in FNMA.acquisition.defaulted
-) + " FROM acq_raw")
+@register("default_fill", f"SELECT LOAN_ID, {O.filled(list(O.LOAN_DEFAULTS), O.LOAN_DEFAULTS)} FROM acq_raw")
 def default_fill_q(spark, sf):
     return fill_defaults(fnma_acquisition(spark, sf), FNMA.acquisition).select("LOAN_ID", *_DEFAULTED)
 
@@ -267,7 +294,7 @@ def bucketed_panel_q(spark, sf):
     """W1-W8 read from a table bucketed by LOAN_ID: the window needs no exchange."""
     path = scratch_path(spark, "bucketed")
     name = save_bucketed(spark, _level(spark, sf).perf_base, "mortar_db", "perf_" + path.rsplit("-", 1)[-1],
-                         8, "LOAN_ID", ["ACT_DTE", "LOAN_AGE"], path=path)
+                         parallelism(spark), "LOAN_ID", ["ACT_DTE", "LOAN_AGE"], path=path)
     panel = enrich_panel(spark.table(name))
     return present(panel.select("LOAN_ID", "ACT_DTE", "LOAN_AGE", *WINDOW_COLUMNS))
 
@@ -326,6 +353,35 @@ def early_delinquency_q(spark, sf):
                       *[f"F3Q_DLQ_LAGs12_{i}" for i in range(12)])
 
 
+# W9, W10 and F5 as row numbers: first row of each loan, filtered after numbering.
+@register("first_mod_rn", f"SELECT {O.cols(O.MOD_COLS)} FROM modf")
+def first_mod_rn_q(spark, sf):
+    return present(first_modification(_level(spark, sf).panel, method="row_number"))
+
+
+@register("first_90d_rn", f"SELECT {O.cols(O.F3Q_COLS)} FROM f3q")
+def first_90d_rn_q(spark, sf):
+    return present(first_serious_delinquency(_level(spark, sf).panel, method="row_number"))
+
+
+# Every month reported twice, the second time with another balance.
+_TWICE = ("(SELECT * FROM perf UNION ALL SELECT * REPLACE (LAST_UPB + 1 AS LAST_UPB, 'Y' AS MOD_FLAG) FROM perf)")
+_TWICE_SQL = (f"SELECT LOAN_ID, ACT_DTE, LOAN_AGE, LAST_UPB, {O.cols(list(WINDOW_COLUMNS))} "
+              f"FROM (SELECT *, {O.panel_windows(O.TOTAL_ORDER)} FROM {_TWICE})")
+
+
+def _twice(spark, sf, **how) -> DataFrame:
+    perf = _level(spark, sf).perf_base
+    again = perf.withColumn("LAST_UPB", F.col("LAST_UPB") + 1).withColumn("MOD_FLAG", F.lit("Y"))
+    panel = enrich_panel(perf.unionByName(again), **how)
+    return present(panel.select("LOAN_ID", "ACT_DTE", "LOAN_AGE", "LAST_UPB", *WINDOW_COLUMNS))
+
+
+register("panel_windows_twice", _TWICE_SQL)(lambda spark, sf: _twice(spark, sf))
+register("panel_windows_twice_split", _TWICE_SQL)(
+    lambda spark, sf: _twice(spark, sf, hot_threshold=2 * SPLIT_THRESHOLD, chunk_rows=SPLIT_CHUNK))
+
+
 # --- joins and sets ----------------------------------------------------------
 
 def _join_sql(event_cte: str, event_cols: list[str]) -> str:
@@ -366,6 +422,14 @@ def loan_outcome_q(spark, sf):
     return present(_level(spark, sf).outcome(ordered=True))
 
 
+# O1: place of every row in the ordered outcome (rows of one loan are alike here).
+@register("loan_outcome_order",
+          "SELECT row_number() OVER (ORDER BY l.LOAN_ID) - 1 AS POS, l.LOAN_ID FROM loans l "
+          "LEFT JOIN zb z ON l.LOAN_ID = z.LOAN_ID")
+def loan_outcome_order_q(spark, sf):
+    return row_places(_level(spark, sf).outcome(ordered=True)).select("POS", "LOAN_ID")
+
+
 _UNIVERSE = ("(SELECT LOAN_ID FROM modf UNION SELECT LOAN_ID FROM f3q UNION SELECT LOAN_ID FROM zb)")
 
 
@@ -378,8 +442,7 @@ register("loan_outcome_joins", ORACLE_SELECT_OUTCOME)(
 
 @register("event_universe", f"SELECT LOAN_ID FROM {_UNIVERSE}")
 def event_universe_q(spark, sf):
-    lvl = _level(spark, sf)
-    return event_universe(lvl.first_mod, lvl.first_90d, lvl.zero_balance)
+    return _level(spark, sf).universe
 
 
 _UNIVERSE_OUTCOME = (f"SELECT u.LOAN_ID, {_OUTCOME_EVENTS} FROM {_UNIVERSE} u "
@@ -414,6 +477,95 @@ def panel_with_schedule_q(spark, sf):
     return _level(spark, sf).performance(ordered=True)
 
 
+# O2: place of every row in the ordered panel.
+@register("panel_order",
+          "SELECT row_number() OVER (ORDER BY LOAN_ID, ACT_DTE) - 1 AS POS, LOAN_ID, ACT_DTE FROM perf "
+          "WHERE LOAN_AGE >= 0")
+def panel_order_q(spark, sf):
+    return row_places(_level(spark, sf).performance(ordered=True)).select("POS", "LOAN_ID", "ACT_DTE")
+
+
+# The fill over the whole term instead of the published twelve months.
+@register("panel_with_schedule_whole_term",
+          f"SELECT {_PWS_COLS} FROM perf p LEFT JOIN (SELECT *, {O.month_count_sql(None)} AS N FROM pay) s "
+          "ON p.LOAN_ID = s.LOAN_ID AND p.LOAN_AGE < s.N WHERE p.LOAN_AGE >= 0")
+def panel_with_schedule_whole_term_q(spark, sf):
+    return build(fnma_performance(spark, sf), fnma_acquisition(spark, sf), FNMA, None).performance()
+
+
+@register("write_vintage_performance",
+          f"SELECT {_PWS_COLS}, '2000Q1' AS ACQ FROM perf p LEFT JOIN "
+          f"(SELECT *, {O.month_count_sql(MONTH_COUNT)} AS N FROM pay) s "
+          "ON p.LOAN_ID = s.LOAN_ID AND p.LOAN_AGE < s.N WHERE p.LOAN_AGE >= 0")
+def write_vintage_performance_q(spark, sf):
+    """S8 for a whole build; the saved monthly half is read back."""
+    return spark.read.parquet(save(_level(spark, sf), scratch_path(spark, "result"), VINTAGE)["LoanPerformance"])
+
+
+# --- rows that cannot be used ---------------------------------------------------
+
+# The tapes with some loan ids, amounts, rates and terms spoilt by rule.
+_BAD_LOANS = {
+    "ORIG_AMT": "CASE WHEN CAST(LOAN_ID AS BIGINT) % 13 = 0 THEN NULL ELSE ORIG_AMT END",
+    "ORIG_RT": "CASE WHEN CAST(LOAN_ID AS BIGINT) % 17 = 0 THEN NULL ELSE ORIG_RT END",
+    "ORIG_TRM": "CASE WHEN CAST(LOAN_ID AS BIGINT) % 7 = 0 THEN 0 WHEN CAST(LOAN_ID AS BIGINT) % 19 = 0 THEN NULL "
+                "WHEN CAST(LOAN_ID AS BIGINT) % 23 = 0 THEN -6 WHEN CAST(LOAN_ID AS BIGINT) % 29 = 0 THEN 100000000 "
+                "ELSE ORIG_TRM END",
+    "LOAN_ID": "CASE WHEN CAST(LOAN_ID AS BIGINT) % 31 = 0 THEN NULL ELSE LOAN_ID END",
+}
+_BAD_MONTHS = {"LOAN_ID": "CASE WHEN CAST(LOAN_ID AS BIGINT) % 5 = 0 THEN NULL ELSE LOAN_ID END"}
+_BAD_LOANS_SQL = ("(SELECT * REPLACE (" + ", ".join(f"{e} AS {c}" for c, e in _BAD_LOANS.items()) + ") FROM loans)")
+_BAD_PERF_SQL = ("(SELECT * REPLACE (" + ", ".join(f"{e} AS {c}" for c, e in _BAD_MONTHS.items()) + ") FROM perf)")
+
+
+def _spoilt(df: DataFrame, rules: dict[str, str]) -> DataFrame:
+    return df.select(*[F.expr(rules[c]).cast(df.schema[c].dataType).alias(c) if c in rules else F.col(c)
+                       for c in df.columns])
+
+
+def _spoilt_level(spark, sf):
+    return build(_spoilt(fnma_performance(spark, sf), _BAD_MONTHS), _spoilt(fnma_acquisition(spark, sf), _BAD_LOANS),
+                 FNMA, MONTH_COUNT)
+
+
+_REASON_SQL = ("CASE WHEN LOAN_ID IS NULL THEN 'no loan id' WHEN ORIG_AMT IS NULL THEN 'no amount' "
+               "WHEN ORIG_RT IS NULL THEN 'no rate' WHEN ORIG_TRM IS NULL THEN 'no term' "
+               "WHEN ORIG_TRM <= 0 THEN 'term below one month' WHEN ORIG_TRM > 1200 THEN 'term too long' END")
+
+
+@register("rejected_loans", f"SELECT LOAN_ID, ORIG_AMT, ORIG_RT, ORIG_TRM, {_REASON_SQL} AS REASON "
+                            f"FROM {_BAD_LOANS_SQL} WHERE {_REASON_SQL} IS NOT NULL")
+def rejected_loans_q(spark, sf):
+    return _spoilt_level(spark, sf).rejected_loans
+
+
+@register("rejected_months", f"SELECT LOAN_ID, ACT_DTE, LOAN_AGE, 'no loan id' AS REASON FROM {_BAD_PERF_SQL} "
+                             "WHERE LOAN_ID IS NULL")
+def rejected_months_q(spark, sf):
+    return _spoilt_level(spark, sf).rejected_months.select("LOAN_ID", "ACT_DTE", "LOAN_AGE", "REASON")
+
+
+@register("level_payment_spoilt",
+          "SELECT LOAN_ID, ORIG_TRM, round(CASE WHEN ORIG_TRM > 0 THEN ORIG_AMT * (ORIG_RT / 1200.0 / "
+          "(1 - pow(1 + ORIG_RT / 1200.0, -CAST(ORIG_TRM AS DOUBLE)))) END, 3) + 0.0 AS PMT FROM " + _BAD_LOANS_SQL)
+def level_payment_spoilt_q(spark, sf):
+    return with_level_payment(_spoilt_level(spark, sf).loans).select(
+        "LOAN_ID", "ORIG_TRM", F.round("PMT", 3).alias("PMT"))
+
+
+@register("panel_windows_spoilt", "SELECT LOAN_ID, ACT_DTE, LOAN_AGE, " + O.cols(list(WINDOW_COLUMNS)) +
+          f" FROM (SELECT *, {O.panel_windows()} FROM {_BAD_PERF_SQL} WHERE LOAN_ID IS NOT NULL)")
+def panel_windows_spoilt_q(spark, sf):
+    return present(_spoilt_level(spark, sf).panel.select("LOAN_ID", "ACT_DTE", "LOAN_AGE", *WINDOW_COLUMNS))
+
+
+@register("payment_count_spoilt", f"SELECT LOAN_ID, CAST(max(ORIG_TRM) AS BIGINT) AS N_PAYMENTS FROM {_BAD_LOANS_SQL} "
+                                  f"WHERE {_REASON_SQL} IS NULL GROUP BY LOAN_ID")
+def payment_count_spoilt_q(spark, sf):
+    return payment_table(_spoilt_level(spark, sf).loans).groupBy("LOAN_ID").agg(
+        F.count(F.lit(1)).alias("N_PAYMENTS"))
+
+
 # --- aggregates, order, limits -----------------------------------------------
 
 @register("max_age", "SELECT max(LOAN_AGE) AS max_age FROM perf")
@@ -462,64 +614,65 @@ def level_payment_q(spark, sf):
     return out.withColumn("PMT", F.round("PMT", 3))
 
 
-def _long_sql(start: int, end_minus_start: int | None) -> str:
-    return (f"SELECT LOAN_ID, CAST(i + {start} AS INTEGER) AS LOAN_AGE, "
-            f"round({O.masked_cell_sql('i', start)}, 3) + 0.0 AS SCHD_UPB FROM "
-            f"(SELECT *, unnest(range(0, {O.month_count_sql(end_minus_start)})) AS i FROM pay)")
+def _cents_of(df: DataFrame) -> DataFrame:
+    return df.withColumn("SCHD_UPB", F.round("SCHD_UPB", 2))
+
+
+def _long_sql(start: int) -> str:
+    return (f"SELECT LOAN_ID, CAST(i + {start} AS INTEGER) AS LOAN_AGE, SCHD_UPB "
+            f"FROM {O.recurrence_sql(start, O.month_count_sql(MONTH_COUNT), True)}")
 
 
-@register("schedule_long", _long_sql(0, MONTH_COUNT))
+@register("schedule_long", _long_sql(0))
 def schedule_long_q(spark, sf):
-    return schedule_long(_loans(spark, sf), MONTH_COUNT).withColumn("SCHD_UPB", F.round("SCHD_UPB", 3))
+    return _cents_of(schedule_long(_loans(spark, sf), MONTH_COUNT))
 
 
-@register("schedule_offset", _long_sql(3, MONTH_COUNT))
+@register("schedule_offset", _long_sql(3))
 def schedule_offset_q(spark, sf):
-    out = schedule_long(_loans(spark, sf), MONTH_COUNT, start_period=3)
-    return out.withColumn("SCHD_UPB", F.round("SCHD_UPB", 3))
+    return _cents_of(schedule_long(_loans(spark, sf), MONTH_COUNT, start_period=3))
 
 
 @register("schedule_wide",
           "SELECT LOAN_ID, CAST(len(u) AS INTEGER) AS N_MONTHS, "
           + ", ".join(f"u[{i + 1}] AS SCHD_UPB_{i}" for i in range(MONTH_COUNT))
-          + f" FROM (SELECT LOAN_ID, list(round({O.masked_cell_sql('i', 0)}, 3) + 0.0 ORDER BY i) AS u FROM "
-          f"(SELECT *, unnest(range(0, {O.month_count_sql(MONTH_COUNT)})) AS i FROM pay) GROUP BY LOAN_ID)")
+          + " FROM (SELECT LOAN_ID, list(SCHD_UPB ORDER BY i) AS u FROM "
+          + O.recurrence_sql(0, O.month_count_sql(MONTH_COUNT), True) + " GROUP BY LOAN_ID)")
 def schedule_wide_q(spark, sf):
     wide = schedule_wide(_loans(spark, sf), MONTH_COUNT)
     return wide.select(
         "LOAN_ID",
         F.size("SCHD_UPB").alias("N_MONTHS"),
-        *[F.round(F.try_element_at("SCHD_UPB", F.lit(i + 1)), 3).alias(f"SCHD_UPB_{i}")
+        *[F.round(F.try_element_at("SCHD_UPB", F.lit(i + 1)), 2).alias(f"SCHD_UPB_{i}")
           for i in range(MONTH_COUNT)],
     )
 
 
 @register("schedule_ppmt",
-          f"SELECT LOAN_ID, CAST(i AS INTEGER) AS LOAN_AGE, round({O.ppmt_balance_sql('i')}, 3) + 0.0 AS SCHD_UPB "
+          f"SELECT LOAN_ID, CAST(i AS INTEGER) AS LOAN_AGE, round({O.ppmt_balance_sql('i')}, 2) + 0.0 AS SCHD_UPB "
           f"FROM (SELECT *, unnest(range(0, {MONTH_COUNT})) AS i FROM pay)")
 def schedule_ppmt_q(spark, sf):
-    return schedule_ppmt(_loans(spark, sf), MONTH_COUNT).withColumn("SCHD_UPB", F.round("SCHD_UPB", 3))
+    return _cents_of(schedule_ppmt(_loans(spark, sf), MONTH_COUNT))
 
 
 @register("schedule_unmasked",
-          f"SELECT LOAN_ID, CAST(i AS INTEGER) AS LOAN_AGE, round({O.balance_sql('i')}, 3) + 0.0 AS SCHD_UPB "
-          f"FROM (SELECT *, unnest(range(0, {MONTH_COUNT})) AS i FROM pay)")
+          f"SELECT LOAN_ID, CAST(i AS INTEGER) AS LOAN_AGE, SCHD_UPB FROM {O.recurrence_sql(0, str(MONTH_COUNT), False)}")
 def schedule_unmasked_q(spark, sf):
-    return schedule_unmasked(_loans(spark, sf), MONTH_COUNT).withColumn("SCHD_UPB", F.round("SCHD_UPB", 3))
+    return _cents_of(schedule_unmasked(_loans(spark, sf), MONTH_COUNT))
 
 
 def _cents(x: str) -> str:
     return f"(floor({x} * 100 + 0.5) / 100 + 0.0)"
 
 
-_PAYMENT_SQL = f"""
+def _payment_sql(level: str) -> str:
+    return f"""
 SELECT LOAN_ID, PMT_NO, {_cents('BEG_BAL')} AS BEG_BAL, {_cents('PAYMENT')} AS PAYMENT,
        {_cents('PRINCIPAL')} AS PRINCIPAL, {_cents('INTEREST')} AS INTEREST, {_cents('END_BAL')} AS END_BAL
 FROM (
   WITH RECURSIVE pt(LOAN_ID, PMT_NO, BEG_BAL, PAYMENT, PRINCIPAL, INTEREST, END_BAL, r, n) AS (
     SELECT LOAN_ID, 1, P, Ac, Ac - {_cents('P * r')}, {_cents('P * r')}, P - (Ac - {_cents('P * r')}), r, n
-    FROM (SELECT *, floor(A * 100 + 0.5) / 100 AS Ac FROM pay)
-    WHERE P IS NOT NULL AND r IS NOT NULL AND n > 0
+    FROM (SELECT *, {level} AS Ac FROM pay)
     UNION ALL
     SELECT LOAN_ID, PMT_NO + 1, END_BAL, PAYMENT, PAYMENT - {_cents('END_BAL * r')},
            {_cents('END_BAL * r')}, END_BAL - (PAYMENT - {_cents('END_BAL * r')}), r, n
@@ -530,11 +683,15 @@ FROM (
 """
 
 
-@register("payment_table", _PAYMENT_SQL)
-def payment_table_q(spark, sf):
-    pt = payment_table(_loans(spark, sf))
+def _payments(spark, sf, **how) -> DataFrame:
     money = ["BEG_BAL", "PAYMENT", "PRINCIPAL", "INTEREST", "END_BAL"]
-    return pt.select("LOAN_ID", "PMT_NO", *[round_half_up(c, 2).alias(c) for c in money])
+    return payment_table(_loans(spark, sf), **how).select(
+        "LOAN_ID", "PMT_NO", *[round_half_up(c, 2).alias(c) for c in money])
+
+
+register("payment_table", _payment_sql("A"))(lambda spark, sf: _payments(spark, sf))
+register("payment_table_cents", _payment_sql("floor(A * 100 + 0.5) / 100"))(
+    lambda spark, sf: _payments(spark, sf, round_payment=True))
 
 
 # --- arrays --------------------------------------------------------------------
@@ -581,7 +738,7 @@ def _fred_text(spark, sf, kind: str) -> str:
     return path
 
 
-@register("fred_scan_acquisition", f"SELECT {', '.join(FRED.acquisition.keep_names)} FROM fred_loans")
+@register("fred_scan_acquisition", f"SELECT {', '.join(O.FRED_LOAN_KEEP)} FROM fred_loans")
 def fred_scan_acquisition_q(spark, sf):
     return read_acquisition(spark, _fred_text(spark, sf, "acquisition"), FRED)
 
@@ -599,7 +756,7 @@ def fred_default_totals_q(spark, sf):
 
 
 @register("fred_loan_outcome",
-          f"SELECT {O.cols(FRED.acquisition.keep_names, 'l.')}, "
+          f"SELECT {O.cols(O.FRED_LOAN_KEEP, 'l.')}, "
           f"{O.cols(O.MOD_COLS[1:], 'm.')}, {O.cols(O.F3Q_COLS[1:], 'f.')}, {O.cols(O.ZB_COLS[1:], 'z.')} "
           "FROM fred_loans l LEFT JOIN fred_modf m ON l.LOAN_ID = m.LOAN_ID "
           "LEFT JOIN fred_f3q f ON l.LOAN_ID = f.LOAN_ID LEFT JOIN fred_zb z ON l.LOAN_ID = z.LOAN_ID")

@@ -87,9 +87,6 @@ class TapeSchema:
         """Schema handed to the text reader (never inferred)."""
         return T.StructType([T.StructField(c.name, c.read_type, True) for c in self.columns])
 
-    def clean_struct(self) -> T.StructType:
-        return T.StructType([T.StructField(c.name, c.spark_type, True) for c in self.columns])
-
 
 @dataclass(frozen=True)
 class Agency:

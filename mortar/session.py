@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,7 +15,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -31,14 +31,6 @@ def build_session(master: str | None = None, app_name: str = "mortar", **conf) -
     return spark
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to an existing session."""
-    for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.sql."):
-            spark.conf.set(k, v)
-    return spark
-
-
 def _context(spark: SparkSession):
     """The SparkContext, or None on a session without one (Spark Connect)."""
     try:
@@ -59,17 +51,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint directory).  Only when neither is set, as in local tests, a
-    fresh folder is created and registered as the checkpoint directory.
+    checkpoint directory).  Where neither is set, a local master (tests) gets
+    a fresh folder; on a cluster that folder would be one machine's own, so
+    the call fails.
     """
     sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
-        if sc is None:
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="mortar-ckpt-")
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
@@ -79,10 +73,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/mortar/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must touch the local filesystem."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return path
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more (any file system Spark knows)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names of the folders directly below ``path``; none if it does not exist."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop) if s.isDirectory())

@@ -1,8 +1,8 @@
 """Parquet and catalog sinks.
 
-Vintage layout: ``<folder>/<agency>/<table>.parquet/ACQ=<YYYYQn>``.  Writes
-use dynamic partition overwrite, so writing one vintage replaces only that
-vintage's folder and leaves the others in place.
+Vintage layout: ``<folder>/<agency>/<table>.parquet/ACQ=<YYYYQn>``.  Writing
+a vintage replaces only that vintage's folder and leaves the others in place.
+Overwrite modes are set on each write; the session's are never changed.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 VINTAGE = "ACQ"
+_VINTAGE = re.compile(r"^[A-Za-z0-9]+$")
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
@@ -55,13 +56,16 @@ def save_vintage(df: DataFrame, folder: str, agency: str, table: str,
                  vintage: str | None = None) -> str:
     """Write by vintage, replacing only the vintages present in ``df``.
 
-    With ``vintage`` given, the column ``ACQ`` is set to that literal first
-    (one quarter's file), otherwise ``df`` must already carry ``ACQ``.
+    With ``vintage`` given (one quarter's file), exactly that vintage is
+    replaced, also by an empty ``df``; otherwise ``df`` must carry ``ACQ``,
+    and its rows are first brought together by vintage, so that a vintage's
+    files are as many as its size asks for, not as many as there are tasks.
     """
-    out = df.withColumn(VINTAGE, F.lit(vintage)) if vintage is not None else df
     path = vintage_path(folder, agency, table)
+    if vintage is not None:
+        return write_one_vintage(df, vintage, path)
     (
-        out.write.mode("overwrite")
+        df.hint("rebalance", F.col(VINTAGE)).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(VINTAGE)
         .parquet(path)
@@ -69,17 +73,20 @@ def save_vintage(df: DataFrame, folder: str, agency: str, table: str,
     return path
 
 
-def stage_to_vintage(staged: DataFrame, vintage: str, path: str) -> str:
-    """S6 + P12: the staged monthly table under ``ACQ=<vintage>``."""
-    (
-        staged.withColumn(VINTAGE, F.lit(vintage)).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(VINTAGE)
-        .parquet(path)
-    )
+def write_one_vintage(df: DataFrame, vintage: str, path: str) -> str:
+    """Overwrite ``<path>/ACQ=<vintage>`` with the rows of ``df``, none included."""
+    if not _VINTAGE.match(vintage):
+        raise ValueError(f"not a vintage: {vintage!r}")
+    df.drop(VINTAGE).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+        f"{path.rstrip('/')}/{VINTAGE}={vintage}")
     return path
 
 
+def stage_to_vintage(staged: DataFrame, vintage: str, path: str) -> str:
+    """S6 + P12: the staged monthly table under ``ACQ=<vintage>``, replacing what was there."""
+    return write_one_vintage(staged, vintage, path)
+
+
 def _ensure_database(spark: SparkSession, database: str, table: str, path: str | None) -> str:
     for n in (database, table):
         if not _NAME.match(n):

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..operators.clean import clean_acquisition, clean_performance, performance_base, staged_performance
+from ..operators.clean import clean_acquisition, clean_performance
 from ..schema import Agency, TapeSchema, agency as agency_of
 
 CORRUPT = "_corrupt_record"
@@ -63,17 +63,6 @@ def read_performance(spark: SparkSession, path: str, agency: str | Agency = "FNM
     return clean_performance(read_tape(spark, path, ag.performance), ag)
 
 
-def read_performance_base(spark: SparkSession, path: str, agency: str | Agency = "FNMA") -> DataFrame:
-    """S2 for the enriched path: all columns, status codes, default totals."""
-    ag = _agency(agency)
-    return performance_base(read_tape(spark, path, ag.performance), ag)
-
-
-def read_performance_staged(spark: SparkSession, path: str, agency: str | Agency = "FNMA") -> DataFrame:
-    ag = _agency(agency)
-    return staged_performance(read_tape(spark, path, ag.performance), ag)
-
-
 def format_tape(df: DataFrame, tape: TapeSchema) -> DataFrame:
     """Render a typed tape as the text columns of its file, in file order."""
     cols = []

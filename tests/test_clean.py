@@ -89,16 +89,15 @@ def test_malformed_text_rows(spark, tmp_dir):
     assert read_tape(spark, path, FNMA.acquisition).count() == 4
 
 
-def test_drop_flagged_and_staged_scan(spark, tmp_dir):
+def test_staged_scan(spark, tmp_dir):
     from conftest import SF0001
-    from mortar.operators.clean import drop_flagged
+    from mortar.operators.clean import clean_acquisition, staged_performance
     from mortar.sources.fixtures import fnma_acquisition, fnma_performance
-    from mortar.sources.text import read_performance_staged, write_tape
-    raw = fnma_acquisition(spark, SF0001)
-    assert "SellerName" not in drop_flagged(raw, FNMA.acquisition).columns
+    from mortar.sources.text import read_tape, write_tape
+    assert "SellerName" not in clean_acquisition(fnma_acquisition(spark, SF0001), FNMA).columns
     perf = fnma_performance(spark, SF0001)
     write_tape(perf, tmp_dir + "/perf", FNMA.performance)
-    staged = read_performance_staged(spark, tmp_dir + "/perf", FNMA)
+    staged = staged_performance(read_tape(spark, tmp_dir + "/perf", FNMA.performance), FNMA)
     assert staged.columns == FNMA.performance.names  # all columns kept
     assert staged.where(F.col("Adj_Month_To_Mat").isNull()).count() == 0  # defaults filled
     assert staged.where(F.col("Adj_Month_To_Mat") == -1).count() == perf.where(F.col("Adj_Month_To_Mat").isNull()).count()

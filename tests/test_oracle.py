@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF0001
+from mortar.plans.queries import ORACLE, QUERIES
 
 TABLES = ["orders", "events"]
 SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
@@ -39,18 +40,19 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF0001)
+    df = QUERIES[name](spark, SF0001)
     rows = [tuple(r) for r in df.collect()]
-    rel = duck.sql(entry.oracle_sql()[name])
+    rel = duck.sql(ORACLE[name])
     duck_types = {c.lower(): str(t) for c, t in zip(rel.columns, rel.types)}
     spark_types = {c.lower(): SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
     assert spark_types == duck_types
-    cur = duck.execute(entry.oracle_sql()[name])
+    cur = duck.execute(ORACLE[name])
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(c.lower() for c in df.columns) == sorted(c.lower() for c in dcols)

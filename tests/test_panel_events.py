@@ -84,10 +84,10 @@ def _rows(df):
 def test_single_pass_events_equal_three_joins(spark):
     panel = _hand_panel(spark)
     mod, f3q, zb = first_modification(panel), first_serious_delinquency(panel), zero_balance_events(panel)
-    by_joins = universe_outcome(mod, f3q, zb)
+    by_joins = universe_outcome(event_universe(panel), mod, f3q, zb)
     single = loan_events(panel).select(*by_joins.columns)
     assert _rows(single) == _rows(by_joins)
-    assert sorted(r[0] for r in event_universe(mod, f3q, zb).collect()) == ["A", "B", "D"]
+    assert sorted(r[0] for r in event_universe(panel).collect()) == ["A", "B", "D"]
 
 
 def test_outcome_fan_out_and_loan_count(spark):
@@ -228,7 +228,7 @@ def test_fred_costs_and_missing_dates(spark):
 def test_one_loan_with_a_third_of_all_rows(spark):
     """The skew case: one loan holds a third of the panel; split path == plain."""
     from mortar.operators.events import loan_events
-    from mortar.operators.panel import WINDOW_COLUMNS
+    from mortar.operators.panel import WINDOW_COLUMNS, hot_loans
     ids = spark.range(30000)
     panel = ids.select(
         F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("L"), (F.col("id") % 500).cast("string")))
@@ -248,6 +248,31 @@ def test_one_loan_with_a_third_of_all_rows(spark):
     plain = enrich_panel(panel, hot_threshold=None)
     split = enrich_panel(panel, hot_threshold=5000, chunk_rows=2000)
     assert _rows(split.select(*cols)) == _rows(plain.select(*cols))
-    a = loan_events(split, by_aggregation=True)
+    hot = hot_loans(panel, 5000)
+    a = loan_events(split, hot=hot, n_hot=hot.count())
     b = loan_events(plain).select(*a.columns)
     assert _rows(a) == _rows(b)
+
+
+def test_null_hot_key_is_split_too(spark):
+    from mortar.operators.panel import WINDOW_COLUMNS
+    rows = [(None, *r[1:]) for r in panel_rows("x", [i % 5 for i in range(200)])] + panel_rows("A", [0, 1, 2] * 30)
+    panel = spark.createDataFrame(rows, SCHEMA)
+    split = enrich_panel(panel, hot_threshold=80, chunk_rows=50)
+    plain = enrich_panel(panel, hot_threshold=None)
+    cols = ["LOAN_ID", "LOAN_AGE", *WINDOW_COLUMNS]
+    assert _rows(split.select(*cols)) == _rows(plain.select(*cols))
+
+
+def test_duplicated_months_have_one_order(spark):
+    from mortar.operators.panel import WINDOW_COLUMNS
+    twice = panel_rows("A", [i % 4 for i in range(90)]) + panel_rows("A", [i % 5 for i in range(90)], mods=range(0, 90, 7))
+    twice += panel_rows("B", [1] * 40) * 2
+    cols = ["LOAN_ID", "ACT_DTE", "LOAN_AGE", "DLQ_STATUS", "MOD_FLAG", *WINDOW_COLUMNS]
+    wanted = None
+    for parts in (1, 3, 8):
+        panel = spark.createDataFrame(twice, SCHEMA).repartition(parts, "LAST_UPB")
+        for how in ({"hot_threshold": None}, {"hot_threshold": 50, "chunk_rows": 25}):
+            got = _rows(enrich_panel(panel, **how).select(*cols))
+            wanted = wanted or got
+            assert got == wanted

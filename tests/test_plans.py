@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 from mortar.plans.loan_level import build
 from mortar.schema import FNMA
 from mortar.sources.text import read_tape, write_tape
@@ -79,3 +81,25 @@ def test_bucketed_tables_join_without_exchange(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_outcome_adds_few_exchanges(spark, tmp_dir):
+    lvl = _level(spark, tmp_dir)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = _plan(lvl.outcome()).count("Exchange hashpartitioning")
+        hot = replace(lvl, hot_threshold=60, chunk_rows=25)
+        plan = _plan(hot.outcome())
+        assert hot.n_hot > 0
+        # the hot loans' own aggregate and join read a checkpoint; the panel is planned once
+        assert plan.count("Exchange hashpartitioning") <= plain + 6
+        assert plan.count("FileScan csv") <= 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_event_universe_is_one_scan_without_windows(spark, tmp_dir):
+    plan = _plan(_level(spark, tmp_dir).universe)
+    assert plan.count("FileScan csv") == 1 and "Window" not in plan

@@ -92,7 +92,7 @@ def test_ppmt_and_unmasked_agree_and_run_past_term(spark):
 
 def test_sample_payment_table(spark):
     loans = loans_df(spark, [("s", 55000.0, 7.875, 180)])
-    rows = sorted(payment_table(loans).collect(), key=lambda r: r.PMT_NO)
+    rows = sorted(payment_table(loans, round_payment=True).collect(), key=lambda r: r.PMT_NO)
     assert len(rows) == 180
     assert round(rows[0].PAYMENT, 2) == 521.65
     assert rows[0].INTEREST == 360.94 and round(rows[0].PRINCIPAL, 2) == 160.71
@@ -154,3 +154,52 @@ def test_scalar_inputs(spark):
         masked_balance(1000.0, 0.005, 6, 7).alias("c"),
     ).first()
     assert round(row.a, 2) == 521.65 and row.b == 600.0 and row.c == -999.0
+
+
+BAD = [("ok", 1000.0, 6.0, 6), ("zero", 1000.0, 6.0, 0), ("neg", 1000.0, 6.0, -3), ("noterm", 1000.0, 6.0, None),
+       ("norate", 1000.0, None, 6), ("noamt", None, 6.0, 6), (None, 1000.0, 6.0, 6), ("long", 1000.0, 6.0, 100_000_000),
+       ("flat", 1200.0, 0.0, 12), ("flat0", 1200.0, 0.0, 0)]
+
+
+def test_unusable_loans_neither_fail_nor_vanish(spark):
+    from mortar.operators.schedule import panel_with_schedule, rejected_loans
+    loans = loans_df(spark, BAD)
+    pay = {r.LOAN_ID: r.PMT for r in with_level_payment(loans).collect()}
+    assert pay["ok"] > 0 and pay["flat"] == 100.0
+    assert all(pay[k] is None for k in ("zero", "neg", "noterm", "norate", "noamt", "flat0"))
+    assert schedule_long(loans, 12).where("LOAN_ID = 'zero' and SCHD_UPB is not null").count() == 0
+    for f in (schedule_long, schedule_ppmt, schedule_unmasked, schedule_wide):
+        assert f(loans, 12).count() > 0
+        assert f(loans_df(spark, BAD[1:4]), None).where("LOAN_ID = 'ok'").count() == 0  # no usable term at all
+    rejected = {r.LOAN_ID: r.REASON for r in rejected_loans(loans).collect()}
+    assert rejected == {"zero": "term below one month", "neg": "term below one month", "noterm": "no term",
+                        "norate": "no rate", "noamt": "no amount", None: "no loan id", "long": "term too long",
+                        "flat0": "term below one month"}
+    paid = {r.LOAN_ID: r["count"] for r in payment_table(loans).groupBy("LOAN_ID").count().collect()}
+    assert paid == {"ok": 6, "flat": 12}
+    panel = spark.createDataFrame([(k, 1, None) for k, *_ in BAD], "LOAN_ID string, LOAN_AGE int, LAST_UPB double")
+    filled = {r.LOAN_ID: r.LAST_UPB for r in panel_with_schedule(panel, loans, 12).collect()}
+    assert filled["ok"] > 0 and filled["zero"] is None and filled[None] is None
+
+
+def test_a_repeated_loan_does_not_double_the_panel(spark):
+    loans = loans_df(spark, [("a", 5000.0, 4.0, 6), ("a", 5000.0, 4.0, 6), ("b", 9000.0, 7.0, 360)])
+    panel = spark.createDataFrame([("a", 1), ("b", 2)], "LOAN_ID string, LOAN_AGE int")
+    assert scheduled_balance_at_age(panel, loans, 12).count() == 2
+    other = loans_df(spark, [("a", 5000.0, 4.0, 6), ("a", 6000.0, 4.0, 6)])
+    with pytest.raises(Exception, match="two sets of terms"):
+        scheduled_balance_at_age(panel, other, 12).collect()
+
+
+def test_rounded_and_unrounded_payment(spark):
+    loans = loans_df(spark, [("s", 55000.0, 7.875, 180)])
+    last = {how: payment_table(loans, round_payment=how).where("PMT_NO = 180").first().END_BAL for how in (True, False)}
+    assert round(last[True], 2) == -0.81 and round(last[False], 2) == -0.05
+
+
+def test_payment_blocks_are_cut_by_rows(spark, monkeypatch):
+    import mortar.operators.schedule as schedule
+    loans = [(str(i), 1000.0 + i, 3.0, 6 + 37 * (i % 30)) for i in range(120)]
+    whole = sorted(map(tuple, payment_table(loans_df(spark, loans)).collect()))
+    monkeypatch.setattr(schedule, "_BLOCK_ROWS", 100)
+    assert sorted(map(tuple, payment_table(loans_df(spark, loans)).collect())) == whole
