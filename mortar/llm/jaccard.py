@@ -11,11 +11,13 @@ hold too many pairs, are indexed by the single tokens of the plain prefix.
 Sets near the border between the two are in both indexes, so every similar
 pair meets under some key.
 
+A pair is first tested on bitmaps of the two sets, which bound their overlap
+from above, and, unless that rules it out, compared exactly on the whole sets.
+
 Only components are asked for, so a key's documents are not expanded into
 all pairs.  A short list is compared pair by pair; a long one first with one
 document of the list (another one under each key); later only documents of
 the list that are still in different components are compared, all of them.
-Every comparison is exact over the whole sets.
 
 Skew: equal sets are one class whatever their number; keys of tokens with
 very high corpus counts are dealt over several sub-lists; copies look up
@@ -144,6 +146,27 @@ def _chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int,
         yield first, texts
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    """A bit per token at (token mod size), the size a power of two of 2 to 4 bits a token."""
+    size = max(64, 1 << int(2 * len(tokens) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(tokens % _U(size)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def at_most(x: bytes, nx: int, y: bytes, ny: int) -> int:
+    """An upper bound of two sets' overlap from their bitmaps and sizes.
+
+    A bit that only x has stands for a token (or more) that y lacks.
+    """
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) > len(b):
+        a = np.bitwise_or.reduce(a.reshape(-1, len(b)))
+    elif len(b) > len(a):
+        b = np.bitwise_or.reduce(b.reshape(-1, len(a)))
+    return min(nx - int(np.bitwise_count(a & ~b).sum()), ny - int(np.bitwise_count(b & ~a).sum()))
+
+
 def _needed(n: np.ndarray | int, percent: int):
     """Least overlap that a set of n tokens can have with a similar one."""
     return -(-n * percent // 100)
@@ -218,7 +241,7 @@ def prefix_keys(tokens: np.ndarray, counts: np.ndarray, salt: np.uint64, percent
 
 
 def _index_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, sig, keys): set size, 128-bit digest of the set, index keys."""
+    """(doc_id, n, sig, bits, keys): set size, 128-bit digest and bitmap of the set, index keys."""
     table = docs.sparkSession.sparkContext.broadcast(_frequent_table(docs, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,20 +255,22 @@ def _index_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 if len(often):
                     at = np.minimum(np.searchsorted(often, joined), len(often) - 1)
                     counts = np.where(often[at] == joined, often_n[at], 0)
-                sigs, keys, begin = [], [], 0
+                sigs, keys, bits, begin = [], [], [], 0
                 for s in sets:
                     sig = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                     sigs.append(sig)
+                    bits.append(bitmap(s))
                     keys.append(prefix_keys(s, counts[begin:begin + len(s)], np.frombuffer(sig, _U)[0], percent))
                     begin += len(s)
                 offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(first, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(sigs, pa.binary()),
+                    pa.array(sigs, pa.binary()), pa.array(bits, pa.binary()),
                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys).view(np.int64)))],
-                    names=["doc_id", "n", "sig", "keys"])
+                    names=["doc_id", "n", "sig", "bits", "keys"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sig binary, keys array<long>")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n long, sig binary, bits binary, keys array<long>")
 
 
 def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -294,6 +319,23 @@ def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield from work(*held)
 
 
+def _possible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) of ``pairs`` that their bitmaps do not rule out; ``bitmaps`` is (node, n, bits)."""
+    left, right = (bitmaps.select(F.col("node").alias(k), F.col("n").alias("n" + k), F.col("bits").alias("b" + k))
+                   for k in ("a", "b"))
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fit = []
+            for x, y, nx, ny in zip(*[batch.column(c).to_pylist() for c in ("ba", "bb", "na", "nb")]):
+                most = at_most(x, nx, y, ny)
+                fit.append(100 * most >= percent * (nx + ny - most))
+            yield batch.select(["a", "b"]).filter(pa.array(fit, pa.bool_()))
+
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select(
+        "a", "b", "na", "nb", "ba", "bb").mapInArrow(test, "a long, b long")
+
+
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The (u, v) of ``pairs`` (a, b: class nodes) whose whole sets are similar."""
     wanted = classes.join(
@@ -346,6 +388,10 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     one = index.select("sig", "doc_id", "n", "keys").join(
         first.withColumnRenamed("sig", "_s"),
         (F.col("sig") == F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("rep")))
+    bitmaps = index.select("sig", "doc_id", "n", "bits").join(
+        first.withColumnRenamed("sig", "_s"),
+        (F.col("sig") == F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("rep"))
+    ).select("node", "n", "bits").dropDuplicates(["node"])
     postings = one.select(F.explode("keys").alias("key"), "node", "n")
     (postings.repartition("key").sortWithinPartitions("key")
      .mapInArrow(lambda batches: _lists(batches, percent), "key long, a long, b long, n long")
@@ -354,7 +400,7 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     # comparisons of short lists, and of long lists with one of their own
     tried = cut(lists.where(F.col("key").isNull()).select("a", "b").distinct())
-    links = cut(_verified(docs, classes, tried, words, percent))
+    links = cut(_verified(docs, classes, cut(_possible(tried, bitmaps, percent)), words, percent))
     labels = components(links)
     # long lists: what is still in different components
     long_lists = lists.where(F.col("key").isNotNull()).select("key", F.col("a").alias("node"), "n")
@@ -369,7 +415,7 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
                & (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent))
         .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     )
-    cross = cut(cross)
+    cross = cut(_possible(cross, bitmaps, percent))
     if not cross.isEmpty():
         more = cut(_verified(docs, classes, cross, words, percent))
         labels = components(links.union(more))

@@ -105,3 +105,14 @@ def test_components_of_paths_and_stars(spark):
     out = {r.node: r.label for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert out == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(50)}, 200: 200, 201: 200}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_bitmaps_bound_the_overlap():
+    made = np.random.default_rng(4)
+    for _ in range(300):
+        n = int(made.integers(1, 400))
+        x = np.unique(made.integers(0, 1 << 63, n).astype(np.uint64))
+        y = np.unique(np.concatenate([x[made.random(len(x)) < made.random()], made.integers(0, 1 << 63, n // 2 + 1).astype(np.uint64)]))
+        bound = jaccard.at_most(jaccard.bitmap(x), len(x), jaccard.bitmap(y), len(y))
+        assert bound >= len(np.intersect1d(x, y))
+    assert jaccard.at_most(jaccard.bitmap(x), len(x), jaccard.bitmap(x), len(x)) == len(x)
