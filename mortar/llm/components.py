@@ -3,7 +3,7 @@
 Large-star links every larger neighbour of a node to the smallest node it
 knows; small-star does the same with the smaller ones.  Both are a partial
 aggregate and a join on the node, so a node with very many edges is never
-gathered; every round is checkpointed to the shared folder.
+gathered; every round is written to the shared folder.
 """
 
 from __future__ import annotations

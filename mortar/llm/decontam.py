@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, Window
 
 from ..session import scratch_path
-from .text import MAX_BROADCAST_ROWS, broadcast_if_small, cut, shared_folder, with_columns, word_array
+from .text import MAX_BROADCAST_ROWS, broadcast_if_small, cut, with_columns, word_array
 
 WINDOW = 10
 RAREST = 3
@@ -101,7 +101,6 @@ def find_matches(docs: DataFrame, bench: DataFrame, width: int = WINDOW, rarest:
                  slop: int = SLOP) -> DataFrame:
     """``docs`` plus n_words, n_hit, ``exact`` (wid, start) and ``near`` (wid, start) matches."""
     spark = docs.sparkSession
-    shared_folder(spark)
     items = item_windows(bench, width)
     windows = cut(items.select("wid", "words").distinct())
     vocabulary = cut(windows.select(F.explode("words").alias("term")).distinct())

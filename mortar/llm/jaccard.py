@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_path
 from .components import components
-from .text import broadcast_if_small, cut, lookup, shared_folder
+from .text import broadcast_if_small, cut, lookup
 
 # Workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -376,7 +376,6 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
 def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, mark, n_shingles, component_id), one row per row of ``docs``; mark tells texts apart."""
     spark = docs.sparkSession
-    shared_folder(spark)
     index_path, list_path = scratch_path(spark, "shingle-index"), scratch_path(spark, "shingle-lists")
     _index_rows(docs, words, percent).write.parquet(index_path)
     index = spark.read.parquet(index_path)

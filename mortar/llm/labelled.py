@@ -13,7 +13,7 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, out: tuple[int, int], limit: int) -> DataFrame:
-    """(text, label) of at most ``limit`` labelled documents that are not held out, checkpointed.
+    """(text, label) of at most ``limit`` labelled documents that are not held out, written once.
 
     The sample is the documents with the smallest id hashes, so it does not
     depend on row order; a document labelled twice counts with its larger label.

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import checkpoint_root
+from ..session import scratch_path
 
 # --- fixed values: the contracts' character classes -------------------------
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -40,18 +40,14 @@ def fingerprint(c: Column) -> Column:
     return F.substring(F.sha2(c, 256), 1, 32)
 
 
-def shared_folder(spark) -> str:
-    """The cluster's shared folder, registered as checkpoint directory where none is set."""
-    root = checkpoint_root(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root
-
-
 def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder: later steps read it instead of recomputing."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a table to the shared folder: later steps read it instead of recomputing.
+
+    Parquet rather than ``checkpoint()``: compressed, and read by column.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
