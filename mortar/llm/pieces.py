@@ -36,7 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLANK = "▁"
 # Segments kept per generation of a task's cache, and the longest kept.
-CACHE_SEGMENTS = 150_000
+CACHE_SEGMENTS = 300_000
 CACHE_CHARS = 48
 
 
