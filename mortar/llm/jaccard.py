@@ -436,8 +436,18 @@ def component_digest(docs: DataFrame, **params) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id."""
-    found = link_components(docs, **params)
+    """``docs`` with one document of each component: the one with the smallest doc_id.
+
+    Rows without words all stay; of rows that repeat a doc_id with its text one stays.
+    """
+    found = cut(link_components(docs, **params))
     gone = found.where((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(broadcast_if_small(gone, 1_000_000), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    kept = docs.join(broadcast_if_small(gone, 1_000_000), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    again = cut(found.where(F.col("n_shingles") > 0).groupBy("doc_id", "sig").count().where(F.col("count") > 1)
+                .select(F.col("doc_id").alias("_again")).distinct())
+    if again.isEmpty():
+        return kept
+    same = F.col("doc_id").eqNullSafe(F.col("_again"))
+    once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(again, same, "left_anti").unionByName(once)

@@ -7,8 +7,8 @@ Counts over all pages of a host tell which aligned nodes always hold the
 same text: these are the template.  Nodes whose text varies, and nodes that
 have no partner, are slots.
 
-A page's text is read from its content root: the article or main element
-where there is one, else the body.  Navigation, headers and footers of the
+A page's text is read from its content root: its article elements where there
+are any, else its main element, else the body.  Navigation, headers and footers of the
 page, asides, forms, scripts, styles, and elements that name themselves
 advert, notice, comment and the like are left out, and below a body root so
 are the template's nodes.
@@ -59,6 +59,8 @@ menu navbar navigation nav breadcrumb breadcrumbs footer masthead cookie cookies
 overlay newsletter subscribe subscription signup share sharing social related recommended comment comments comentarios
 kommentare commentaires disqus respond reply replies widget pagination pager toolbar skip""".split())
 HEADER_NAMES = frozenset("header topbar".split())
+NAME_STARTS = tuple("comment advert adsby sponsor cookie sidebar newsletter breadcrumb footer masthead subscri".split())
+ARTICLE_NAMES = frozenset("ad ads advert comment comments promo related sponsored teaser".split())
 ROOTS = frozenset("article main".split())
 # --- end of fixed values ------------------------------------------------------
 
@@ -152,9 +154,12 @@ def is_aside(node: Node, inside: bool) -> bool:
         return True
     words = set(re.split(r"[^a-z]+", re.sub(
         r"([a-z])([A-Z])", r"\1 \2", attrs.get("class", "") + " " + attrs.get("id", "")).lower()))
-    if node.tag in ("html", "body") or node.tag in ROOTS:
-        return bool(words & {"comment", "comments"}) and node.tag in ROOTS
-    return bool(words & NAMES) or (not inside and bool(words & HEADER_NAMES))
+    if node.tag in ("html", "body", "main"):
+        return False
+    if node.tag == "article":
+        return bool(words & ARTICLE_NAMES)
+    return (bool(words & NAMES) or any(w.startswith(NAME_STARTS) and w != "commentary" for w in words)
+            or (not inside and bool(words & HEADER_NAMES)))
 
 
 def nodes_of(node: Node) -> list[Node]:
@@ -240,17 +245,15 @@ def match_trees(a: list, b: list, pairs: list | None = None) -> int:
 
 def main_text(root: Node, template: set[int]) -> str:
     """Blocks of the content root joined by line breaks; ``template`` are node numbers to leave out."""
-    roots: list[Node] = []
-
-    def find(node: Node, depth: int = 0) -> None:
+    def find(node: Node, tag: str) -> list[Node]:
+        out = []
         for child in nodes_of(node):
-            if child.tag in ROOTS or child.attributes().get("role", "").lower() in ("main", "article"):
-                if not is_aside(child, False):
-                    roots.append(child)
-            elif not is_aside(child, False):
-                find(child)
+            if not is_aside(child, False):
+                found = child.tag == tag or child.attributes().get("role", "").lower() == tag
+                out += [child] if found else find(child, tag)
+        return out
 
-    find(root)
+    roots = find(root, "article") or find(root, "main")
     bodies = roots or [root]
     blocks: list[str] = []
     now: list[str] = []

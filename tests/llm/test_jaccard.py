@@ -88,6 +88,8 @@ def test_keep_one_of_each_group(docs_of):
     df = docs_of(texts).selectExpr("*", "1 AS component_id", "2 AS sig", "3 AS node")
     out = keep_one(df)
     assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == [0, 3, 4, 5]
+    twice = keep_one(docs_of(texts + texts, [*range(6), *range(6)]))
+    assert sorted(r.doc_id for r in twice.collect()) == [0, 3, 3, 4, 4, 5]
 
 
 def test_fingerprints_equal_iff_shingles_equal():
