@@ -16,7 +16,7 @@ from above, and, unless that rules it out, compared exactly on the whole sets.
 
 Only components are asked for, so a key's documents are not expanded into
 all pairs.  A short list is compared pair by pair; a long one first with one
-document of the list (another one under each key); later only documents of
+document of the list (HUBS ways to choose it, by the key); later only documents of
 the list that are still in different components are compared, all of them.
 
 Skew: equal sets are one class whatever their number; keys of tokens with
@@ -53,14 +53,18 @@ PERCENT = 80
 PAIRED = 200
 # Frequent: this corpus count at least, and more where that would make more
 # than FREQUENT_TOKENS of them (the size of the broadcast token table).
-FREQUENT = 16
+FREQUENT = 9
 FREQUENT_TOKENS = 1_000_000
-# Shingles counted together in a task; a count below LOCAL there is not reported.
-COUNT_WINDOW = 4_000_000
+# Tokens whose hash is among a set's lowest (its prefix and LOW of the set
+# besides) are all counted; others where LOCAL or more meet in a window.
+LOW = 0.05
+COUNT_WINDOW = 2_000_000
 LOCAL = 3
-# Lists of a key: compared pair by pair up to SHORT; sub-lists hold about LIST.
+# Lists of a key: compared pair by pair up to SHORT; sub-lists hold about LIST;
+# a longer list is compared with one of its members, chosen in HUBS ways.
 SHORT = 8
 LIST = 10_000
+HUBS = 16
 CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
@@ -172,38 +176,45 @@ def _needed(n: np.ndarray | int, percent: int):
     return -(-n * percent // 100)
 
 
-def frequent_tokens(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(token, n): fingerprints that recur inside some window of the corpus, with their counts.
+def frequent_tokens(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(token, n): corpus counts of the fingerprints that decide the prefixes.
 
-    Only the token order and the choice of keys depend on these counts,
-    never the result.
+    Rare tokens are ordered by their hash, so a prefix holds a set's lowest
+    ones: these are counted in full.  Any other token is counted in the
+    windows of the corpus where it recurs.  Only the token order and the
+    choice of keys depend on the counts, never the result.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, held, size = Shingler(words), [], 0
+        shingler, low, high, size = Shingler(words), [], [], 0
 
         def flush():
-            tokens, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n >= LOCAL
-            return pa.RecordBatch.from_arrays(
-                [pa.array(tokens[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["token", "n"])
+            tokens, n = np.unique(np.concatenate(low), return_counts=True)
+            more, m = np.unique(np.concatenate(high), return_counts=True)
+            often = m >= LOCAL
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([tokens, more[often]]).view(np.int64)),
+                pa.array(np.concatenate([n, m[often]]).astype(np.int64))], names=["token", "n"])
 
         for batch in batches:
             for _, texts in _chunks(batch):
                 for s in shingler.sets(texts):
-                    held.append(s)
-                    size += len(s)
+                    if len(s) > 1:
+                        cut_at = len(s) - int(_needed(len(s), percent)) + 2 + int(LOW * len(s))
+                        low.append(s[:cut_at])
+                        high.append(s[cut_at:])
+                        size += len(s)
                 if size >= COUNT_WINDOW:
                     yield flush()
-                    held, size = [], 0
-        if held:
+                    low, high, size = [], [], 0
+        if low:
             yield flush()
 
     return docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _frequent_table(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+def _frequent_table(docs: DataFrame, words: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted frequent tokens and their counts: at most FREQUENT_TOKENS, by the bound on n."""
-    counted = cut(frequent_tokens(docs, words))
+    counted = cut(frequent_tokens(docs, words, percent).where(F.col("n") >= FREQUENT))
     total = counted.agg(F.sum("n")).first()[0] or 0
     least = max(FREQUENT, -(-total // FREQUENT_TOKENS))
     table = counted.where(F.col("n") >= least).toArrow()
@@ -242,7 +253,7 @@ def prefix_keys(tokens: np.ndarray, counts: np.ndarray, salt: np.uint64, percent
 
 def _index_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, n, sig, bits, keys): set size, 128-bit digest and bitmap of the set, index keys."""
-    table = docs.sparkSession.sparkContext.broadcast(_frequent_table(docs, words))
+    table = docs.sparkSession.sparkContext.broadcast(_frequent_table(docs, words, percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, (often, often_n) = Shingler(words), table.value
@@ -302,7 +313,8 @@ def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield pairs(node, n, np.concatenate(left), np.concatenate(right))
         for g in np.flatnonzero(size > SHORT):
             at = np.arange(begin[g], begin[g] + size[g])
-            hub = at[np.argmin(_mix(node[at].view(_U) ^ key[at].view(_U)))]
+            way = _mix(key[at].view(_U) % _U(HUBS) + _U(1))  # lists with the same members choose few hubs
+            hub = at[np.argmin(_mix(node[at].view(_U) ^ way))]
             yield pairs(node, n, at, np.full(len(at), hub))
             yield emit(key[at], node[at], pa.nulls(len(at), pa.int64()), n[at])
 
