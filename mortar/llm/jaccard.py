@@ -350,8 +350,8 @@ def _possible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The (u, v) of ``pairs`` (a, b: class nodes) whose whole sets are similar."""
-    wanted = classes.join(
-        pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "rep", "sig")
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = classes.join(ends, "node").select("node", "rep", "sig")
     texts = docs.select("doc_id", "text").join(
         broadcast_if_small(wanted, 1_000_000), F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "sig", "text")
 
