@@ -84,8 +84,10 @@ def intersect(index: DataFrame, plan: DataFrame, rarest: int = RAREST, slop: int
         wanted = at.join(broadcast_if_small(step), "wid", "left").withColumn("_e", F.col("start") + F.col("_o"))
         around = F.array(*[F.floor(F.col("_e") / cell) + d for d in (-1, 0, 1)])
         probes = wanted.where(F.col("_t").isNotNull()).withColumn("_c", F.explode(around))
-        lists = index.select(F.col("doc_id").alias("_d"), F.col("mark").alias("_m"), F.col("term").alias("_lt"),
-                             F.col("pos").alias("_p"), F.floor(F.col("pos") / cell).alias("_lc"))
+        asked = broadcast_if_small(step.select(F.col("_t").alias("_a")).distinct())
+        lists = index.join(asked, F.col("term") == F.col("_a"), "left_semi").select(
+            F.col("doc_id").alias("_d"), F.col("mark").alias("_m"), F.col("term").alias("_lt"),
+            F.col("pos").alias("_p"), F.floor(F.col("pos") / cell).alias("_lc"))
         found = probes.join(
             lists,
             F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("mark") == F.col("_m")) & (F.col("_t") == F.col("_lt"))
