@@ -35,8 +35,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLANK = "▁"
-# Segments kept per generation of a task's cache, and the longest kept.
-CACHE_SEGMENTS = 300_000
+# Segments and token pairs kept per generation of a worker's caches, and the
+# longest segment kept: together about 200 MB.
+CACHE_SEGMENTS = 100_000
+CACHE_PAIRS = 150_000
 CACHE_CHARS = 48
 
 
@@ -75,6 +77,7 @@ class MergeTokenizer:
         self.matches.make_automaton()
         self.side_by_side = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         self.fits: dict[tuple[str, str], bool] = {}
+        self.older_fits: dict[tuple[str, str], bool] = {}
         self.split = re.compile(" +[^ ]*")
 
     def merge(self, text: str) -> list[str]:
@@ -99,9 +102,12 @@ class MergeTokenizer:
         key = (left, right)
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) > 1_000_000:
-                self.fits.clear()
-            known = self.fits[key] = self.merge(left + right) == ([left, right] if right else [left])
+            known = self.older_fits.get(key)
+            if known is None:
+                known = self.merge(left + right) == ([left, right] if right else [left])
+            if len(self.fits) >= CACHE_PAIRS:
+                self.older_fits, self.fits = self.fits, {}
+            self.fits[key] = known
         return known
 
     def tokens(self, text: str) -> list[str]:
