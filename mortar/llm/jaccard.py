@@ -50,7 +50,7 @@ WORDS = 5
 PERCENT = 80
 # A set of at most PAIRED tokens is indexed by pairs of frequent tokens; one of
 # more than PERCENT % of that by single tokens (both in between).
-PAIRED = 200
+PAIRED = 80
 # Frequent: this corpus count at least, and more where that would make more
 # than FREQUENT_TOKENS of them (the size of the broadcast token table).
 FREQUENT = 9

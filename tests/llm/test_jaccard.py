@@ -51,7 +51,7 @@ def near_copies(seed=9, families=6):
     vocabulary = [f"w{i}" for i in range(400)]
     passage = " ".join(made.choice(vocabulary) for _ in range(40))
     for _ in range(families):
-        base = [made.choice(vocabulary) for _ in range(made.choice([8, 30, 120, 230, 260, 600]))]
+        base = [made.choice(vocabulary) for _ in range(made.choice([8, 30, 66, 72, 78, 84, 120, 600]))]
         for _ in range(made.choice([3, 12, 40])):
             copy = list(base)
             for _ in range(made.randint(0, max(1, len(copy) // 60))):
