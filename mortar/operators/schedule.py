@@ -197,7 +197,7 @@ PAYMENT_SCHEMA = T.StructType([
 PAYMENT_MONEY = ("BEG_BAL", "PAYMENT", "PRINCIPAL", "INTEREST", "END_BAL")
 
 # Output rows per NumPy block.
-_BLOCK_ROWS = 1_000_000
+_BLOCK_ROWS = 250_000
 # Longest usable term in months; longer ones are rejected as corrupt.
 MAX_TERM = 1200
 
