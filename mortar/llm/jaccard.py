@@ -16,12 +16,14 @@ from above, and, unless that rules it out, compared exactly on the whole sets.
 
 Only components are asked for, so a key's documents are not expanded into
 all pairs.  A short list is compared pair by pair; a long one first with one
-document of the list (HUBS ways to choose it, by the key); later only documents of
-the list that are still in different components are compared, all of them.
+document of the list (HUBS ways to choose it, by the key), in a few rounds
+where many pairs would be left; then only documents of the list that are still
+in different components are compared, all of them.
 
 Skew: equal sets are one class whatever their number; keys of tokens with
-very high corpus counts are dealt over several sub-lists; copies look up
-their class by ``text.lookup``.
+very high corpus counts are dealt over several sub-lists for the first
+comparisons, and the sub-lists of a key meet in the later ones, which go by
+the whole key; copies look up their class by ``text.lookup``.
 
 Defined cases: null, empty and blank texts have an empty set and stand
 alone; fewer than five words make one shingle of the whole sequence; repeated
@@ -61,10 +63,13 @@ LOW = 0.05
 COUNT_WINDOW = 2_000_000
 LOCAL = 3
 # Lists of a key: compared pair by pair up to SHORT; sub-lists hold about LIST;
-# a longer list is compared with one of its members, chosen in HUBS ways.
+# a longer list is compared with one of its members, chosen in HUBS ways, and
+# again, up to ROUNDS times, while it would leave over PAIRS pairs a document.
 SHORT = 8
 LIST = 10_000
 HUBS = 16
+ROUNDS = 3
+PAIRS = 8
 CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
@@ -223,36 +228,41 @@ def _frequent_table(docs: DataFrame, words: int, percent: int) -> tuple[np.ndarr
     return tokens[order], table.column("n").to_numpy()[order]
 
 
-def prefix_keys(tokens: np.ndarray, counts: np.ndarray, salt: np.uint64, percent: int = PERCENT) -> np.ndarray:
-    """Index keys of one set: ``counts`` are corpus counts of its tokens, 0 for rare ones."""
+def prefix_keys(tokens: np.ndarray, counts: np.ndarray, salt: np.uint64,
+                percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Index keys of one set, and its sub-list (from 1; 0: undivided) of each.
+
+    ``counts`` are corpus counts of its tokens, 0 for rare ones.
+    """
     n = len(tokens)
     if n < 2:
-        return np.zeros(0, _U)  # a one-token set is similar to its equals only
+        return np.zeros(0, _U), np.zeros(0, np.int32)  # a one-token set is similar to its equals only
     plain = n - int(_needed(n, percent)) + 1
     order = np.lexsort((tokens, counts))[:plain + 1]
-    made = []
+    made, parts = [], []
 
-    def dealt(keys, count):
+    def add(keys, count):
         lists = (count // LIST + 1).astype(_U)
-        return _mix(keys + _mix(keys ^ salt) % lists)
+        made.append(keys)
+        parts.append(np.where(lists > 1, _mix(keys ^ salt) % lists + _U(1), _U(0)).astype(np.int32))
 
     if n > PAIRED * percent // 100:
         single = order[:plain]
-        made.append(dealt(_mix(tokens[single] + _U(1)), counts[single]))
+        add(_mix(tokens[single] + _U(1)), counts[single])
     if n <= PAIRED:
         rare = order[counts[order] == 0]
-        made.append(dealt(_mix(tokens[rare] + _U(2)), counts[rare]))
+        add(_mix(tokens[rare] + _U(2)), counts[rare])
         often = order[counts[order] > 0]
         if len(often) > 1:
             a, b = np.triu_indices(len(often), 1)
             x, y = tokens[often[a]], tokens[often[b]]
             pair = _mix(_mix(np.minimum(x, y) + _U(3)) + np.maximum(x, y))
-            made.append(dealt(pair, np.minimum(counts[often[a]], counts[often[b]])))
-    return np.concatenate(made)
+            add(pair, np.minimum(counts[often[a]], counts[often[b]]))
+    return np.concatenate(made), np.concatenate(parts)
 
 
 def _index_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, sig, bits, keys): set size, 128-bit digest and bitmap of the set, index keys."""
+    """(doc_id, n, sig, bits, keys, parts): set size, 128-bit digest and bitmap of the set, index keys, their sub-lists."""
     table = docs.sparkSession.sparkContext.broadcast(_frequent_table(docs, words, percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,26 +276,29 @@ def _index_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 if len(often):
                     at = np.minimum(np.searchsorted(often, joined), len(often) - 1)
                     counts = np.where(often[at] == joined, often_n[at], 0)
-                sigs, keys, bits, begin = [], [], [], 0
+                sigs, keys, parts, bits, begin = [], [], [], [], 0
                 for s in sets:
                     sig = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                     sigs.append(sig)
                     bits.append(bitmap(s))
-                    keys.append(prefix_keys(s, counts[begin:begin + len(s)], np.frombuffer(sig, _U)[0], percent))
+                    key, part = prefix_keys(s, counts[begin:begin + len(s)], np.frombuffer(sig, _U)[0], percent)
+                    keys.append(key)
+                    parts.append(part)
                     begin += len(s)
                 offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(first, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(sigs, pa.binary()), pa.array(bits, pa.binary()),
-                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys).view(np.int64)))],
-                    names=["doc_id", "n", "sig", "bits", "keys"])
+                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys).view(np.int64))),
+                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts)))],
+                    names=["doc_id", "n", "sig", "bits", "keys", "parts"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, sig binary, bits binary, keys array<long>")
+        run, "doc_id long, n long, sig binary, bits binary, keys array<long>, parts array<int>")
 
 
 def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Postings sorted by key -> comparisons (key null) and the postings of long lists (b null)."""
+    """Postings sorted by (key, part) -> comparisons (key null) and the postings of long or divided lists (b null)."""
     def emit(key, a, b, n):
         return pa.RecordBatch.from_arrays(
             [pa.array(key, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())],
@@ -299,18 +312,23 @@ def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         none = pa.nulls(len(a), pa.int64())
         return emit(none, a, b, none)
 
-    def work(key, node, n):
-        begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    def starts(key, part):
+        return np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]))))
+
+    def work(key, part, node, n):
+        begin = starts(key, part)
         size = np.diff(np.append(begin, len(key)))
         own = np.repeat(size, size)
         short = np.flatnonzero((own > 1) & (own <= SHORT))
         left, right = [], []
         for d in range(1, SHORT):
             i = short[short + d < len(key)]
-            i = i[key[i] == key[i + d]]
+            i = i[(key[i] == key[i + d]) & (part[i] == part[i + d])]
             left.append(i)
             right.append(i + d)
         yield pairs(node, n, np.concatenate(left), np.concatenate(right))
+        later = np.flatnonzero((own <= SHORT) & (part > 0))  # to meet the key's other sub-lists
+        yield emit(key[later], node[later], pa.nulls(len(later), pa.int64()), n[later])
         for g in np.flatnonzero(size > SHORT):
             at = np.arange(begin[g], begin[g] + size[g])
             way = _mix(key[at].view(_U) % _U(HUBS) + _U(1))  # lists with the same members choose few hubs
@@ -320,10 +338,9 @@ def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 
     held = None
     for batch in batches:
-        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "node", "n")]
+        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "part", "node", "n")]
         held = cols if held is None else [np.concatenate(p) for p in zip(held, cols)]
-        key = held[0]
-        whole = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last key may go on
+        whole = int(starts(*held[:2])[-1]) if len(held[0]) else 0  # the last list may go on
         if whole:
             yield from work(*[c[:whole] for c in held])
             held = [c[whole:] for c in held]
@@ -385,6 +402,19 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
     return both.select("a", "b", "sa", "sb").mapInArrow(compare, "u long, v long").distinct()
 
 
+def _with_hubs(rest: DataFrame, step: int, percent: int) -> DataFrame:
+    """(a, b): the documents of each list with one of them, chosen by key and ``step``, if in another component."""
+    rows = rest.select(F.col("key").cast("string").alias("key"), "node", "n", "label",
+                       F.pmod("key", F.lit(HUBS)).alias("way"))
+    hubs = cut(rows.groupBy("key").agg(
+        F.min_by(F.struct("node", "n", "label"), F.xxhash64("node", "way", F.lit(step))).alias("hub"),
+        F.count(F.lit(1)).alias("size")))
+    least, most = F.least("n", "hub.n"), F.greatest("n", "hub.n")
+    return lookup(rows, hubs, "key", "size", [F.col("node")]).where(
+        (F.col("label") != F.col("hub.label")) & (least * 100 >= most * percent)).select(
+        F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+
+
 def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, mark, n_shingles, component_id), one row per row of ``docs``; mark tells texts apart."""
     spark = docs.sparkSession
@@ -396,15 +426,16 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
     classes = cut(grouped.withColumn("node", F.monotonically_increasing_id()))
     first = classes.select("node", "sig", "rep")
-    one = index.select("sig", "doc_id", "n", "keys").join(
+    one = index.select("sig", "doc_id", "n", "keys", "parts").join(
         first.withColumnRenamed("sig", "_s"),
         (F.col("sig") == F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("rep")))
     bitmaps = index.select("sig", "doc_id", "n", "bits").join(
         first.withColumnRenamed("sig", "_s"),
         (F.col("sig") == F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("rep"))
     ).select("node", "n", "bits").dropDuplicates(["node"])
-    postings = one.select(F.explode("keys").alias("key"), "node", "n")
-    (postings.repartition("key").sortWithinPartitions("key")
+    postings = one.select(F.explode(F.arrays_zip("keys", "parts")).alias("p"), "node", "n").select(
+        F.col("p.keys").alias("key"), F.col("p.parts").alias("part"), "node", "n")
+    (postings.repartition("key", "part").sortWithinPartitions("key", "part")
      .mapInArrow(lambda batches: _lists(batches, percent), "key long, a long, b long, n long")
      .write.parquet(list_path))
     lists = spark.read.parquet(list_path)
@@ -413,12 +444,24 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     tried = cut(lists.where(F.col("key").isNull()).select("a", "b").distinct())
     links = cut(_verified(docs, classes, cut(_possible(tried, bitmaps, percent)), words, percent))
     labels = components(links)
-    # long lists: what is still in different components
+    # long lists: what is still in different components, whatever its sub-list
     long_lists = lists.where(F.col("key").isNotNull()).select("key", F.col("a").alias("node"), "n")
-    placed = cut(long_lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where(
-        F.col("lo") < F.col("hi")).select("key")
-    rest = placed.join(mixed, "key", "left_semi")
+    for step in range(ROUNDS + 1):
+        placed = cut(long_lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+        mixed = cut(placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("own")).groupBy("key").agg(
+            F.count(F.lit(1)).alias("parts"), F.sum("own").alias("size"),
+            F.sum(F.col("own").cast("double") * F.col("own")).alias("within")).where(F.col("parts") > 1))
+        size, pairs = mixed.agg(
+            F.sum("size"), F.sum((F.col("size").cast("double") * F.col("size") - F.col("within")) / 2)).first()
+        rest = placed.join(mixed.select("key"), "key", "left_semi")
+        if step == ROUNDS or not size or pairs <= PAIRS * size:
+            break
+        met = cut(_possible(_with_hubs(rest, step, percent).join(tried, ["a", "b"], "left_anti"), bitmaps, percent))
+        more = cut(_verified(docs, classes, met, words, percent))
+        if more.isEmpty():
+            break
+        tried, links = tried.union(met), links.union(more)
+        labels = components(links)
     other = rest.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("with"))
     cross = (
         rest.select("key", F.col("node").alias("a"), "n", "label").join(other, "key")

@@ -78,6 +78,20 @@ def test_long_lists_and_frequent_tokens(docs_of, monkeypatch, short):
     assert got(docs_of(texts)) == brute(list(enumerate(texts)))
 
 
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_sub_lists_of_a_key_meet(docs_of, monkeypatch, rounds):
+    monkeypatch.setattr(jaccard, "LIST", 1)
+    monkeypatch.setattr(jaccard, "PAIRS", 0)
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+    texts = []
+    for f in range(8):  # a hot group of exact copies and one near copy of each length
+        base = [f"f{f}w{i}" for i in range(16 + 12 * f)]
+        texts += [" ".join(base)] * 30 + [" ".join(base) + " more"]
+    base = [f"g{i}" for i in range(60)]  # and a chain of near copies
+    texts += [" ".join(base[:i] + ["x"] + base[i + 1:]) for i in range(0, 60, 2)]
+    assert got(docs_of(texts)) == brute(list(enumerate(texts)))
+
+
 def test_empty_table_and_whole_table(docs_of, sf0001_docs):
     assert got(docs_of([])) == []
     assert got(sf0001_docs) == brute([(r.doc_id, r.text) for r in sf0001_docs.collect()])
