@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_path
 from .components import components
-from .text import broadcast_if_small, cut, lookup
+from .text import broadcast_if_small, cut, fingerprint, lookup
 
 # Workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -262,13 +262,13 @@ def prefix_keys(tokens: np.ndarray, counts: np.ndarray, salt: np.uint64,
 
 
 def _index_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, sig, bits, keys, parts): set size, 128-bit digest and bitmap of the set, index keys, their sub-lists."""
+    """(doc_id, mark, n, sig, bits, keys, parts): mark of the text, set size, 128-bit digest and bitmap of the set, index keys, their sub-lists."""
     table = docs.sparkSession.sparkContext.broadcast(_frequent_table(docs, words, percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, (often, often_n) = Shingler(words), table.value
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, marks = batch.column("doc_id"), batch.column("mark")
             for first, texts in _chunks(batch):
                 sets = shingler.sets(texts)
                 joined = np.concatenate(sets)
@@ -287,14 +287,14 @@ def _index_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     begin += len(s)
                 offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(first, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
+                    ids.slice(first, len(texts)), marks.slice(first, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(sigs, pa.binary()), pa.array(bits, pa.binary()),
                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys).view(np.int64))),
                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts)))],
-                    names=["doc_id", "n", "sig", "bits", "keys", "parts"])
+                    names=["doc_id", "mark", "n", "sig", "bits", "keys", "parts"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, sig binary, bits binary, keys array<long>, parts array<int>")
+    return docs.select("doc_id", "text", fingerprint(F.col("text")).alias("mark")).mapInArrow(
+        run, "doc_id long, mark string, n long, sig binary, bits binary, keys array<long>, parts array<int>")
 
 
 def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -416,7 +416,10 @@ def _with_hubs(rest: DataFrame, step: int, percent: int) -> DataFrame:
 
 
 def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, mark, n_shingles, component_id), one row per row of ``docs``; mark tells texts apart."""
+    """(doc_id, mark, n_shingles, component_id, label), one row per row of ``docs``.
+
+    ``mark`` tells texts apart, ``label`` components; a single document without copies has none.
+    """
     spark = docs.sparkSession
     index_path, list_path = scratch_path(spark, "shingle-index"), scratch_path(spark, "shingle-lists")
     _index_rows(docs, words, percent).write.parquet(index_path)
@@ -478,11 +481,11 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     least = names.groupBy("label").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("parts"))
     # single documents without links are their own component and need no lookup
     grouped = names.join(least, "label").where((F.col("parts") > 1) | (F.col("copies") > 1)).select(
-        F.hex("sig").alias("sig"), "copies", "component_id")
-    rows = index.select("doc_id", "n", F.hex("sig").alias("sig"))
+        F.hex("sig").alias("sig"), "copies", "component_id", "label")
+    rows = index.select("doc_id", "mark", "n", F.hex("sig").alias("sig"))
     found = lookup(rows, cut(grouped), "sig", "copies", [F.col("doc_id")])
-    return found.select("doc_id", "sig", F.col("n").alias("n_shingles"),
-                        F.coalesce("component_id", "doc_id").alias("component_id"))
+    return found.select("doc_id", "mark", F.col("n").alias("n_shingles"),
+                        F.coalesce("component_id", "doc_id").alias("component_id"), "label")
 
 
 def component_digest(docs: DataFrame, **params) -> DataFrame:
@@ -491,18 +494,24 @@ def component_digest(docs: DataFrame, **params) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id.
+    """``docs`` with one row of each component: one with the smallest doc_id, null last.
 
-    Rows without words all stay; of rows that repeat a doc_id with its text one stays.
+    Rows are told apart by doc_id and text, so another text of the same
+    doc_id, or of another null one, is a document of its own.  Rows without
+    words all stay; of rows that repeat a doc_id with its text one stays.
     """
-    found = cut(link_components(docs, **params))
-    gone = found.where((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(broadcast_if_small(gone, 1_000_000), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
-    again = cut(found.where(F.col("n_shingles") > 0).groupBy("doc_id", "sig").count().where(F.col("count") > 1)
-                .select(F.col("doc_id").alias("_again")).distinct())
+    found = cut(link_components(docs, **params).where(F.col("label").isNotNull()).groupBy(
+        F.col("label").cast("string").alias("label"), "doc_id", "mark").agg(F.count(F.lit(1)).alias("rows")))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    least = cut(found.groupBy("label").agg(F.min(first).alias("least"), F.count(F.lit(1)).alias("size")))
+    parted = cut(lookup(found, least, "label", "size", [F.col("doc_id"), F.col("mark")]).select(
+        F.col("doc_id").alias("_id"), F.col("mark").alias("_text"), "rows", (first == F.col("least")).alias("stays")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (fingerprint(F.col("text")) == F.col("_text"))
+    gone = parted.where(~F.col("stays")).select("_id", "_text")
+    kept = docs.join(broadcast_if_small(gone), same, "left_anti")
+    again = parted.where(F.col("stays") & (F.col("rows") > 1)).select("_id", "_text")
     if again.isEmpty():
         return kept
-    same = F.col("doc_id").eqNullSafe(F.col("_again"))
+    again = broadcast_if_small(again)
     once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.join(again, same, "left_anti").unionByName(once)

@@ -106,6 +106,18 @@ def test_keep_one_of_each_group(docs_of):
     assert sorted(r.doc_id for r in twice.collect()) == [0, 3, 3, 4, 4, 5]
 
 
+def test_keep_one_tells_rows_apart_by_text(docs_of):
+    story = "the quick brown fox jumps over the lazy dog and runs away into the dark wood"
+    near, other = story + " again", "an unrelated text of its own that nobody has copied so far"
+    third = "one more text that is not like any of the others in here"
+    rows = [(1, story), (None, near), (None, other), (None, ""), (None, ""), (2, near), (2, third), (2, ""), (2, ""),
+            (7, "x y z"), (7, "x y z"), (7, ""), (7, ""), (None, "p q r"), (None, "P q r")]
+    out = keep_one(docs_of([t for _, t in rows], [i for i, _ in rows])).collect()
+    left = collections.Counter((r.doc_id, (r.text or "").lower()) for r in out)
+    assert left == {(1, story): 1, (None, other): 1, (None, ""): 2, (2, third): 1, (2, ""): 2,
+                    (7, "x y z"): 1, (7, ""): 2, (None, "p q r"): 1}
+
+
 def test_fingerprints_equal_iff_shingles_equal():
     made = random.Random(1)
     texts = [" ".join(made.choice("ab cd é ef\tgh".split(" ")) for _ in range(made.randint(0, 12))) for _ in range(400)]
