@@ -61,6 +61,9 @@ kommentare commentaires disqus respond reply replies widget pagination pager too
 HEADER_NAMES = frozenset("header topbar".split())
 NAME_STARTS = tuple("comment advert adsby sponsor cookie sidebar newsletter breadcrumb footer masthead subscri".split())
 ARTICLE_NAMES = frozenset("ad ads advert comment comments promo related sponsored teaser".split())
+BOX_WORDS = frozenset("""area bar block box button buttons container content form inner item items links list posts
+section widget wrap wrapper""".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROOTS = frozenset("article main".split())
 # --- end of fixed values ------------------------------------------------------
 
@@ -152,14 +155,30 @@ def is_aside(node: Node, inside: bool) -> bool:
         return True
     if re.search(r"display\s*:\s*none", attrs.get("style", "").lower()):
         return True
-    words = set(re.split(r"[^a-z]+", re.sub(
-        r"([a-z])([A-Z])", r"\1 \2", attrs.get("class", "") + " " + attrs.get("id", "")).lower()))
     if node.tag in ("html", "body", "main"):
         return False
     if node.tag == "article":
-        return bool(words & ARTICLE_NAMES)
-    return (bool(words & NAMES) or any(w.startswith(NAME_STARTS) and w != "commentary" for w in words)
-            or (not inside and bool(words & HEADER_NAMES)))
+        return bool(_words(attrs.get("class", "") + " " + attrs.get("id", "")) & ARTICLE_NAMES)
+    if inside or node.tag in HEADINGS:
+        # ids and classes made from titles hold such words too: only a whole one counts, and no heading's id
+        return (any(_is_name(c, BOX_WORDS) for c in attrs.get("class", "").split())
+                or (node.tag not in HEADINGS and _is_name(attrs.get("id", ""), frozenset())))
+    words = _words(attrs.get("class", "") + " " + attrs.get("id", ""))
+    return any(map(_names_aside, words)) or bool(words & HEADER_NAMES)
+
+
+def _words(name: str) -> set[str]:
+    return set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())) - {""}
+
+
+def _names_aside(word: str) -> bool:
+    return word in NAMES or (word.startswith(NAME_STARTS) and word != "commentary")
+
+
+def _is_name(name: str, besides: frozenset) -> bool:
+    """Whether a whole class or id says aside: every word does, or is one of ``besides``."""
+    words = _words(name)
+    return any(map(_names_aside, words)) and all(_names_aside(w) or w in besides for w in words)
 
 
 def nodes_of(node: Node) -> list[Node]:

@@ -15,6 +15,18 @@ def test_article_text():
     assert main_text(parse(PAGE), set()) == "Head & more\nOne two three four.\n<five> éé\na\nb"
 
 
+def test_names_made_from_titles_stay_inside_an_article():
+    from mortar.llm.wrappers import main_text
+    kept = ('<h2 id="social-history">Social history</h2><section id="related-work"><p>Work</p></section>'
+            '<h2 id="navigation">Navigation</h2><section id="sharing-economy"><p>Economy</p></section>'
+            '<p class="notice-period">Notice</p>')
+    left = ('<div class="related-posts">r</div><div class="cookieNotice">c</div><section id="comments">s</section>'
+            '<div class="post-foot newsletter">n</div><h3 class="share">s</h3>')
+    for root in ("article", "main"):
+        page = f"<body><{root}>{kept}{left}</{root}></body>"
+        assert main_text(parse(page), set()) == "Social history\nWork\nNavigation\nEconomy\nNotice"
+
+
 def test_edges(spark):
     rows = [(0, "http://a/", None), (1, None, ""), (2, "x", "plain text only"), (3, "http://a/", "<p>cut off <a href='"),
             (4, "http://a/", "<script>never closed <p>x"), (5, "http://a/", "<article><p>a</article><p>b"),
