@@ -1,11 +1,14 @@
 """Main text of web pages by wrapper induction.
 
 Pages of one host are made by one template.  Every page's DOM tree is
-reduced to a skeleton (runs of like siblings folded into one) and aligned
-with the skeleton of the host's reference page by simple tree matching.
-Counts over all pages of a host tell which aligned nodes always hold the
-same text: these are the template.  Nodes whose text varies, and nodes that
-have no partner, are slots.
+reduced to a skeleton (runs of like siblings folded into one).  A host's
+pages are grouped by layout (the block elements they use), and aligned with
+the skeleton of the layout's reference page by simple tree matching: one of
+the commonest structure, never an empty page.  Counts over all distinct pages
+of a layout tell which text each aligned node holds most often; where that is
+on SHARE % of the aligned pages or more, the node with that text is template.
+Nodes whose text varies, and nodes that have no partner, are slots.  Pages of
+layouts with too few pages are aligned with the host's commonest one.
 
 A page's text is read from its content root: its article elements where there
 are any, else its main element, else the body.  Navigation, headers and footers of the
@@ -13,15 +16,15 @@ page, asides, forms, scripts, styles, and elements that name themselves
 advert, notice, comment and the like are left out, and below a body root so
 are the template's nodes.
 
-Only skeletons (short, one a page) are shuffled.  The reference of a host
+Only skeletons (short, one a page) are shuffled.  The reference of a layout
 with most of the pages is found and joined through partial aggregates and
 ``text.lookup``.
 
 Defined cases: null and empty html have the empty text; unclosed, cut off
 and wrongly nested markup is read as browsers do it, as far as it matters
 for text; a null url, or one without a host, is a host of its own name ("");
-a host's template needs at least ``MIN_PAGES`` aligned pages; repeated rows
-each get the same result.
+a layout's template needs its text on ``MIN_PAGES`` distinct pages at least;
+repeated rows each get the same result.
 """
 
 from __future__ import annotations
@@ -75,6 +78,10 @@ RUN = 12
 DEPTH = 200
 
 MIN_PAGES = 3
+# A node is template where this percentage of the aligned pages has its commonest text.
+SHARE = 90
+# Of references whose structures are equally common, the longer one up to this length.
+LONG_SKELETON = 8192
 MAX_WRAPPER_BYTES = 32 << 20
 
 TOKEN = re.compile(
@@ -312,48 +319,97 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1)), F.lit(""))
 
 
+def layout_of(source: Column) -> Column:
+    """Layout key of a page: which block elements it has, and the first named div or body; null without any markup."""
+    page = F.lower(source)
+    tags = F.array_sort(F.array_distinct(F.regexp_extract_all(
+        page, F.lit(r"<(article|main|section|table|div|center|frameset|header|nav|aside|footer|form)\b"), F.lit(1))))
+    name = F.regexp_replace(F.regexp_extract(
+        page, r"<(?:div|body)\b[^>]*?\s(?:class|id)\s*=\s*[\"']?([^\"'>]*)", 1), "[0-9]+", "")
+    return F.when(page.rlike("<[a-z]"), F.xxhash64(F.concat_ws(" ", tags), name))
+
+
+def _key(host: Column, layout: Column) -> Column:
+    """Key of a host's layout; a null layout stands for the host's commonest one."""
+    return F.concat(host, F.lit("\n"), F.coalesce(layout.cast("string"), F.lit("*")))
+
+
+def structure(bones: list) -> str:
+    """Digest of a skeleton's tags."""
+    def tags(node: list) -> str:
+        return f"{node[0]}({' '.join(map(tags, node[3]))})"
+    return hashlib.blake2b(tags(bones).encode("utf-8", "replace"), digest_size=8).hexdigest()
+
+
 def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made = [json.dumps(skeleton(parse(h.as_py() or "")), separators=(",", ":")) for h in batch.column("html")]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), batch.column("page_id"), pa.array(made, pa.string())],
-            names=["host", "page_id", "skeleton"])
+        made = [skeleton(parse(h.as_py() or "")) for h in batch.column("html")]
+        rows = pa.RecordBatch.from_arrays(
+            [batch.column("host"), batch.column("layout"), batch.column("page_id"),
+             pa.array([structure(m) for m in made], pa.string()),
+             pa.array([json.dumps(m, separators=(",", ":")) for m in made], pa.string())],
+            names=["host", "layout", "page_id", "structure", "skeleton"])
+        yield rows.filter(pa.array([bool(m[3]) for m in made], pa.bool_()))
 
 
 def _alignments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, reference, node, aligned, same): counts of a batch's pages against their references."""
+    """(key, node, mark, n): counts of a batch's pages by the text at the reference's nodes ("": none)."""
     for batch in batches:
         counts: Counter = Counter()
         references: dict[str, list] = {}
-        for host, mine, other in zip(*[batch.column(c).to_pylist() for c in ("host", "skeleton", "reference")]):
+        for key, mine, other in zip(*[batch.column(c).to_pylist() for c in ("key", "skeleton", "reference")]):
             if other not in references:
                 references[other] = json.loads(other)
             pairs: list = []
             match_trees(references[other], json.loads(mine), pairs)
             for x, y in pairs:
-                counts[host, other, x[2], x[1] == y[1] and x[1] != ""] += 1
+                counts[key, x[2], y[1]] += 1
         keys = list(counts)
         yield pa.RecordBatch.from_arrays([
-            pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-            pa.array([k[2] for k in keys], pa.int32()), pa.array([counts[k] for k in keys], pa.int64()),
-            pa.array([counts[k] if k[3] else 0 for k in keys], pa.int64())],
-            names=["host", "reference", "node", "aligned", "same"])
+            pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
+            pa.array([k[2] for k in keys], pa.string()), pa.array([counts[k] for k in keys], pa.int64())],
+            names=["key", "node", "mark", "n"])
 
 
 def induce(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, reference, constant, n): per host its reference skeleton and the template's node numbers."""
-    rows = pages.select(host_of(F.col("url")).alias("host"), "page_id", "html")
-    bones = cut(rows.mapInArrow(_skeletons, "host string, page_id long, skeleton string"))
-    references = cut(bones.groupBy("host").agg(
-        F.min_by("skeleton", F.struct("page_id", "skeleton")).alias("reference"), F.count(F.lit(1)).alias("n")))
-    paired = lookup(bones, references, "host", "n", [F.col("page_id")])
-    counted = paired.select("host", "skeleton", "reference").mapInArrow(
-        _alignments, "host string, reference string, node int, aligned long, same long")
-    nodes = counted.groupBy("host", "reference", "node").agg(
-        F.sum("aligned").alias("aligned"), F.sum("same").alias("same"))
-    constant = nodes.where((F.col("same") == F.col("aligned")) & (F.col("aligned") >= min_pages))
-    return constant.groupBy("host", "reference").agg(
-        F.sort_array(F.collect_set("node")).alias("constant"), F.max("aligned").alias("n"))
+    """(key, reference, constant, n): per layout its reference skeleton and the template's "node text-digest"s.
+
+    A host's commonest layout is there a second time, with the host's key for all other pages.
+    """
+    rows = pages.select(host_of(F.col("url")).alias("host"), layout_of(F.col("html")).alias("layout"), "page_id", "html")
+    bones = cut(rows.where(F.col("layout").isNotNull()).mapInArrow(
+        _skeletons, "host string, layout long, page_id long, structure string, skeleton string")
+        .groupBy("host", "layout", "structure", "skeleton").agg(F.min("page_id").alias("page_id")))
+    first = F.struct("page_id", "skeleton")
+    alike = bones.groupBy("host", "layout", "structure").agg(
+        F.min_by("skeleton", first).alias("skeleton"), F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("n"))
+    layouts = alike.groupBy("host", "layout").agg(
+        F.max_by("skeleton", F.struct("n", F.least(F.length("skeleton"), F.lit(LONG_SKELETON)).alias("size"),
+                                      (-F.col("page_id")).alias("first"), "skeleton")).alias("reference"),
+        F.sum("n").alias("n"))
+    layouts = cut(layouts)
+    hosts = cut(layouts.groupBy("host").agg(
+        F.max(F.struct("n", "layout", "reference")).alias("best"), F.sum("n").alias("pages")))
+    # which reference counts a page: its own layout's if that has enough pages, the
+    # host's if no layout of it has; odd pages beside a common layout are not counted
+    own = layouts.where(F.col("n") >= min_pages).select(_key(F.col("host"), F.col("layout")).alias("key"), "reference", "n")
+    few = hosts.where(F.col("best.n") < min_pages).select(
+        _key(F.col("host"), F.lit(None)).alias("key"), F.col("best.reference").alias("reference"), F.col("pages").alias("n"))
+    groups = cut(own.union(few))
+    small = hosts.where(F.col("best.n") < min_pages).select("host", F.lit(True).alias("small"), F.col("pages").alias("n"))
+    marked = lookup(bones, cut(small), "host", "n", [F.col("skeleton")]).select(
+        _key(F.col("host"), F.when(F.col("small").isNull(), F.col("layout"))).alias("key"), "skeleton")
+    paired = lookup(marked, groups, "key", "n", [F.col("skeleton")]).where(F.col("reference").isNotNull())
+    counted = paired.select("key", "skeleton", "reference").mapInArrow(
+        _alignments, "key string, node int, mark string, n long")
+    nodes = counted.groupBy("key", "node", "mark").agg(F.sum("n").alias("n")).groupBy("key", "node").agg(
+        F.sum("n").alias("aligned"), F.max(F.when(F.col("mark") != "", F.struct("n", "mark"))).alias("most"))
+    constant = nodes.where((F.col("most.n") * 100 >= F.col("aligned") * SHARE) & (F.col("most.n") >= min_pages)).groupBy(
+        "key").agg(F.sort_array(F.collect_set(F.concat_ws(" ", "node", "most.mark"))).alias("constant"))
+    made = cut(groups.join(constant, "key").select("key", "reference", "constant", "n"))
+    best = hosts.where(F.col("best.n") >= min_pages).select(
+        _key(F.col("host"), F.col("best.layout")).alias("key"), _key(F.col("host"), F.lit(None)).alias("all"))
+    return made.union(made.join(best, "key").select(F.col("all").alias("key"), "reference", "constant", "n"))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,9 +427,9 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if len(references) > 1000:
                         references.clear()
                     references[reference] = json.loads(reference)
-                fixed, pairs = set(constant.as_py()), []
+                fixed, pairs = dict(c.split(" ") for c in constant.as_py()), []
                 match_trees(references[reference], bones, pairs)
-                template = {y[2] for x, y in pairs if x[2] in fixed and x[1] == y[1]}
+                template = {y[2] for x, y in pairs if fixed.get(str(x[2])) == y[1]}
             out.append(main_text(root, template))
         rest = [batch.column(i) for i, n in enumerate(batch.schema.names) if n not in ("html", "reference", "constant")]
         names = [n for n in batch.schema.names if n not in ("html", "reference", "constant")]
@@ -384,12 +440,21 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(page_id, url, text) of every row of ``pages``."""
     pages = pages.select("page_id", "url", "html")
     wrappers = cut(induce(pages, min_pages))
-    size = wrappers.agg(F.sum(F.length("reference") + 4 * F.size("constant"))).first()[0] or 0
-    rows = pages.withColumn("host", host_of(F.col("url")))
-    if size <= MAX_WRAPPER_BYTES:
-        joined = rows.join(F.broadcast(wrappers.drop("n")), "host", "left")
-    else:
-        joined = lookup(rows, wrappers, "host", "n", [F.col("page_id")])
+    size = wrappers.agg(F.sum(F.length("reference") + 20 * F.size("constant"))).first()[0] or 0
+    joined = pages.withColumns({"host": host_of(F.col("url")), "layout": layout_of(F.col("html"))})
+    found = []
+    for i, layout in enumerate((F.col("layout"), F.lit(None))):  # of the page's own layout, else of the host
+        key, reference, constant = f"key{i}", f"reference{i}", f"constant{i}"
+        joined = joined.withColumn(key, _key(F.col("host"), layout))
+        one = wrappers.select(F.col("key").alias(key), F.col("reference").alias(reference),
+                              F.col("constant").alias(constant), F.col("n").alias(f"n{i}"))
+        if size <= MAX_WRAPPER_BYTES:
+            joined = joined.join(F.broadcast(one), key, "left")
+        else:
+            joined = lookup(joined, one, key, f"n{i}", [F.col("page_id")])
+        found.append((F.col(reference), F.col(constant)))
+    joined = joined.select("page_id", "url", "html", F.coalesce(found[0][0], found[1][0]).alias("reference"),
+                           F.coalesce(found[0][1], found[1][1]).alias("constant"))
     schema = "page_id long, url string, text string"
     return joined.select("page_id", "url", "html", "reference", "constant").mapInArrow(_texts, schema)
 

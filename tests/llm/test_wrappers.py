@@ -50,6 +50,24 @@ def test_template_of_pages_without_an_article(spark):
     assert out[50].startswith("Welcome")  # one page alone has no template
 
 
+def test_template_of_a_host_with_odd_pages(spark):
+    def divs(n, note="All rights reserved by us"):
+        return (f"<html><body><div><p>Welcome to our site</p></div><div><p>Text {n} of this host</p></div>"
+                f"<div>{note}</div></body></html>")
+
+    def table(n):
+        return f"<html><body><table><tr><td>Old menu</td></tr></table><center>Old text {n}</center></body></html>"
+    empty = [(0, "http://host/0", None), (1, "http://host/1", ""), (2, "http://host/2", "gone")]
+    rows = [*empty, (3, "http://host/3", "<html><body><p>404</p></body></html>"),
+            *[(n, "http://host/%d" % n, divs(n)) for n in range(10, 40)], (40, "http://host/40", divs(40, "Alle Rechte")),
+            *[(n, "http://host/%d" % n, table(n)) for n in range(50, 56)]]
+    out = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [out[n] for n in range(4)] == ["", "", "gone", "404"]
+    assert {out[n] for n in range(10, 40)} == {f"Text {n} of this host" for n in range(10, 40)}
+    assert out[40] == "Text 40 of this host\nAlle Rechte"
+    assert {out[n] for n in range(50, 56)} == {f"Old text {n}" for n in range(50, 56)}
+
+
 def test_equal_articles_are_no_template(spark):
     rows = [(n, "http://host/%d" % n, "<body><nav>m</nav><article><p>the same story</p></article></body>") for n in range(9)]
     assert {r.text for r in extract(spark.createDataFrame(rows, SCHEMA)).collect()} == {"the same story"}
