@@ -13,8 +13,11 @@ layouts with too few pages are aligned with the host's commonest one.
 A page's text is read from its content root: its article elements where there
 are any, else its main element, else the body.  Navigation, headers and footers of the
 page, asides, forms, scripts, styles, and elements that name themselves
-advert, notice, comment and the like are left out, and below a body root so
-are the template's nodes.
+advert, notice, comment and the like are left out, and so is the template:
+below a body root each of its nodes, inside an article or main element each
+element whose whole text is template (a byline, a 'read more' box).  A heading
+goes only with the element it is in.  Where a root has no text but template
+(copies of one article), it stays whole.
 
 Only skeletons (short, one a page) are shuffled.  The reference of a layout
 with most of the pages is found and joined through partial aggregates and
@@ -281,6 +284,27 @@ def main_text(root: Node, template: set[int]) -> str:
 
     roots = find(root, "article") or find(root, "main")
     bodies = roots or [root]
+    kinds: dict[int, tuple[bool, bool]] = {}
+
+    def kind(node: Node) -> tuple[bool, bool]:
+        """Whether the element holds text that is template, and text that is not (its own inline text included)."""
+        if id(node) not in kinds:
+            same = other = False
+            for item in node.items:
+                if isinstance(item, str):
+                    full = bool(html.unescape(item).strip(" \t\n\x0b\x0c\r"))
+                    same, other = same or full and node.number in template, other or full and node.number not in template
+                elif item.tag in INLINE:
+                    full = bool(html.unescape(plain_text(item)).strip(" \t\n\x0b\x0c\r"))
+                    same, other = same or full and node.number in template, other or full and node.number not in template
+                elif not is_aside(item, True):
+                    more = kind(item)
+                    same, other = same or more[0], other or more[1]
+            kinds[id(node)] = same, other
+        return kinds[id(node)]
+
+    # roots that hold nothing but template are copies of one article
+    varies = bool(roots) and any(kind(r)[1] for r in roots)
     blocks: list[str] = []
     now: list[str] = []
 
@@ -303,6 +327,8 @@ def main_text(root: Node, template: set[int]) -> str:
                     flush()
             elif item.tag in INLINE or item.tag in VOID:
                 walk(item)
+            elif varies and item.tag not in HEADINGS and kind(item) == (True, False):
+                flush()
             else:
                 flush()
                 walk(item)

@@ -68,6 +68,26 @@ def test_template_of_a_host_with_odd_pages(spark):
     assert {out[n] for n in range(50, 56)} == {f"Old text {n}" for n in range(50, 56)}
 
 
+def test_constant_boxes_inside_an_article_are_template(spark):
+    def page(n, root):
+        return (f"<body><{root}><h1>Title</h1><p class='by'>By our <b>desk</b></p><p>Story {n}, part <i>one</i></p>"
+                f"<div><h3>Read more</h3><ul><li>Weather</li><li>Sports</li></ul></div><div><p>End of {n}</p></div></{root}></body>")
+    rows = [(n, f"http://{root}/{n}", page(n, root)) for root in ("article", "main") for n in range(9)]
+    rows += [(50, "http://other/", page(50, "article"))]
+    found = extract(spark.createDataFrame(rows, SCHEMA)).collect()
+    out = {(r.page_id, r.url): r.text for r in found}
+    for root in ("article", "main"):
+        for n in range(9):
+            assert out[n, f"http://{root}/{n}"] == f"Title\nStory {n}, part one\nEnd of {n}"
+    assert "Read more" in out[50, "http://other/"]  # one page alone has no template
+
+
+def test_copies_of_an_article_stay_whole(spark):
+    rows = [(n, f"http://host/{n}", f"<body><div><p>day {n}</p></div><article><h1>One</h1><p>the same story</p></article></body>")
+            for n in range(9)]
+    assert {r.text for r in extract(spark.createDataFrame(rows, SCHEMA)).collect()} == {"One\nthe same story"}
+
+
 def test_equal_articles_are_no_template(spark):
     rows = [(n, "http://host/%d" % n, "<body><nav>m</nav><article><p>the same story</p></article></body>") for n in range(9)]
     assert {r.text for r in extract(spark.createDataFrame(rows, SCHEMA)).collect()} == {"the same story"}
