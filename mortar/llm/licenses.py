@@ -7,6 +7,8 @@ diagonal d - t.  A base phrase stands where one diagonal holds every pair of
 the phrase.  For the longer notices, neighbouring diagonals (within
 ``DRIFT`` words) are merged, and a span is kept when the merged diagonals
 cover at least ``COVER`` of the template's pairs within a bounded length.
+Where stray votes chain on to a longer band, the diagonals within ``DRIFT`` of
+each of its diagonals are tried, and the best of those that meet are kept.
 
 Defined cases: null is the empty text; repeated rows each get the same
 result; a text without words has no place, null first and last word, empty
@@ -90,18 +92,40 @@ def license_spans(docs: DataFrame) -> DataFrame:
     # neighbouring diagonals of one document and template
     w = Window.partitionBy("doc_id", "mark", "template").orderBy("diag")
     jump = F.when(F.col("diag") - F.lag("diag").over(w) <= DRIFT, 0).otherwise(1)
-    merged = (
+    by_band = Window.partitionBy("doc_id", "mark", "template", "band")
+    length, bound = F.col("last_word") - F.col("first_word") + 1, STRETCH * F.col("n_words")
+    banded = (
         by_diagonal.where(~F.col("base"))
         .withColumn("jump", jump)
         .withColumn("band", F.sum("jump").over(w))
+        .withColumn("long", F.max("hi").over(by_band) + 2 - F.min("lo").over(by_band) > bound)
+    )
+    merged = (
+        banded.where(~F.col("long"))
         .groupBy("doc_id", "mark", "label", "base", "template", "n_pairs", "n_words", "band")
         .agg(F.size(F.array_distinct(F.flatten(F.collect_list("tpos")))).alias("covered"),
              F.min("lo").alias("first_word"), (F.max("hi") + 1).alias("last_word"))
         .withColumn("cover", F.col("covered") / F.col("n_pairs"))
-        .where((F.col("cover") >= COVER)
-               & (F.col("last_word") - F.col("first_word") + 1 <= STRETCH * F.col("n_words")))
+        .where(F.col("cover") >= COVER)
+    )
+    parts = banded.where("long")
+    for reach in range(DRIFT + 1):
+        near = by_band.orderBy("diag").rangeBetween(-reach, reach)
+        one = parts.select(
+            "*", (F.size(F.array_distinct(F.flatten(F.collect_list("tpos").over(near)))) / F.col("n_pairs")).alias("cover"),
+            F.min("lo").over(near).alias("first_word"), (F.max("hi").over(near) + 1).alias("last_word"))
+        fits = F.struct("cover", (-length).alias("short"), "first_word", "last_word")
+        parts = one.withColumn(f"try{reach}", F.when((F.col("cover") >= COVER) & (length <= bound), fits)).drop(
+            "cover", "first_word", "last_word")
+    place = F.struct("best.cover", "best.short", (-F.col("diag")).alias("first"))
+    within = (
+        parts.withColumn("best", F.greatest(*[f"try{r}" for r in range(DRIFT + 1)])).where(F.col("best").isNotNull())
+        .withColumn("top", F.max(place).over(by_band.orderBy("diag").rangeBetween(-2 * DRIFT, 2 * DRIFT)))
+        .where(F.col("top") == place)
+        .select("doc_id", "mark", "label", "base", F.col("best.first_word").alias("first_word"),
+                F.col("best.last_word").alias("last_word"), F.col("best.cover").alias("cover"))
     )
-    return whole.unionByName(merged.select("doc_id", "mark", "label", "base", "first_word", "last_word", "cover"))
+    return whole.unionByName(merged.select(*within.columns)).unionByName(within)
 
 
 def license_digest(docs: DataFrame) -> DataFrame:

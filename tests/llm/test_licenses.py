@@ -44,3 +44,13 @@ def test_notices_with_small_changes(docs_of):
     assert "notice" not in out[2].labels and out[3].labels == "" and out[3].score == 0.0
     span = [r for r in license_spans(df).collect() if r.doc_id == 0][0]
     assert (span.first_word, span.last_word) == (1, len(notices[0].split()))
+
+
+def test_stray_votes_do_not_hide_a_notice(docs_of):
+    notice = "this work is licensed under a creative commons attribution"
+    stray = " creative commons attribution" * 12
+    df = docs_of([notice + stray, "so creative commons attribution" + stray, notice + stray + " " + notice])
+    out = {r.doc_id: r for r in license_digest(df).collect()}
+    assert out[0].labels == "cc-notice" and out[0].score == 1.0 and out[1].labels == ""
+    found = sorted((r.doc_id, r.first_word, r.last_word) for r in license_spans(df).collect())
+    assert found == [(0, 0, 8), (2, 0, 8), (2, 45, 53)]
