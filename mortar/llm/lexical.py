@@ -4,11 +4,13 @@ A document is a sparse vector of saturated term frequencies over the terms
 that the queries hold, a query one of term weights; the score is their
 integer inner product.  Documents are read in shards; every shard becomes a
 ball tree: nodes are split at the median along the line between two far
-points, and hold the centroid of their points and the radius around it.  No
-point x of a node can score above q.c + |q| r.  A query visits the nodes best
-bound first and leaves out those whose bound is below its k-th score so far,
-which it carries from shard to shard.  At the leaves scores are computed in
-64-bit integers.
+points, and hold the centroid of their points and the radii around it, of the
+whole vector and of every term alone.  No point x of a node can score above
+q.c + |q| r, nor above q.c + sum of q_t r_t; the lower of the two counts (for
+sparse vectors of many terms it is the second: few of a ball's terms are the
+query's).  A query visits the nodes best bound first and leaves out those
+whose bound is below its k-th score so far, which it carries from shard to
+shard.  At the leaves scores are computed in 64-bit integers.
 
 Bounds are floating point, so they are rounded up: the squared radius and the
 bound each get a margin far above the error of their sums.  A bound equal to
@@ -55,10 +57,10 @@ SCALE = 1_000_000_000
 TERM = rb"[0-9a-z\x80-\xff]+"  # of UTF-8 bytes with A-Z lower-cased
 # --- end of fixed values ------------------------------------------------------
 
-BLOCK_BYTES = 4_000_000  # texts of the queries that go out at a time
+BLOCK_BYTES = 500_000  # texts of the queries that go out at a time
 SHARD = 4096  # documents of a tree
 SHARD_TERMS = 2_000_000  # terms of a tree's documents
-LEAF = 64
+LEAF = 32
 PIECE = 4_000_000  # bytes of a text that are split into words at a time
 MERGE = 256  # groups of a query's candidates before the last merge
 NARROW = 64  # queries bounded at a time
@@ -94,7 +96,7 @@ class BallTree:
         self.square = np.bincount(self.row, self.x * self.x, minlength=len(count))
         self.nodes: list[tuple[int, int]] = []  # left and right node, or -1 and the leaf's number
         self.leaves: list[np.ndarray] = []
-        centre, radius = [], []
+        centre, radius, reach = [], [], []
         todo = [(np.arange(len(count)), -1, 0)]
         while todo:
             rows, parent, side = todo.pop()
@@ -105,6 +107,7 @@ class BallTree:
             distance = self._distance(rows, c)
             centre.append(c)
             radius.append(math.sqrt(distance.max()))
+            reach.append(self._reach(rows, c))
             if len(rows) > leaf and distance.max() > 0:
                 self.nodes.append((-1, -1))
                 one, two = self._halves(rows, distance)
@@ -112,7 +115,7 @@ class BallTree:
             else:
                 self.nodes.append((-1, len(self.leaves)))
                 self.leaves.append(rows)
-        self.centre, self.radius = np.array(centre), np.array(radius)
+        self.centre, self.radius, self.reach = np.array(centre), np.array(radius), np.array(reach)
 
     def _entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the rows' entries, and each entry's place in ``rows``."""
@@ -125,6 +128,13 @@ class BallTree:
         at, _ = self._entries(rows)
         return np.bincount(self.local[at], self.x[at], minlength=len(self.used)) / len(rows)
 
+    def _reach(self, rows: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Each term's radius above the centroid (queries weigh no term below 0)."""
+        at, _ = self._entries(rows)
+        most = np.zeros(len(self.used))
+        np.maximum.at(most, self.local[at], self.x[at])
+        return np.maximum(most - c, 0)
+
     def _dot(self, rows: np.ndarray, dense: np.ndarray) -> np.ndarray:
         at, owner = self._entries(rows)
         return np.bincount(owner, self.x[at] * dense[self.local[at]], minlength=len(rows))
@@ -151,7 +161,8 @@ class BallTree:
         """No point of a node scores above its bound; ``queries`` are dense over ``used``, scaled."""
         length = np.sqrt((queries * queries).sum(1))
         inner = queries @ self.centre.T
-        return (inner + length[:, None] * self.radius[None, :]) * (1 + 1e-9) + 1
+        spread = np.minimum(length[:, None] * self.radius[None, :], queries @ self.reach.T)
+        return (inner + spread) * (1 + 1e-9) + 1
 
     def scores(self, leaf: int, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rows, integer scores) of a leaf; ``weight`` is dense over ``used``."""
