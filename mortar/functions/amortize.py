@@ -38,6 +38,13 @@ def balance(principal, rate, term, t) -> Column:
     return F.when(r == 0, p - a * t).otherwise(p * g - F.try_divide(a * (g - F.lit(1.0)), r))
 
 
+def balance_after(principal, rate, payment, t) -> Column:
+    """Balance after t payments of a given size, level or not (it may grow)."""
+    p, r, a, t = col_of(principal), col_of(rate), col_of(payment), col_of(t)
+    g = _growth(r, t)
+    return F.when(r == 0, p - a * t).otherwise(p * g - F.try_divide(a * (g - F.lit(1.0)), r))
+
+
 def balance_by_principal_parts(principal, rate, term, t) -> Column:
     """P less the principal parts of payments 1..t (the ``ppmt`` form).
 

@@ -28,18 +28,23 @@ from ..session import parallelism
 LOAN_TERMS = ("LOAN_ID", "ORIG_AMT", "ORIG_RT", "ORIG_TRM")
 
 
+def _longest_term(loans: DataFrame) -> Column:
+    """The longest usable term (a corrupt one would give every loan its months)."""
+    return loans.where(unusable_terms().isNull()).select(F.max("ORIG_TRM")).scalar()
+
+
 def month_count(loans: DataFrame, start_period: int = 0, end_period: int | None = None) -> Column:
-    """M5: N = longest term, capped at max(1, end - start) when an end is given."""
-    n = loans.select(F.max("ORIG_TRM")).scalar()
+    """M5: N = longest usable term, capped at max(1, end - start) when an end is given."""
+    n = _longest_term(loans)
     if end_period is not None:
         n = F.least(n, F.lit(max(1, end_period - start_period)))
     return n
 
 
 def horizon(loans: DataFrame, max_month: int | None = None) -> Column:
-    """N = max(1, max_month), or the longest term when no month count is given."""
+    """N = max(1, max_month), or the longest usable term when no month count is given."""
     if max_month is None:
-        return loans.select(F.max("ORIG_TRM")).scalar()
+        return _longest_term(loans)
     return F.lit(max(1, max_month))
 
 
@@ -128,14 +133,16 @@ def with_level_payment(loans: DataFrame) -> DataFrame:
     )
 
 
-def _one_row_per_loan(terms: DataFrame) -> DataFrame:
-    """Loan terms by partial aggregation; a repeated loan with other terms is an error."""
-    term = F.struct("_P", "_r", "_n")
-    one = terms.where(F.col("LOAN_ID").isNotNull()).groupBy("LOAN_ID").agg(
-        F.min(term).alias("_t"), F.max(term).alias("_u"))
-    checked = F.when(F.col("_t").eqNullSafe(F.col("_u")), F.col("_t")).otherwise(
-        F.raise_error(F.concat(F.lit("loan with two sets of terms: "), F.col("LOAN_ID"))))
-    return one.select("LOAN_ID", checked.alias("_t")).select("LOAN_ID", "_t.*")
+def _term_range(loans: DataFrame, *term: str) -> DataFrame:
+    """(LOAN_ID, _t, _u): least and greatest set of terms of each loan, by partial aggregation."""
+    return loans.where(F.col("LOAN_ID").isNotNull()).groupBy("LOAN_ID").agg(
+        F.min(F.struct(*term)).alias("_t"), F.max(F.struct(*term)).alias("_u"))
+
+
+def one_row_per_loan(loans: DataFrame, *columns: str) -> DataFrame:
+    """LOAN_ID and ``columns``; a loan repeated with other values is left out (``rejected_loans`` lists terms)."""
+    one = _term_range(loans, *columns)
+    return one.where(F.col("_t").eqNullSafe(F.col("_u"))).select("LOAN_ID", "_t.*")
 
 
 def scheduled_balance_at_age(panel: DataFrame, loans: DataFrame, month_count_: int | None = 12) -> DataFrame:
@@ -143,12 +150,13 @@ def scheduled_balance_at_age(panel: DataFrame, loans: DataFrame, month_count_: i
 
     Same result as joining the long schedule on (LOAN_ID, LOAN_AGE): ages
     outside 0..N-1 or loans missing from the tape get null.  ``month_count_``
-    None means the longest term of the tape.  A loan that the tape repeats
-    (for example in two vintages) must repeat its terms: the panel is joined
-    with one row per loan, and differing terms fail the job.
+    None means the longest usable term of the tape.  The panel is joined with
+    one row per loan: a loan that the tape repeats (for example in two
+    vintages) with its terms counts once, one that it repeats with other
+    terms has no schedule and is listed by ``rejected_loans``.
     """
     n = month_count(loans, 0, month_count_) if month_count_ is not None else month_count(loans)
-    t = _one_row_per_loan(_terms(loans)).withColumnRenamed("LOAN_ID", "_lid")
+    t = one_row_per_loan(_terms(loans), "_P", "_r", "_n").withColumnRenamed("LOAN_ID", "_lid")
     age = F.col("LOAN_AGE")
     joined = panel.join(t, panel["LOAN_ID"] == t["_lid"], "left")
     schd = F.when((age >= 0) & (age < n), _cell(age, 0))
@@ -286,8 +294,17 @@ def unusable_terms() -> Column:
 
 
 def rejected_loans(loans: DataFrame) -> DataFrame:
-    """Loans that no schedule or payment table can use, with the reason."""
-    return loans.select(*LOAN_TERMS, unusable_terms().alias("REASON")).where(F.col("REASON").isNotNull())
+    """Loan rows that no schedule or payment table can use, with the reason.
+
+    Rows of a loan that comes with several sets of terms have no place in the
+    scheduled panel (which has one row per loan and month); payment tables
+    take every usable row by itself.
+    """
+    rows = loans.select(*LOAN_TERMS, unusable_terms().alias("REASON"))
+    several = _term_range(loans, *LOAN_TERMS[1:]).where(~F.col("_t").eqNullSafe(F.col("_u"))).select("LOAN_ID")
+    both = rows.where(F.col("REASON").isNull()).drop("REASON").join(several, "LOAN_ID", "left_semi")
+    return rows.where(F.col("REASON").isNotNull()).unionByName(
+        both.select(*LOAN_TERMS, F.lit("several sets of terms").alias("REASON")))
 
 
 def payment_table(loans: DataFrame, rows_per_task: int | None = 2_000_000,

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mortar.operators.schedule import (
-    payment_table, scheduled_balance_at_age, schedule_long, schedule_ppmt, schedule_unmasked,
+    payment_table, rejected_loans, scheduled_balance_at_age, schedule_long, schedule_ppmt, schedule_unmasked,
     schedule_wide, with_level_payment,
 )
 
@@ -186,9 +186,28 @@ def test_a_repeated_loan_does_not_double_the_panel(spark):
     loans = loans_df(spark, [("a", 5000.0, 4.0, 6), ("a", 5000.0, 4.0, 6), ("b", 9000.0, 7.0, 360)])
     panel = spark.createDataFrame([("a", 1), ("b", 2)], "LOAN_ID string, LOAN_AGE int")
     assert scheduled_balance_at_age(panel, loans, 12).count() == 2
-    other = loans_df(spark, [("a", 5000.0, 4.0, 6), ("a", 6000.0, 4.0, 6)])
-    with pytest.raises(Exception, match="two sets of terms"):
-        scheduled_balance_at_age(panel, other, 12).collect()
+
+
+def test_a_loan_with_several_sets_of_terms_is_rejected_alone(spark):
+    loans = loans_df(spark, [("a", 5000.0, 4.0, 6), ("a", 6000.0, 4.0, 6), ("b", 9000.0, 7.0, 360), ("b", 9000.0, 7.0, 360),
+                             ("c", 1.0, None, 5), ("c", 1.0, 2.0, 5)])
+    panel = spark.createDataFrame([("a", 1), ("b", 2), ("c", 1)], "LOAN_ID string, LOAN_AGE int")
+    got = {r.LOAN_ID: r.SCHD_UPB for r in scheduled_balance_at_age(panel, loans, 12).collect()}
+    assert got["a"] is None and got["b"] > 0 and got["c"] is None
+    assert sorted((r.LOAN_ID, r.REASON) for r in rejected_loans(loans).collect()) == [
+        ("a", "several sets of terms"), ("a", "several sets of terms"), ("c", "no rate"), ("c", "several sets of terms")]
+
+
+def test_corrupt_terms_do_not_stretch_the_horizon(spark):
+    loans = loans_df(spark, [("a", 5000.0, 4.0, 6), ("b", 5000.0, 4.0, 100_000_000), ("c", 5000.0, 4.0, 3000),
+                             ("d", None, 4.0, 900)])
+    assert {r.LOAN_ID: r["count"] for r in schedule_long(loans, None).groupBy("LOAN_ID").count().collect()} == {
+        k: 6 for k in "abcd"}
+    assert schedule_unmasked(loans, None).count() == schedule_ppmt(loans, None).count() == 24
+    assert {len(r.SCHD_UPB) for r in schedule_wide(loans, None).collect()} == {6}
+    panel = spark.createDataFrame([("a", 5), ("a", 7)], "LOAN_ID string, LOAN_AGE int")
+    assert [r.SCHD_UPB is None for r in scheduled_balance_at_age(panel, loans, None).orderBy("LOAN_AGE").collect()] == [
+        False, True]
 
 
 def test_rounded_and_unrounded_payment(spark):
