@@ -12,13 +12,19 @@ from ..functions.cleaning import round_half_up
 from ..functions.months import month_date
 from ..operators.arm import arm_resets, arm_schedule, index_series, rejected_arms
 from ..operators.calendar import CALENDAR_COLUMNS, enrich_calendar
+from ..operators.hazard import (
+    EXITS, calibration, coefficients, fit_hazard, held_out, life_table, person_periods, with_features, with_hazard,
+)
 from ..operators.market import filled_prices, mark_to_market, rate_incentive
+from ..operators.schedule import one_row_per_loan
 from ..operators.series import rejected_series
 from ..schema import FNMA
 from ..sources import market
 from ..sources.fixtures import fnma_acquisition, fnma_performance, render
 from .loan_level import LoanLevel, build
-from .queries import SPLIT_THRESHOLD, register
+from ..session import scratch_path
+from .queries import MONTH_COUNT, SPLIT_THRESHOLD, _long_sql, register
+from .sql import create_functions
 
 
 
@@ -280,3 +286,80 @@ def _calendar(spark, sf, **how) -> DataFrame:
 
 register("panel_calendar", _CALENDAR_SQL)(lambda spark, sf: _calendar(spark, sf))
 register("panel_calendar_split", _CALENDAR_SQL)(lambda spark, sf: _calendar(spark, sf, hot_threshold=SPLIT_THRESHOLD))
+
+
+# --- hazard ------------------------------------------------------------------------------
+
+# The given panel's statuses end at five.
+HAZARD_STATUS = 5
+_PERIODS_SQL = f"""
+, x AS (
+  SELECT LOAN_ID, ACT_DTE, LOAN_AGE,
+         CASE WHEN DLQ_STATUS >= {HAZARD_STATUS} OR ZB_CODE IN ('02', '03', '09') THEN 1 WHEN MOD_FLAG = 'Y' THEN 2
+              WHEN ZB_CODE = '01' THEN 3 ELSE 0 END AS EXIT FROM perf),
+periods AS (
+  SELECT x.* FROM x LEFT JOIN (SELECT LOAN_ID, min(ACT_DTE) AS last FROM x WHERE EXIT > 0 GROUP BY LOAN_ID) USING (LOAN_ID)
+  WHERE last IS NULL OR ACT_DTE <= last)"""
+
+
+def _periods(spark, sf) -> DataFrame:
+    lvl = _level(spark, sf)
+    panel = rate_incentive(lvl.panel, lvl.loans, market.rate_quotes(spark, sf))
+    ltv = one_row_per_loan(lvl.loans, "OLTV").withColumnRenamed("LOAN_ID", "_of")
+    return person_periods(panel.join(ltv, panel["LOAN_ID"] == F.col("_of"), "left").drop("_of"), HAZARD_STATUS)
+
+
+@register("hazard_periods", f"{_PERIODS_SQL} SELECT LOAN_ID, ACT_DTE, LOAN_AGE, EXIT FROM periods")
+def hazard_periods_q(spark, sf):
+    """Months at risk of every loan, with the month's exit."""
+    return _periods(spark, sf).select("LOAN_ID", "ACT_DTE", "LOAN_AGE", "EXIT")
+
+
+@register("hazard_life_table", f"{_PERIODS_SQL} SELECT LOAN_AGE, count(*) AS AT_RISK, " + ", ".join(
+    f"count(*) FILTER (EXIT = {k}) AS N_{n}, count(*) FILTER (EXIT = {k}) / count(*) AS {n}_RATE"
+    for k, n in enumerate(EXITS, 1)) + " FROM periods GROUP BY LOAN_AGE")
+def hazard_life_table_q(spark, sf):
+    return life_table(_periods(spark, sf))
+
+
+@register("hazard_fit", None)
+def hazard_fit_q(spark, sf):
+    """Coefficients of the competing exits, fitted on the loans that are not held out."""
+    fit = fit_hazard(with_features(_periods(spark, sf)).where(~held_out()))
+    return coefficients(spark, fit).withColumns({c: F.round(c, 6) for c in ("COEF", "STD_ERROR")})
+
+
+@register("hazard_calibration", None)
+def hazard_calibration_q(spark, sf):
+    """Predicted and observed exits of the held-out loans, by predicted risk."""
+    rows = with_features(_periods(spark, sf))
+    scored = with_hazard(rows.where(held_out()), fit_hazard(rows.where(~held_out())))
+    return calibration(scored).withColumns({c: F.round(c, 6) for c in ("PREDICTED", "OBSERVED")})
+
+
+# --- SQL functions -------------------------------------------------------------------------
+
+@register("sql_schedule", _long_sql(0))
+def sql_schedule_q(spark, sf):
+    """The schedule as SQL text over a view: a table function of the catalog, called for every loan."""
+    view = "loans_" + scratch_path(spark, "view").rsplit("-", 1)[-1]
+    create_functions(spark)
+    _level(spark, sf).loans.createOrReplaceTempView(view)
+    return spark.sql(f"""
+        SELECT LOAN_ID, LOAN_AGE, round(CASE WHEN LOAN_AGE = 0 THEN ORIG_AMT ELSE SCHD_UPB END, 2) AS SCHD_UPB
+        FROM {view}, LATERAL loan_schedule(ORIG_AMT, ORIG_RT, ORIG_TRM,
+                                           (SELECT least(max(ORIG_TRM), {MONTH_COUNT}) FROM {view})) s""")
+
+
+@register("sql_scalars", """
+SELECT LOAN_ID, CASE WHEN ORIG_CHN IN ('R', 'C') THEN 'R1' WHEN ORIG_CHN = 'B' THEN 'B1' ELSE ORIG_CHN END AS CHN_BUCKET,
+       round(A, 3) + 0.0 AS PMT,
+       CAST(CASE WHEN ORIG_TRM <= 120 THEN 120 WHEN ORIG_TRM <= 180 THEN 180 WHEN ORIG_TRM <= 240 THEN 240 ELSE 360 END AS INTEGER)
+         AS TERM_BUCKET
+FROM loans JOIN pay USING (LOAN_ID)""")
+def sql_scalars_q(spark, sf):
+    view = "loans_" + scratch_path(spark, "view").rsplit("-", 1)[-1]
+    create_functions(spark)
+    _level(spark, sf).loans.createOrReplaceTempView(view)
+    return spark.sql(f"SELECT LOAN_ID, channel_bucket(ORIG_CHN) AS CHN_BUCKET, "
+                     f"round(level_payment(ORIG_AMT, ORIG_RT, ORIG_TRM), 3) AS PMT, term_bucket(ORIG_TRM) AS TERM_BUCKET FROM {view}")

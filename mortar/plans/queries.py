@@ -31,9 +31,11 @@ from ..operators.skew import row_places
 from ..schema import FNMA, FRED
 from ..session import parallelism, scratch_path
 from ..sinks.parquet import save_bucketed, save_parquet, save_table, save_vintage, stage_to_vintage
+from ..sinks.versions import read_versions
 from ..sources.fixtures import fnma_acquisition, fnma_performance, fred_acquisition, fred_performance
 from ..sources.text import read_acquisition, read_performance, read_tape, write_tape
 from ..streaming.ingest import ingest_incremental, read_staged
+from ..streaming.restate import ingest_versions
 from . import oracle as O
 from .loan_level import build, save
 
@@ -110,25 +112,43 @@ def ingest_incremental_q(spark, sf):
     return read_staged(spark, target)
 
 
-def _two_sources(spark, sf, mode: str) -> DataFrame:
+@register("ingest_two_quarters", f"SELECT {_STAGED_SQL}, '2000Q1' AS ACQ FROM perf_raw UNION ALL "
+                                 f"SELECT {_STAGED_SQL}, '2000Q2' AS ACQ FROM perf_raw")
+def ingest_two_quarters_q(spark, sf):
     """The monthly tape landed twice, as two quarters with a landing folder and a checkpoint each."""
     target = scratch_path(spark, "staged")
-    for vintage, how in ((VINTAGE, "append"), (NEXT_VINTAGE, mode)):
+    for vintage in (VINTAGE, NEXT_VINTAGE):
         landing, ckpt = _text_tape(spark, sf, "performance"), scratch_path(spark, "ingest-ckpt")
-        ingest_incremental(spark, landing, target, ckpt, FNMA, vintage=vintage, mode=how)
-        ingest_incremental(spark, landing, target, ckpt, FNMA, vintage=vintage, mode=how)  # finds nothing new
+        ingest_incremental(spark, landing, target, ckpt, FNMA, vintage=vintage)
+        ingest_incremental(spark, landing, target, ckpt, FNMA, vintage=vintage)  # finds nothing new
     return read_staged(spark, target)
 
 
-@register("ingest_two_quarters", f"SELECT {_STAGED_SQL}, '2000Q1' AS ACQ FROM perf_raw UNION ALL "
-                                 f"SELECT {_STAGED_SQL}, '2000Q2' AS ACQ FROM perf_raw")
-def ingest_two_quarters_q(spark, sf):
-    return _two_sources(spark, sf, "append")
-
-
 @register("ingest_replace", f"SELECT {_STAGED_SQL}, '2000Q2' AS ACQ FROM perf_raw")
 def ingest_replace_q(spark, sf):
-    return _two_sources(spark, sf, "replace")
+    """A quarter that takes the place of all that was landed, by one commit."""
+    target = scratch_path(spark, "versions")
+    for vintage, mode in ((VINTAGE, "append"), (NEXT_VINTAGE, "replace")):
+        landing, ckpt = _text_tape(spark, sf, "performance"), scratch_path(spark, "ingest-ckpt")
+        ingest_versions(spark, landing, target, ckpt, FNMA, mode, vintage)
+        ingest_versions(spark, landing, target, ckpt, FNMA, mode, vintage)  # finds nothing new
+    return read_versions(spark, target)
+
+
+# The first quarter of 2001 restated: other balances for the months the loans already have.
+_RESTATED = "ACT_DTE BETWEEN DATE '2001-01-01' AND DATE '2001-03-31'"
+
+
+@register("ingest_restated", f"SELECT {_STAGED_SQL} FROM (SELECT * REPLACE (CASE WHEN {_RESTATED} THEN LAST_UPB + 100 "
+                             "ELSE LAST_UPB END AS LAST_UPB) FROM perf_raw)")
+def ingest_restated_q(spark, sf):
+    """A restated quarter replaces the rows of its own loans and months."""
+    target, again = scratch_path(spark, "versions"), scratch_path(spark, "restated-text")
+    ingest_versions(spark, _text_tape(spark, sf, "performance"), target, scratch_path(spark, "ingest-ckpt"), FNMA)
+    restated = fnma_performance(spark, sf).where(_RESTATED).withColumn("LAST_UPB", F.col("LAST_UPB") + 100)
+    write_tape(restated, again, FNMA.performance)
+    ingest_versions(spark, again, target, scratch_path(spark, "ingest-ckpt"), FNMA, "upsert")
+    return read_versions(spark, target)
 
 
 @register("stage_to_vintage", f"SELECT {_STAGED_SQL}, '2000Q1' AS ACQ FROM perf_raw")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.clean import staged_performance
 from ..schema import Agency, agency as agency_of
-from ..session import remove_path, subfolders
+from ..session import subfolders
 from ..sinks.parquet import VINTAGE
 
 _SOURCE = "source="
@@ -53,18 +53,14 @@ def source_folder(target_dir: str, checkpoint_dir: str) -> str:
 
 def ingest_incremental(spark: SparkSession, source_dir: str, target_dir: str, checkpoint_dir: str,
                        agency: str | Agency = "FNMA", max_files_per_trigger: int | None = None,
-                       vintage: str | None = None, mode: str = "append",
-                       max_bytes_per_trigger: str | None = None) -> str:
+                       vintage: str | None = None, max_bytes_per_trigger: str | None = None) -> str:
     """Process every file present now, in batches, then stop.
 
     Re-running with the same checkpoint picks up only files that arrived
-    since.  ``mode`` "append" adds to what other sources landed; "replace"
-    removes their rows once this source's are committed.  With ``vintage``
-    the rows also carry ``ACQ`` and land in that layout (S5 + S6 in one
-    stream).
+    since.  Rows are added to what other sources landed (``restate`` has the
+    ingest that replaces).  With ``vintage`` the rows also carry ``ACQ`` and
+    land in that layout (S5 + S6 in one stream).
     """
-    if mode not in ("append", "replace"):
-        raise ValueError(f"mode is append or replace, not {mode!r}")
     stream = landing_stream(spark, source_dir, agency, max_files_per_trigger, max_bytes_per_trigger)
     if vintage is not None:
         stream = stream.withColumn(VINTAGE, F.lit(vintage))
@@ -82,10 +78,6 @@ def ingest_incremental(spark: SparkSession, source_dir: str, target_dir: str, ch
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    if mode == "replace":
-        for name in subfolders(spark, target_dir):
-            if name.startswith(_SOURCE) and not own.endswith("/" + name):
-                remove_path(spark, f"{target_dir.rstrip('/')}/{name}")
     return target_dir
 
 

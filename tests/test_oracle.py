@@ -39,12 +39,16 @@ def duck():
     return con
 
 
+# An iterative fit: tests/test_hazard.py holds it against NumPy.
+NO_SQL = {"hazard_fit", "hazard_calibration"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - set(ORACLE) == NO_SQL
     assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - NO_SQL))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF0001)
     rows = [tuple(r) for r in df.collect()]
