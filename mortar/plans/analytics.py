@@ -16,14 +16,18 @@ from ..operators.hazard import (
     EXITS, calibration, coefficients, fit_hazard, held_out, life_table, person_periods, with_features, with_hazard,
 )
 from ..operators.market import filled_prices, mark_to_market, rate_incentive
+from ..operators.profile import merge_profiles, profile_report, tape_profile
 from ..operators.schedule import one_row_per_loan
 from ..operators.series import rejected_series
 from ..schema import FNMA
+from ..session import scratch_path
+from ..sinks.parquet import save_parquet
 from ..sources import market
 from ..sources.fixtures import fnma_acquisition, fnma_performance, render
+from ..sources.text import write_tape
+from ..streaming.lookback import ingest_lookback
 from .loan_level import LoanLevel, build
-from ..session import scratch_path
-from .queries import MONTH_COUNT, SPLIT_THRESHOLD, _long_sql, register
+from .queries import MONTH_COUNT, SPLIT_THRESHOLD, _long_sql, present, register
 from .sql import create_functions
 
 
@@ -363,3 +367,32 @@ def sql_scalars_q(spark, sf):
     _level(spark, sf).loans.createOrReplaceTempView(view)
     return spark.sql(f"SELECT LOAN_ID, channel_bucket(ORIG_CHN) AS CHN_BUCKET, "
                      f"round(level_payment(ORIG_AMT, ORIG_RT, ORIG_TRM), 3) AS PMT, term_bucket(ORIG_TRM) AS TERM_BUCKET FROM {view}")
+
+
+# --- look-back on the stream ----------------------------------------------------------------
+
+@register("stream_lookback", """
+SELECT LOAN_ID, ACT_DTE, LOAN_AGE, DLQ_LAG, coalesce(array_to_string(DLQ_LAGs12, ','), '') AS DLQ_LAGs12,
+       MOD_FLAG = 'Y' AND count(*) FILTER (MOD_FLAG = 'Y') OVER w = 1 AS FIRST_MOD,
+       coalesce(DLQ_STATUS > 2, false) AND count(*) FILTER (DLQ_STATUS > 2) OVER w = 1 AS FIRST_90D, false AS LATE
+FROM panel WINDOW w AS (PARTITION BY LOAN_ID ORDER BY ACT_DTE, LOAN_AGE)""")
+def stream_lookback_q(spark, sf):
+    """Three landings of the tape, each a run of its own from the checkpoint; features come from state."""
+    landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "lookback", "lookback-ckpt"))
+    perf = fnma_performance(spark, sf)
+    for part, rule in enumerate(("LOAN_AGE < 15", "LOAN_AGE BETWEEN 15 AND 39", "LOAN_AGE > 39")):
+        write_tape(perf.where(rule), f"{landing}/part{part}", FNMA.performance)
+        ingest_lookback(spark, landing + "/*", target, ckpt, FNMA)
+    return present(spark.read.parquet(target).select(
+        "LOAN_ID", "ACT_DTE", "LOAN_AGE", "DLQ_LAG", "DLQ_LAGs12", "FIRST_MOD", "FIRST_90D", "LATE"))
+
+
+# --- tape profile ------------------------------------------------------------------------------
+
+@register("tape_profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS COLUMN, count(*) AS N_ROWS, count(*) - count({c}) AS N_NULLS FROM acq_raw" for c in FNMA.acquisition.names))
+def tape_profile_q(spark, sf):
+    """Exact counts of the loan tape's columns, merged from the profiles kept by vintage."""
+    path = save_parquet(tape_profile(fnma_acquisition(spark, sf)), scratch_path(spark, "profile"))
+    report = profile_report(merge_profiles(spark.read.parquet(path)))
+    return report.select("COLUMN", "N_ROWS", "N_NULLS")

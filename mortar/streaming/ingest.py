@@ -17,6 +17,7 @@ batch over the landed table.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -30,8 +31,9 @@ _SOURCE = "source="
 
 
 def landing_stream(spark: SparkSession, source_dir: str, agency: str | Agency = "FNMA",
-                   max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None) -> DataFrame:
-    """The landed files as a stream; the limits cut it into batches (default: one batch)."""
+                   max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None,
+                   clean: Callable[[DataFrame, Agency], DataFrame] = staged_performance) -> DataFrame:
+    """The landed files as a stream, cleaned; the limits cut it into batches (default: one batch)."""
     ag = agency if isinstance(agency, Agency) else agency_of(agency)
     reader = (
         spark.readStream.schema(ag.performance.read_struct())
@@ -43,7 +45,7 @@ def landing_stream(spark: SparkSession, source_dir: str, agency: str | Agency =
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return staged_performance(reader.csv(source_dir), ag)
+    return clean(reader.csv(source_dir), ag)
 
 
 def source_folder(target_dir: str, checkpoint_dir: str) -> str:
