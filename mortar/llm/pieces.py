@@ -26,6 +26,7 @@ import hashlib
 import re
 import sys
 from collections.abc import Iterator
+from operator import add
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -35,9 +36,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLANK = "▁"
-# Segments and token pairs kept per generation of a worker's caches, and the
-# longest segment kept: together about 200 MB.
-CACHE_SEGMENTS = 100_000
+# Segments, their parts and token pairs kept per generation of a worker's
+# caches, and the longest segment kept: together about 200 MB.
+CACHE_SEGMENTS = 200_000
+CACHE_PARTS = 20_000
 CACHE_PAIRS = 150_000
 CACHE_CHARS = 48
 
@@ -69,15 +71,21 @@ class MergeTokenizer:
         self.ids = {p: i for i, (p, _, k) in enumerate(pieces) if k == "text"}
         self.score = {p: s for p, s, k in pieces if k == "text"}
         self.byte_ids = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == "byte"}
+        self.byte_values = {i: b for b, i in self.byte_ids.items()}
         self.unknown = next(i for i, (_, _, k) in enumerate(pieces) if k == "other")
         self.chars = {p for p in self.ids if len(p) == 1}
         self.matches = ahocorasick.Automaton()
         for p in self.ids:
-            self.matches.add_word(p, len(p))
+            self.matches.add_word(p, self.ids[p])
         self.matches.make_automaton()
+        self.lengths = [len(p) for p in self.pieces]
+        # the next option at a place: the longest piece that begins a piece, or -1
+        self.shorter = [next((self.ids[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in self.ids), -1)
+                        for p in self.pieces]
+        self.said = [p.replace(BLANK, " ") if k == "text" else "" for p, _, k in pieces]
         self.side_by_side = {a + b for p in self.ids for a, b in zip(p, p[1:])}
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.older_fits: dict[tuple[str, str], bool] = {}
+        self.fits: dict[int, bool] = {}
+        self.older_fits: dict[int, bool] = {}
         self.split = re.compile(" +[^ ]*")
 
     def merge(self, text: str) -> list[str]:
@@ -98,71 +106,72 @@ class MergeTokenizer:
                 gains[at - 1] = score(parts[at - 1] + parts[at], worst)
         return parts
 
-    def compatible(self, left: str, right: str) -> bool:
-        key = (left, right)
+    def compatible(self, left: int, right: int) -> bool:
+        """Whether two tokens stay as they are when their characters are merged again (right -1: one token)."""
+        key = left << 32 | right & 0xFFFFFFFF
         known = self.fits.get(key)
         if known is None:
             known = self.older_fits.get(key)
             if known is None:
-                known = self.merge(left + right) == ([left, right] if right else [left])
+                pair = [self.pieces[left]] if right < 0 else [self.pieces[left], self.pieces[right]]
+                known = self.merge("".join(pair)) == pair
             if len(self.fits) >= CACHE_PAIRS:
                 self.older_fits, self.fits = self.fits, {}
             self.fits[key] = known
         return known
 
-    def tokens(self, text: str) -> list[str]:
-        """Encoding of a text whose characters are all in the vocabulary."""
-        if len(text) == 1:
-            return [text]
-        starts: list[list[int]] = [[] for _ in text]
-        for end, length in self.matches.iter(text):  # by end, so shorter matches come first
-            starts[end + 1 - length].append(length)
-        size = len(text)
+    def path(self, text: str) -> list[int]:
+        """Ids of a text whose characters are all in the vocabulary."""
+        size, lengths, shorter = len(text), self.lengths, self.shorter
+        longest = [0] * size
+        for end, i in self.matches.iter(text):  # by end, so the longest match from a place comes last
+            longest[end + 1 - lengths[i]] = i
         fits, compatible = self.fits.get, self.compatible
         failed = bytearray(size // 8 + 1)
-        out: list[str] = []
-        at = 0
-        options: list[int] = [len(starts[0]) - 1]  # next option to try at each place of the path
-        while at < size:
-            lengths, option = starts[at], options[-1]
-            last = out[-1] if out else None
-            while option >= 0:
-                end = at + lengths[option]
-                if not failed[end >> 3] >> (end & 7) & 1:
-                    token = text[at:end]
-                    if last is None:
-                        # a first token must be what its own characters merge to
-                        if lengths[option] == 1 or fits((token, "")) or compatible(token, ""):
+        stuck = False  # whether any place has failed
+        out: list[int] = []
+        at, last, token = 0, -1, longest[0]
+        while True:
+            while token >= 0:
+                end = at + lengths[token]
+                if not (stuck and failed[end >> 3] >> (end & 7) & 1):
+                    if at:
+                        if fits(last << 32 | token) or compatible(last, token):
                             break
-                    elif fits((last, token)) or compatible(last, token):
+                    # a first token must be what its own characters merge to
+                    elif end == 1 or compatible(token, -1):
                         break
-                option -= 1
-            if option >= 0:
-                options[-1] = option - 1
+                token = shorter[token]
+            if token >= 0:
                 out.append(token)
-                at = end
-                options.append(len(starts[at]) - 1 if at < size else -1)
+                if end == size:
+                    return out
+                at, last = end, token
+                token = longest[at]
             else:
                 failed[at >> 3] |= 1 << (at & 7)
-                options.pop()
-                at -= len(out.pop())
-        return out
+                stuck = True
+                left = out.pop()
+                at -= lengths[left]
+                last = out[-1] if out else -1
+                token = shorter[left]
+
+    def tokens(self, text: str) -> list[str]:
+        return [self.pieces[i] for i in self.path(text)]
 
     def segment(self, text: str) -> list[int]:
         """Ids of one segment without a place where it can be cut, or of one outside character."""
         if text[0] in self.chars:
-            return [self.ids[t] for t in self.tokens(text)]
+            return self.path(text)
         return [self.byte_ids.get(b, self.unknown) for b in text.encode("utf-8", "surrogatepass")]
 
     def cuts(self, text: str) -> list[str]:
         """The text cut between characters that no piece holds side by side."""
-        side, out, begin = self.side_by_side, [], 0
-        for i in range(1, len(text)):
-            if text[i - 1:i + 1] not in side:
-                out.append(text[begin:i])
-                begin = i
-        out.append(text[begin:])
-        return out
+        side = self.side_by_side
+        places = [i for i, pair in enumerate(map(add, text, text[1:]), 1) if pair not in side]
+        if not places:
+            return [text]
+        return [text[a:b] for a, b in zip([0, *places], [*places, len(text)])]
 
     def segments(self, text: str) -> list[str]:
         """The text cut before every run of blanks; each less its first blank."""
@@ -180,13 +189,15 @@ class MergeTokenizer:
 
     def spell(self, ids: list[int]) -> str:
         """The ids' text, blanks marked as spaces, with the leading blank kept."""
+        said, values = self.said, self.byte_values
+        if values.keys().isdisjoint(ids):
+            return "".join([said[i] for i in ids])
         raw = bytearray()
         for i in ids:
-            kind = self.kinds[i]
-            if kind == "byte":
-                raw.append(int(self.pieces[i][3:5], 16))
-            elif kind == "text":
-                raw += self.pieces[i].replace(BLANK, " ").encode()
+            if i in values:
+                raw.append(values[i])
+            else:
+                raw += said[i].encode()
         return raw.decode("utf-8", "replace")
 
     def decode(self, ids: list[int]) -> str:
@@ -201,39 +212,72 @@ class Generations(dict):
         super().__init__()
         self.make, self.size, self.old = make, size, {}
 
-    def __missing__(self, segment: str):
-        entry = self.old.get(segment)
-        if entry is None:
-            entry = self.make(segment)
+    def known(self, segment: str):
+        entry = self.get(segment)
+        return self.old.get(segment) if entry is None else entry
+
+    def keep(self, segment: str, entry) -> None:
         if len(segment) <= CACHE_CHARS:
             if len(self) >= self.size:
                 self.old = dict(self)
                 self.clear()
             self[segment] = entry
+
+    def __missing__(self, segment: str):
+        entry = self.old.get(segment)
+        if entry is None:
+            entry = self.make(segment)
+        self.keep(segment, entry)
         return entry
 
 
 class CachedTokenizer:
-    """text -> ("1,2,3", decoded text), with short segments and their parts kept."""
+    """text -> ("1,2,3", decoded text), with short segments and their parts kept.
+
+    An entry is the ids as text, or with the decoded text where that is not
+    simply the segment's own.
+    """
 
     def __init__(self, tokenizer: MergeTokenizer):
         self.tokenizer = tokenizer
-        self.parts = Generations(self._part, CACHE_SEGMENTS)
+        self.parts = Generations(self._part, CACHE_PARTS)
         self.whole = Generations(self._whole, CACHE_SEGMENTS)
 
     def _part(self, part: str) -> tuple[str, str]:
         ids = self.tokenizer.segment(part)
         return ",".join(map(str, ids)), self.tokenizer.spell(ids)
 
-    def _whole(self, segment: str) -> tuple[str, str]:
-        entries = [self.parts[p] for p in self.tokenizer.cuts(BLANK + segment.replace(" ", BLANK))]
-        return ",".join([e[0] for e in entries]), "".join([e[1] for e in entries])
+    def _first(self, part: str) -> tuple[str, str]:
+        """The word before its punctuation, which is a segment of its own elsewhere."""
+        word = part[1:]
+        entry = self.whole.known(word)
+        if entry is None:
+            ids, said = self._part(part)
+            entry = ids if said == " " + word else (ids, said)
+            self.whole.keep(word, entry)
+        return (entry, " " + word) if isinstance(entry, str) else entry
+
+    def _whole(self, segment: str) -> str | tuple[str, str]:
+        first, *rest = self.tokenizer.cuts(BLANK + segment.replace(" ", BLANK))
+        if not rest:
+            ids, said = self._part(first)
+        else:
+            ids, said = self._part(first) if BLANK in first[1:] else self._first(first)
+            entries = [self.parts[p] for p in rest]
+            ids = ",".join([ids, *[e[0] for e in entries]])
+            said = "".join([said, *[e[1] for e in entries]])
+        return ids if said == " " + segment else (ids, said)
 
     def both(self, text: str | None) -> tuple[str, str]:
         whole = self.whole
-        entries = [whole[s] for s in self.tokenizer.segments(text or "")]
-        decoded = "".join([e[1] for e in entries])
-        return ",".join([e[0] for e in entries]), decoded[1:] if decoded[:1] == " " else decoded
+        segments = self.tokenizer.segments(text or "")
+        entries = [whole[s] for s in segments]
+        try:
+            return ",".join(entries), " ".join(segments)
+        except TypeError:  # some segment does not decode to itself
+            pairs = [(e, " " + s) if isinstance(e, str) else e for e, s in zip(entries, segments)]
+        decoded = "".join([p[1] for p in pairs])
+        return ",".join([p[0] for p in pairs]), decoded[1:] if decoded[:1] == " " else decoded
 
 
 def _tokenizer(shared: dict) -> CachedTokenizer:
