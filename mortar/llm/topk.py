@@ -11,8 +11,14 @@ no answer can fall below.
 Queries go out in blocks of at most ``BLOCK`` (a bounded broadcast), each
 block against all rows.
 
+Sums of products are exact in floating point while they stay below 2^53; where
+they may not, bounds get a slack above their rounding error and the scores of
+what is left are computed in whole numbers of any size.
+
 Defined cases: vectors that are null, empty, or hold a null or non-finite
-component take no part; vectors of a length other than the query's are not
+component (or one that is no longer finite times the scale) take no part; a
+score beyond the range of a long is given as the nearest long, its rank is
+that of the true score; vectors of a length other than the query's are not
 its candidates; a repeated vec_id is a candidate each time, never its own
 query's, and queries with its smallest vector; equal scores go to the
 smaller vec_id; fewer than k candidates give fewer rows.
@@ -41,14 +47,22 @@ BLOCK = 4096
 LEAF = 256
 SEED = 2048
 SHARD = 16384
+EXACT = float(2 ** 53)
+LONG = 2 ** 63
 
 
 def integer_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """(vec_id, v): floor(scale * x) of the vectors that take part."""
     x = F.col("embedding")
+
+    def scaled(c):
+        return c.cast("double") * F.lit(float(scale))
+
+    def whole(y):  # from 2^53 on every double is a whole number (and may exceed a long)
+        return F.when(F.abs(y) >= EXACT, y).otherwise(F.floor(y).cast("double"))
     fine = x.isNotNull() & (F.size(x) > 0) & F.forall(
-        x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    made = F.transform(x, lambda c: F.floor(c.cast("double") * F.lit(float(scale))).cast("double"))
+        x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(scaled(c)) < float("inf")))
+    made = F.transform(x, lambda c: whole(scaled(c)))
     return vectors.where(F.col("vec_id").isNotNull() & F.coalesce(fine, F.lit(False))).select("vec_id", made.alias("v"))
 
 
@@ -78,6 +92,12 @@ class KdTree:
                 todo += [(begin, begin + middle, at, 0), (begin + middle, end, at, 1)]
         self.ids, self.points = ids[order], points[order]
         self.low, self.high = np.array(low), np.array(high)
+        self.far = np.maximum(np.abs(self.low[0]), np.abs(self.high[0]))
+
+    def slack(self, query: np.ndarray) -> float:
+        """Above the rounding error of any product with ``query``; 0 where there is none."""
+        most = float(np.abs(query) @ self.far)
+        return 0.0 if most < EXACT else most * len(query) * 2.0 ** -50
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """Largest possible inner product of every query with every node's box."""
@@ -86,12 +106,12 @@ class KdTree:
 
     def search(self, query: np.ndarray, own: int, bound: np.ndarray, best: list, k: int, least: float) -> None:
         """Improve ``best``, a heap of the k best (score, -vec_id) so far; scores below ``least`` are out."""
-        queue = [(-bound[0], 0)]
+        queue, slack = [(-bound[0], 0)], self.slack(query)
         while queue:
             most, at = heapq.heappop(queue)
             # an equal bound may still hold an equal score with a smaller id
             kth = max(least, best[0][0]) if len(best) >= k else least
-            if -most < kth:
+            if -most + slack < kth:
                 return
             begin, end, left, right = self.nodes[at]
             if left >= 0:
@@ -99,20 +119,32 @@ class KdTree:
                 heapq.heappush(queue, (-bound[right], right))
                 continue
             scores = self.points[begin:end] @ query
-            near = np.flatnonzero(scores >= kth)
+            near = np.flatnonzero(scores >= kth - slack)
             ids = self.ids[begin:end]
             if len(near) > 4 * k:  # the leaf's own best come first
                 near = near[np.lexsort((ids[near], -scores[near]))]
             for i in near:
-                item = (scores[i], -int(ids[i]))
                 if ids[i] == own:
                     continue
+                item = (true_product(self.points[begin + i], query) if slack else int(scores[i]), -int(ids[i]))
                 if len(best) < k:
                     heapq.heappush(best, item)
                 elif item > best[0]:
                     heapq.heapreplace(best, item)
 
 
+def true_product(a: np.ndarray, b: np.ndarray) -> int:
+    return sum(int(x) * int(y) for x, y in zip(a.tolist(), b.tolist()))
+
+
+def sort_key(score: int) -> str:
+    """Text that sorts as the whole number does, however large."""
+    digits = str(abs(score))
+    if score >= 0:
+        return f"1{len(digits):03d}{digits}"
+    return f"0{999 - len(digits):03d}" + "".join(str(9 - int(c)) for c in digits)
+
+
 def _arrays(batch: pa.RecordBatch) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Points of a batch by dimension: {d: (ids, matrix)}."""
     ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
@@ -135,7 +167,10 @@ def _least(seed: list, ids: np.ndarray, vectors: list, k: int) -> np.ndarray:
     for d, rows in by_size.items():
         asked = np.array([q for q, v in enumerate(vectors) if len(v) == d])
         if len(asked):
-            scores = np.array([vectors[q] for q in asked]) @ np.array([r.v for r in rows]).T
+            asking, seeds = np.array([vectors[q] for q in asked]), np.array([r.v for r in rows])
+            scores = asking @ seeds.T
+            most = np.abs(asking) @ np.abs(seeds).max(0)
+            scores -= np.where(most < EXACT, 0.0, most * d * 2.0 ** -50)[:, None]  # never above the true ones
             scores[ids[asked][:, None] == np.array([r.vec_id for r in rows])[None, :]] = -np.inf
             if len(rows) >= k:
                 out[asked] = np.partition(scores, -k, axis=1)[:, -k]
@@ -161,7 +196,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = TOP, block: int = BLOCK
     queries = cut(queries.groupBy("vec_id").agg(F.min("v").alias("v")))
     seed = rows.limit(SEED).collect()
     found = None
-    schema = "query_id long, vec_id long, score double"
+    schema = "query_id long, vec_id long, score long, sort string"
     for ids, vectors in _blocks(queries, block):
         shared = sc.broadcast((ids, vectors, _least(seed, ids, vectors, k)))
 
@@ -188,21 +223,20 @@ def search(rows: DataFrame, queries: DataFrame, k: int = TOP, block: int = BLOCK
                         visit(d)
             for d in list(waiting):
                 visit(d)
-            flat = [(int(own[q]), -i, s) for q, items in enumerate(best) for s, i in items]
+            flat = [(int(own[q]), -i, max(-LONG, min(LONG - 1, s)), sort_key(s)) for q, items in enumerate(best) for s, i in items]
             if flat:
-                a, b, c = zip(*flat)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.float64())],
-                    names=["query_id", "vec_id", "score"])
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*flat), kinds)],
+                                                 names=["query_id", "vec_id", "score", "sort"])
 
         part = rows.mapInArrow(run, schema)
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = spark.createDataFrame([], schema)
     # k rows a query and task are left: a small merge
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    w = Window.partitionBy("query_id").orderBy(F.desc("sort"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
+        "query_id", "rank", "vec_id", "score")
 
 
 def top_digest(vectors: DataFrame, k: int = TOP, step: int = STEP) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 
-from mortar.llm.topk import KdTree, integer_vectors, search, top_digest
+from mortar.llm.topk import KdTree, integer_vectors, search, sort_key, top_digest
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -46,6 +46,20 @@ def test_blocks_and_shards_against_brute_force(spark):
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in out.collect()) == brute(rows)
 
 
+def test_large_components_rank_by_the_true_score(spark):
+    big = [(i, [1e12 + i, 1.0, -2.0 ** 60]) for i in range(0, 60, 5)] + [(i, [2.0 ** 40, float(i), 2.0 ** 60]) for i in range(61, 90)]
+    big += [(100, [3e38, -3e38, 1.0]), (150, [-3e38, 3e38, 2.0]), (200, [float(2 ** 24 + 1)] * 3), (201, [float(2 ** 24 + 1)] * 3)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in big], "vec_id long, embedding array<double>, label int").repartition(3)
+    want = []
+    ints = {i: [math.floor(256 * x) for x in v] for i, v in big}
+    for q in (i for i in ints if i % 50 == 0):
+        scored = sorted((-sum(x * y for x, y in zip(ints[q], v)), i) for i, v in ints.items() if i != q)
+        want += [(q, r + 1, i, max(-2 ** 63, min(2 ** 63 - 1, -s))) for r, (s, i) in enumerate(scored[:5])]
+    assert sorted(tuple(r) for r in top_digest(df).collect()) == sorted(want)
+    numbers = [0, -1, 1, 9, 10, -9, -10, 10 ** 40, -10 ** 40, 10 ** 40 + 1]
+    assert sorted(numbers, key=sort_key) == sorted(numbers)
+
+
 def test_boxes_are_tight_and_bounds_hold():
     made = np.random.default_rng(6)
     points = made.integers(-50, 50, (2000, 6)).astype(float)
