@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import cut
+from .text import cut, fingerprint
 
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
@@ -16,7 +16,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, out: tuple[int
     """(text, label) of at most ``limit`` labelled documents that are not held out, written once.
 
     The sample is the documents with the smallest id hashes, so it does not
-    depend on row order; a document labelled twice counts with its larger label.
+    depend on row order; a document labelled twice counts with its larger label,
+    one whose id the table repeats with the text of the least digest, so
+    ``limit`` bounds the rows however often an id occurs.
     """
     chosen = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), *out))
@@ -24,4 +26,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, out: tuple[int
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     )
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return cut(texts.join(F.broadcast(chosen), "doc_id").select("text", "label"))
+    rows = texts.join(F.broadcast(chosen), "doc_id")
+    one = rows.groupBy("doc_id", "label").agg(F.min(F.struct(fingerprint(F.col("text")), "text")).alias("least"))
+    return cut(one.select(F.col("least.text").alias("text"), "label"))

@@ -98,3 +98,13 @@ def test_sum_of_squares_identity():
         x, i = value[a:b], index[a:b]
         pairs = sum((model.v[i[p]] @ model.v[i[q]]) * x[p] * x[q] for p in range(len(i)) for q in range(p))
         assert np.isclose(z[row], model.w[i] @ x + pairs)
+
+
+def test_the_sample_bound_holds_for_repeated_ids(spark, docs_of):
+    from mortar.llm.labelled import training_rows
+    docs = docs_of([f"text {i % 7}" for i in range(3000)], [i % 3 for i in range(3000)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(3)], "doc_id long, quality int, toxic int")
+    rows = training_rows(docs, labels, "quality", (5, 9), 2).collect()
+    assert len(rows) == 2
+    assert sorted(rows) == sorted(
+        training_rows(docs.repartition(5), labels, "quality", (5, 9), 2).collect())
