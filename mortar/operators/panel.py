@@ -26,12 +26,12 @@ LOAN_KEY = "LOAN_ID"
 LOOK_BACK = 12
 LOOK_AHEAD_SHORT = 12
 LOOK_AHEAD_LONG = 24
-# --- end of fixed values ------------------------------------------------------
-
+# --- fixed values: names of the window columns ---------------------------------
 WINDOW_COLUMNS = (
     "DLQ_LAG", "DLQ_LAGs12", "DLQ_NEXT12MAX", "DLQ_NEXT24MAX",
     "ZBCODE_NEXT12", "ZBCODE_NEXT24", "MOD_NEXT12", "MOD_NEXT24",
 )
+# --- end of fixed values ------------------------------------------------------
 
 
 def order_of(df: DataFrame) -> tuple[str, ...]:

@@ -133,16 +133,24 @@ def with_level_payment(loans: DataFrame) -> DataFrame:
     )
 
 
-def _term_range(loans: DataFrame, *term: str) -> DataFrame:
-    """(LOAN_ID, _t, _u): least and greatest set of terms of each loan, by partial aggregation."""
-    return loans.where(F.col("LOAN_ID").isNotNull()).groupBy("LOAN_ID").agg(
-        F.min(F.struct(*term)).alias("_t"), F.max(F.struct(*term)).alias("_u"))
+def _one_set(loans: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """LOAN_ID, ``_same`` (whether the loan's rows agree) and the least of each column.
+
+    Columns are compared one by one: minima and maxima of numbers are summed
+    up in a hash table, where a struct of them would be sorted.
+    """
+    sums, same = [], F.lit(True)
+    for c in columns:
+        sums += [F.min(c).alias(f"_a_{c}"), F.max(c).alias(f"_b_{c}"), F.count(c).alias(f"_n_{c}")]
+        n = F.col(f"_n_{c}")
+        same = same & ((n == 0) | ((n == F.col("_rows")) & (F.col(f"_a_{c}") == F.col(f"_b_{c}"))))
+    one = loans.where(F.col("LOAN_ID").isNotNull()).groupBy("LOAN_ID").agg(F.count(F.lit(1)).alias("_rows"), *sums)
+    return one.select("LOAN_ID", same.alias("_same"), *[F.col(f"_a_{c}").alias(c) for c in columns])
 
 
 def one_row_per_loan(loans: DataFrame, *columns: str) -> DataFrame:
     """LOAN_ID and ``columns``; a loan repeated with other values is left out (``rejected_loans`` lists terms)."""
-    one = _term_range(loans, *columns)
-    return one.where(F.col("_t").eqNullSafe(F.col("_u"))).select("LOAN_ID", "_t.*")
+    return _one_set(loans, columns).where("_same").drop("_same")
 
 
 def scheduled_balance_at_age(panel: DataFrame, loans: DataFrame, month_count_: int | None = 12) -> DataFrame:
@@ -206,6 +214,8 @@ PAYMENT_MONEY = ("BEG_BAL", "PAYMENT", "PRINCIPAL", "INTEREST", "END_BAL")
 
 # Output rows per NumPy block.
 _BLOCK_ROWS = 250_000
+# Tasks of the payment table a slot: short enough to even out, few enough to start fast.
+TASKS_PER_SLOT = 4
 # Longest usable term in months; longer ones are rejected as corrupt.
 MAX_TERM = 1200
 
@@ -301,14 +311,13 @@ def rejected_loans(loans: DataFrame) -> DataFrame:
     take every usable row by itself.
     """
     rows = loans.select(*LOAN_TERMS, unusable_terms().alias("REASON"))
-    several = _term_range(loans, *LOAN_TERMS[1:]).where(~F.col("_t").eqNullSafe(F.col("_u"))).select("LOAN_ID")
+    several = _one_set(loans, LOAN_TERMS[1:]).where(~F.col("_same")).select("LOAN_ID")
     both = rows.where(F.col("REASON").isNull()).drop("REASON").join(several, "LOAN_ID", "left_semi")
     return rows.where(F.col("REASON").isNotNull()).unionByName(
         both.select(*LOAN_TERMS, F.lit("several sets of terms").alias("REASON")))
 
 
-def payment_table(loans: DataFrame, rows_per_task: int | None = 2_000_000,
-                  round_payment: bool = False) -> DataFrame:
+def payment_table(loans: DataFrame, rows_per_task: int | None = None, round_payment: bool = False) -> DataFrame:
     """One row per scheduled payment of every loan with usable terms.
 
     The level payment is not rounded; ``round_payment=True`` rounds it to
@@ -322,10 +331,12 @@ def payment_table(loans: DataFrame, rows_per_task: int | None = 2_000_000,
     Spark partitions the loans; no loan crosses the driver.
 
     A loan yields one row per month of its term, so input splits sized by
-    bytes would give tasks hundreds of times their input.  With
-    ``rows_per_task`` set, the (small) loan-terms frame is first spread
-    round-robin over enough partitions that each produces about that many
-    rows; the only value read on the driver is the total of the terms.
+    bytes would give tasks hundreds of times their input.  The (small)
+    loan-terms frame is therefore first spread round-robin over
+    ``TASKS_PER_SLOT`` tasks a slot; a task holds one block of rows at a
+    time, however many it yields.  ``rows_per_task`` sizes the tasks by their
+    output instead, at the price of one more pass over the terms; the only
+    value read on the driver is then the total of the terms.
     """
     terms = loans.where(unusable_terms().isNull()).select(
         F.col("LOAN_ID").cast("string").alias("LOAN_ID"),
@@ -333,9 +344,9 @@ def payment_table(loans: DataFrame, rows_per_task: int | None = 2_000_000,
         F.col("ORIG_RT").cast("double").alias("ORIG_RT"),
         F.col("ORIG_TRM").cast("long").alias("ORIG_TRM"),
     )
+    slots, waves = parallelism(terms.sparkSession), TASKS_PER_SLOT
     if rows_per_task:
         total = terms.agg(F.sum("ORIG_TRM")).first()[0] or 0
-        slots = parallelism(terms.sparkSession)
         waves = max(1, -(-int(total) // (rows_per_task * slots)))
-        terms = terms.repartition(waves * slots)  # whole waves: no idle tail
+    terms = terms.repartition(waves * slots)  # whole waves: no idle tail
     return terms.mapInArrow(partial(_payment_batches, round_payment=round_payment), PAYMENT_SCHEMA)
