@@ -15,10 +15,13 @@ A pair is first tested on bitmaps of the two sets, which bound their overlap
 from above, and, unless that rules it out, compared exactly on the whole sets.
 
 Only components are asked for, so a key's documents are not expanded into
-all pairs.  A short list is compared pair by pair; a long one first with one
-document of the list (HUBS ways to choose it, by the key), in a few rounds
-where many pairs would be left; then only documents of the list that are still
-in different components are compared, all of them.
+all pairs.  A short list is compared pair by pair.  The documents of long lists
+are first tested alone: a token that no other document of any long list holds
+cannot be shared, and so many of them leave room only for partners up to a
+certain size, or for none (``reach``).  What can still link is compared with
+one document of the list, the one with the least of such tokens first, in a few
+rounds where many pairs would be left; then those documents of a list that are
+in different components and within each other's reach are compared, all of them.
 
 Skew: equal sets are one class whatever their number; keys of tokens with
 very high corpus counts are dealt over several sub-lists for the first
@@ -63,8 +66,8 @@ LOW = 0.05
 COUNT_WINDOW = 2_000_000
 LOCAL = 3
 # Lists of a key: compared pair by pair up to SHORT; sub-lists hold about LIST;
-# a longer list is compared with one of its members, chosen in HUBS ways, and
-# again, up to ROUNDS times, while it would leave over PAIRS pairs a document.
+# a longer list is compared with one of its members, chosen in HUBS ways, up to
+# ROUNDS times, while it would leave over PAIRS pairs a document.
 SHORT = 8
 LIST = 10_000
 HUBS = 16
@@ -262,13 +265,14 @@ def prefix_keys(tokens: np.ndarray, counts: np.ndarray, salt: np.uint64,
 
 
 def _index_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, mark, n, sig, bits, keys, parts): mark of the text, set size, 128-bit digest and bitmap of the set, index keys, their sub-lists."""
+    """(row, doc_id, mark, tag, n, sig, bits, keys, parts): a number of the row, 128-bit and 64-bit
+    hash of the text, set size, 128-bit digest and bitmap of the set, index keys, their sub-lists."""
     table = docs.sparkSession.sparkContext.broadcast(_frequent_table(docs, words, percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, (often, often_n) = Shingler(words), table.value
         for batch in batches:
-            ids, marks = batch.column("doc_id"), batch.column("mark")
+            ids, marks, tags = batch.column("doc_id"), batch.column("mark"), batch.column("tag")
             for first, texts in _chunks(batch):
                 sets = shingler.sets(texts)
                 joined = np.concatenate(sets)
@@ -287,14 +291,17 @@ def _index_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     begin += len(s)
                 offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(first, len(texts)), marks.slice(first, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
+                    ids.slice(first, len(texts)), marks.slice(first, len(texts)), tags.slice(first, len(texts)),
+                    pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(sigs, pa.binary()), pa.array(bits, pa.binary()),
                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys).view(np.int64))),
                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts)))],
-                    names=["doc_id", "mark", "n", "sig", "bits", "keys", "parts"])
+                    names=["doc_id", "mark", "tag", "n", "sig", "bits", "keys", "parts"])
 
-    return docs.select("doc_id", "text", fingerprint(F.col("text")).alias("mark")).mapInArrow(
-        run, "doc_id long, mark string, n long, sig binary, bits binary, keys array<long>, parts array<int>")
+    return docs.select(
+        "doc_id", "text", fingerprint(F.col("text")).alias("mark"), F.xxhash64("text").alias("tag")).mapInArrow(
+        run, "doc_id long, mark string, tag long, n long, sig binary, bits binary, keys array<long>, parts array<int>"
+    ).withColumn("row", F.monotonically_increasing_id())
 
 
 def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -329,12 +336,8 @@ def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield pairs(node, n, np.concatenate(left), np.concatenate(right))
         later = np.flatnonzero((own <= SHORT) & (part > 0))  # to meet the key's other sub-lists
         yield emit(key[later], node[later], pa.nulls(len(later), pa.int64()), n[later])
-        for g in np.flatnonzero(size > SHORT):
-            at = np.arange(begin[g], begin[g] + size[g])
-            way = _mix(key[at].view(_U) % _U(HUBS) + _U(1))  # lists with the same members choose few hubs
-            hub = at[np.argmin(_mix(node[at].view(_U) ^ way))]
-            yield pairs(node, n, at, np.full(len(at), hub))
-            yield emit(key[at], node[at], pa.nulls(len(at), pa.int64()), n[at])
+        long = np.flatnonzero(own > SHORT)
+        yield emit(key[long], node[long], pa.nulls(len(long), pa.int64()), n[long])
 
     held = None
     for batch in batches:
@@ -365,26 +368,35 @@ def _possible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
         "a", "b", "na", "nb", "ba", "bb").mapInArrow(test, "a long, b long")
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The (u, v) of ``pairs`` (a, b: class nodes) whose whole sets are similar."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = classes.join(ends, "node").select("node", "rep", "sig")
+def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, set) of the given class nodes, from the texts of their first documents.
+
+    Texts are found by doc_id and hash, so many null or repeated doc_ids do not meet each other's classes.
+    """
+    wanted = classes.join(nodes, "node").select("node", "rep", "tag", "sig")
     texts = docs.select("doc_id", "text").join(
-        broadcast_if_small(wanted, 1_000_000), F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "sig", "text")
+        broadcast_if_small(wanted, 1_000_000),
+        F.col("doc_id").eqNullSafe(F.col("rep")) & (F.xxhash64("text") == F.col("tag"))).select("node", "sig", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
             for first, some in _chunks(batch):
                 made = [s.tobytes() for s in shingler.sets(some)]
-                # a repeated doc_id may bring other texts: only the class's own counts
+                # another text of the same hash is not the class's own
                 own = [hashlib.blake2b(m, digest_size=16).digest() == sig.as_py()
                        for m, sig in zip(made, batch.column("sig").slice(first, len(some)))]
                 rows = pa.RecordBatch.from_arrays(
                     [batch.column("node").slice(first, len(some)), pa.array(made, pa.binary())], names=["node", "set"])
                 yield rows.filter(pa.array(own))
 
-    made = texts.mapInArrow(sets, "node long, set binary")
+    return texts.mapInArrow(sets, "node long, set binary")
+
+
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The (u, v) of ``pairs`` (a, b: class nodes) whose whole sets are similar."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    made = _sets(docs, classes, ends, words)
     left = made.select(F.col("node").alias("a"), F.col("set").alias("sa"))
     right = made.select(F.col("node").alias("b"), F.col("set").alias("sb"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
@@ -402,17 +414,64 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
     return both.select("a", "b", "sa", "sb").mapInArrow(compare, "u long, v long").distinct()
 
 
-def _with_hubs(rest: DataFrame, step: int, percent: int) -> DataFrame:
-    """(a, b): the documents of each list with one of them, chosen by key and ``step``, if in another component."""
-    rows = rest.select(F.col("key").cast("string").alias("key"), "node", "n", "label",
-                       F.pmod("key", F.lit(HUBS)).alias("way"))
+def reach(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """(node, n, most): the largest size that a set similar to a node's can have, among the sets of ``nodes``.
+
+    With p tokens that none of the others holds, the overlap is n - p at the
+    most, and 100 * (n - p) >= percent * (n + m - (n - p)) bounds the other
+    set's size m.  Nodes that not even the smallest similar set could meet are
+    left out.
+    """
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("set")]
+            if sets:
+                node = np.repeat(batch.column("node").to_numpy(), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets)), pa.array(node)], names=["token", "node"])
+
+    own = _sets(docs, classes, nodes, words).mapInArrow(tokens, "token long, node long").groupBy("token").agg(
+        F.min("node").alias("node"), F.max("node").alias("last")).where(F.col("node") == F.col("last")).groupBy(
+        "node").agg(F.count(F.lit(1)).alias("own"))
+    own_n = F.coalesce("own", F.lit(0))
+    most = F.floor((F.col("n") - own_n) * 100 / percent).cast("long") - own_n
+    return classes.select("node", "n").join(nodes, "node").join(own, "node", "left").select(
+        "node", "n", most.alias("most")).where(F.col("most") * 100 >= F.col("n") * percent)
+
+
+def _still_apart(rows: DataFrame) -> DataFrame:
+    """The (key, node, n, most, label) of each list that another one of the list, of another component, may be similar to.
+
+    Two nodes may be similar if each one's size is in the other's reach.  Of
+    two nodes that do not reach their own size one would have to be smaller
+    than the other and larger, so one of a pair does ("strong").
+    """
+    strong = F.col("most") >= F.col("n")
+    lists = cut(rows.groupBy("key").agg(
+        F.min(F.when(strong, F.col("label"))).alias("low"), F.max(F.when(strong, F.col("label"))).alias("high"),
+        F.min(F.when(strong, F.col("n"))).alias("least"), F.max(F.when(~strong, F.col("most"))).alias("weak"),
+        F.count(F.lit(1)).alias("size"), F.min("label").alias("one"), F.max("label").alias("other"),
+    ).where((F.col("one") != F.col("other")) & F.col("least").isNotNull()).drop("one", "other"))
+    apart = F.col("low") != F.col("high")
+    found = lookup(rows, lists, "key", "size", [F.col("node")]).where(F.col("size").isNotNull()).where(
+        F.when(strong, apart | (F.coalesce("weak", F.lit(-1)) >= F.col("n"))).otherwise(
+            (F.col("most") >= F.col("least")) & (apart | (F.col("label") != F.col("low")))))
+    return found.select("key", "node", "n", "most", "label")
+
+
+def _with_hubs(rest: DataFrame, step: int) -> DataFrame:
+    """(a, b): the documents of each list with one of them, if in another component.
+
+    First the one with the least tokens of its own, then others by key and ``step``.
+    """
+    rows = rest.withColumn("way", F.pmod(F.xxhash64("key"), F.lit(HUBS)))
+    by_hash = F.xxhash64("node", "way", F.lit(step))
+    order = F.struct((F.col("most") < F.col("n")).alias("weak"), by_hash.alias("h")) if step else F.struct(
+        (-F.col("most") / F.col("n")).alias("weak"), by_hash.alias("h"))
     hubs = cut(rows.groupBy("key").agg(
-        F.min_by(F.struct("node", "n", "label"), F.xxhash64("node", "way", F.lit(step))).alias("hub"),
-        F.count(F.lit(1)).alias("size")))
-    least, most = F.least("n", "hub.n"), F.greatest("n", "hub.n")
+        F.min_by(F.struct("node", "n", "most", "label"), order).alias("hub"), F.count(F.lit(1)).alias("size")))
     return lookup(rows, hubs, "key", "size", [F.col("node")]).where(
-        (F.col("label") != F.col("hub.label")) & (least * 100 >= most * percent)).select(
-        F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+        (F.col("label") != F.col("hub.label")) & (F.col("n") <= F.col("hub.most")) & (F.col("hub.n") <= F.col("most"))
+    ).select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
 def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -425,17 +484,14 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     _index_rows(docs, words, percent).write.parquet(index_path)
     index = spark.read.parquet(index_path)
 
-    grouped = index.where(F.col("n") > 0).groupBy("sig").agg(
-        F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
-    classes = cut(grouped.withColumn("node", F.monotonically_increasing_id()))
-    first = classes.select("node", "sig", "rep")
-    one = index.select("sig", "doc_id", "n", "keys", "parts").join(
-        first.withColumnRenamed("sig", "_s"),
-        (F.col("sig") == F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("rep")))
-    bitmaps = index.select("sig", "doc_id", "n", "bits").join(
-        first.withColumnRenamed("sig", "_s"),
-        (F.col("sig") == F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("rep"))
-    ).select("node", "n", "bits").dropDuplicates(["node"])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "tag")).alias("first")
+    grouped = index.where(F.col("n") > 0).groupBy("sig").agg(first, F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
+    classes = cut(grouped.select(
+        F.monotonically_increasing_id().alias("node"), "sig", F.col("first.doc_id").alias("rep"),
+        F.col("first.row").alias("row"), F.col("first.tag").alias("tag"), "n", "copies"))
+    # the class's first row stands for all its copies
+    one = index.select("row", "n", "keys", "parts").join(classes.select("row", "node"), "row")
+    bitmaps = index.select("row", "n", "bits").join(classes.select("row", "node"), "row").select("node", "n", "bits")
     postings = one.select(F.explode(F.arrays_zip("keys", "parts")).alias("p"), "node", "n").select(
         F.col("p.keys").alias("key"), F.col("p.parts").alias("part"), "node", "n")
     (postings.repartition("key", "part").sortWithinPartitions("key", "part")
@@ -443,39 +499,39 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
      .write.parquet(list_path))
     lists = spark.read.parquet(list_path)
 
-    # comparisons of short lists, and of long lists with one of their own
+    # short lists
     tried = cut(lists.where(F.col("key").isNull()).select("a", "b").distinct())
     links = cut(_verified(docs, classes, cut(_possible(tried, bitmaps, percent)), words, percent))
     labels = components(links)
     # long lists: what is still in different components, whatever its sub-list
-    long_lists = lists.where(F.col("key").isNotNull()).select("key", F.col("a").alias("node"), "n")
+    posted = lists.where(F.col("key").isNotNull()).select(F.col("key").cast("string").alias("key"), F.col("a").alias("node"))
+    able = cut(reach(docs, classes, posted.select("node").distinct(), words, percent))
+    long_lists = posted.join(able, "node")
     for step in range(ROUNDS + 1):
-        placed = cut(long_lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
-        mixed = cut(placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("own")).groupBy("key").agg(
-            F.count(F.lit(1)).alias("parts"), F.sum("own").alias("size"),
-            F.sum(F.col("own").cast("double") * F.col("own")).alias("within")).where(F.col("parts") > 1))
-        size, pairs = mixed.agg(
+        rest = cut(_still_apart(long_lists.join(labels, "node", "left").withColumn(
+            "label", F.coalesce("label", "node"))))
+        size, pairs = rest.groupBy("key", "label").agg(F.count(F.lit(1)).alias("own")).groupBy("key").agg(
+            F.sum("own").alias("size"), F.sum(F.col("own").cast("double") * F.col("own")).alias("within")).agg(
             F.sum("size"), F.sum((F.col("size").cast("double") * F.col("size") - F.col("within")) / 2)).first()
-        rest = placed.join(mixed.select("key"), "key", "left_semi")
         if step == ROUNDS or not size or pairs <= PAIRS * size:
             break
-        met = cut(_possible(_with_hubs(rest, step, percent).join(tried, ["a", "b"], "left_anti"), bitmaps, percent))
+        met = cut(_possible(_with_hubs(rest, step).join(tried, ["a", "b"], "left_anti"), bitmaps, percent))
         more = cut(_verified(docs, classes, met, words, percent))
-        if more.isEmpty():
-            break
         tried, links = tried.union(met), links.union(more)
-        labels = components(links)
-    other = rest.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("with"))
-    cross = (
-        rest.select("key", F.col("node").alias("a"), "n", "label").join(other, "key")
-        .where((F.col("a") < F.col("b")) & (F.col("label") != F.col("with"))
-               & (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent))
-        .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    )
-    cross = cut(_possible(cross, bitmaps, percent))
-    if not cross.isEmpty():
-        more = cut(_verified(docs, classes, cross, words, percent))
-        labels = components(links.union(more))
+        if not more.isEmpty():
+            labels = components(links)
+        elif step:
+            break
+    if size:
+        other = rest.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("most").alias("far"),
+                            F.col("label").alias("with"))
+        cross = rest.withColumnRenamed("node", "a").join(other, "key").where(
+            (F.col("a") < F.col("b")) & (F.col("label") != F.col("with"))
+            & (F.col("m") <= F.col("most")) & (F.col("n") <= F.col("far"))
+        ).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        more = cut(_verified(docs, classes, cut(_possible(cross, bitmaps, percent)), words, percent))
+        if not more.isEmpty():
+            labels = components(links.union(more))
 
     names = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = names.groupBy("label").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("parts"))
