@@ -232,41 +232,45 @@ def _frequent_table(docs: DataFrame, words: int, percent: int) -> tuple[np.ndarr
 
 
 def prefix_keys(tokens: np.ndarray, counts: np.ndarray, salt: np.uint64,
-                percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Index keys of one set, and its sub-list (from 1; 0: undivided) of each.
+                percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index keys of one set, its sub-list (from 1; 0: undivided) of each, and the reach of each.
 
-    ``counts`` are corpus counts of its tokens, 0 for rare ones.
+    ``counts`` are corpus counts of its tokens, 0 for rare ones.  Two sets that
+    first meet at a key share none of the i tokens before it (a pair key: but
+    its first one), which bounds the other's size as in ``reach``.  A pair of
+    sets too large for a key's reach either meets before it or is not similar.
     """
     n = len(tokens)
-    if n < 2:
-        return np.zeros(0, _U), np.zeros(0, np.int32)  # a one-token set is similar to its equals only
+    if n < 2:  # a one-token set is similar to its equals only
+        return np.zeros(0, _U), np.zeros(0, np.int32), np.zeros(0, np.int64)
     plain = n - int(_needed(n, percent)) + 1
     order = np.lexsort((tokens, counts))[:plain + 1]
-    made, parts = [], []
+    made, parts, far = [], [], []
 
-    def add(keys, count):
+    def add(keys, count, before):
         lists = (count // LIST + 1).astype(_U)
         made.append(keys)
         parts.append(np.where(lists > 1, _mix(keys ^ salt) % lists + _U(1), _U(0)).astype(np.int32))
+        far.append((n - before) * 100 // percent - before)
 
     if n > PAIRED * percent // 100:
         single = order[:plain]
-        add(_mix(tokens[single] + _U(1)), counts[single])
+        add(_mix(tokens[single] + _U(1)), counts[single], np.arange(len(single)))
     if n <= PAIRED:
         rare = order[counts[order] == 0]
-        add(_mix(tokens[rare] + _U(2)), counts[rare])
+        add(_mix(tokens[rare] + _U(2)), counts[rare], np.arange(len(rare)))
         often = order[counts[order] > 0]
         if len(often) > 1:
             a, b = np.triu_indices(len(often), 1)
             x, y = tokens[often[a]], tokens[often[b]]
             pair = _mix(_mix(np.minimum(x, y) + _U(3)) + np.maximum(x, y))
-            add(pair, np.minimum(counts[often[a]], counts[often[b]]))
-    return np.concatenate(made), np.concatenate(parts)
+            add(pair, np.minimum(counts[often[a]], counts[often[b]]), len(rare) + b - 1)
+    return np.concatenate(made), np.concatenate(parts), np.concatenate(far)
 
 
 def _index_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(row, doc_id, mark, tag, n, sig, bits, keys, parts): a number of the row, 128-bit and 64-bit
-    hash of the text, set size, 128-bit digest and bitmap of the set, index keys, their sub-lists."""
+    """(row, doc_id, mark, tag, n, sig, bits, keys, parts, far): a number of the row, 128-bit and 64-bit
+    hash of the text, set size, 128-bit digest and bitmap of the set, index keys, their sub-lists and reach."""
     table = docs.sparkSession.sparkContext.broadcast(_frequent_table(docs, words, percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,14 +284,15 @@ def _index_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 if len(often):
                     at = np.minimum(np.searchsorted(often, joined), len(often) - 1)
                     counts = np.where(often[at] == joined, often_n[at], 0)
-                sigs, keys, parts, bits, begin = [], [], [], [], 0
+                sigs, keys, parts, fars, bits, begin = [], [], [], [], [], 0
                 for s in sets:
                     sig = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                     sigs.append(sig)
                     bits.append(bitmap(s))
-                    key, part = prefix_keys(s, counts[begin:begin + len(s)], np.frombuffer(sig, _U)[0], percent)
+                    key, part, far = prefix_keys(s, counts[begin:begin + len(s)], np.frombuffer(sig, _U)[0], percent)
                     keys.append(key)
                     parts.append(part)
+                    fars.append(far)
                     begin += len(s)
                 offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
@@ -295,25 +300,25 @@ def _index_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(sigs, pa.binary()), pa.array(bits, pa.binary()),
                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys).view(np.int64))),
-                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts)))],
-                    names=["doc_id", "mark", "tag", "n", "sig", "bits", "keys", "parts"])
+                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts))),
+                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(fars)))],
+                    names=["doc_id", "mark", "tag", "n", "sig", "bits", "keys", "parts", "far"])
 
     return docs.select(
         "doc_id", "text", fingerprint(F.col("text")).alias("mark"), F.xxhash64("text").alias("tag")).mapInArrow(
-        run, "doc_id long, mark string, tag long, n long, sig binary, bits binary, keys array<long>, parts array<int>"
+        run, "doc_id long, mark string, tag long, n long, sig binary, bits binary, keys array<long>, parts array<int>, far array<long>"
     ).withColumn("row", F.monotonically_increasing_id())
 
 
-def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Postings sorted by (key, part) -> comparisons (key null) and the postings of long or divided lists (b null)."""
-    def emit(key, a, b, n):
+    def emit(key, a, b, far):
         return pa.RecordBatch.from_arrays(
-            [pa.array(key, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())],
-            names=["key", "a", "b", "n"])
+            [pa.array(key, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(far, pa.int64())],
+            names=["key", "a", "b", "far"])
 
-    def pairs(node, n, i, j):
-        small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-        fit = (node[i] != node[j]) & (small * 100 >= percent * large)
+    def pairs(node, n, far, i, j):
+        fit = (node[i] != node[j]) & (n[i] <= far[j]) & (n[j] <= far[i])
         i, j = i[fit], j[fit]
         a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
         none = pa.nulls(len(a), pa.int64())
@@ -322,7 +327,7 @@ def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
     def starts(key, part):
         return np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]))))
 
-    def work(key, part, node, n):
+    def work(key, part, node, n, far):
         begin = starts(key, part)
         size = np.diff(np.append(begin, len(key)))
         own = np.repeat(size, size)
@@ -333,15 +338,15 @@ def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
             i = i[(key[i] == key[i + d]) & (part[i] == part[i + d])]
             left.append(i)
             right.append(i + d)
-        yield pairs(node, n, np.concatenate(left), np.concatenate(right))
+        yield pairs(node, n, far, np.concatenate(left), np.concatenate(right))
         later = np.flatnonzero((own <= SHORT) & (part > 0))  # to meet the key's other sub-lists
-        yield emit(key[later], node[later], pa.nulls(len(later), pa.int64()), n[later])
+        yield emit(key[later], node[later], pa.nulls(len(later), pa.int64()), far[later])
         long = np.flatnonzero(own > SHORT)
-        yield emit(key[long], node[long], pa.nulls(len(long), pa.int64()), n[long])
+        yield emit(key[long], node[long], pa.nulls(len(long), pa.int64()), far[long])
 
     held = None
     for batch in batches:
-        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "part", "node", "n")]
+        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "part", "node", "n", "far")]
         held = cols if held is None else [np.concatenate(p) for p in zip(held, cols)]
         whole = int(starts(*held[:2])[-1]) if len(held[0]) else 0  # the last list may go on
         if whole:
@@ -490,12 +495,12 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         F.monotonically_increasing_id().alias("node"), "sig", F.col("first.doc_id").alias("rep"),
         F.col("first.row").alias("row"), F.col("first.tag").alias("tag"), "n", "copies"))
     # the class's first row stands for all its copies
-    one = index.select("row", "n", "keys", "parts").join(classes.select("row", "node"), "row")
+    one = index.select("row", "n", "keys", "parts", "far").join(classes.select("row", "node"), "row")
     bitmaps = index.select("row", "n", "bits").join(classes.select("row", "node"), "row").select("node", "n", "bits")
-    postings = one.select(F.explode(F.arrays_zip("keys", "parts")).alias("p"), "node", "n").select(
-        F.col("p.keys").alias("key"), F.col("p.parts").alias("part"), "node", "n")
+    postings = one.select(F.explode(F.arrays_zip("keys", "parts", "far")).alias("p"), "node", "n").select(
+        F.col("p.keys").alias("key"), F.col("p.parts").alias("part"), "node", "n", F.col("p.far").alias("far"))
     (postings.repartition("key", "part").sortWithinPartitions("key", "part")
-     .mapInArrow(lambda batches: _lists(batches, percent), "key long, a long, b long, n long")
+     .mapInArrow(_lists, "key long, a long, b long, far long")
      .write.parquet(list_path))
     lists = spark.read.parquet(list_path)
 
@@ -504,9 +509,9 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     links = cut(_verified(docs, classes, cut(_possible(tried, bitmaps, percent)), words, percent))
     labels = components(links)
     # long lists: what is still in different components, whatever its sub-list
-    posted = lists.where(F.col("key").isNotNull()).select(F.col("key").cast("string").alias("key"), F.col("a").alias("node"))
+    posted = lists.where(F.col("key").isNotNull()).select(F.col("key").cast("string").alias("key"), F.col("a").alias("node"), "far")
     able = cut(reach(docs, classes, posted.select("node").distinct(), words, percent))
-    long_lists = posted.join(able, "node")
+    long_lists = posted.join(able, "node").withColumn("most", F.least("most", "far")).drop("far")
     for step in range(ROUNDS + 1):
         rest = cut(_still_apart(long_lists.join(labels, "node", "left").withColumn(
             "label", F.coalesce("label", "node"))))
