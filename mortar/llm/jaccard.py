@@ -18,8 +18,10 @@ Only components are asked for, so a key's documents are not expanded into
 all pairs.  A short list is compared pair by pair.  The documents of long lists
 are first tested alone: a token that no other document of any long list holds
 cannot be shared, and so many of them leave room only for partners up to a
-certain size, or for none (``reach``).  What can still link is compared with
-one document of the list, the one with the least of such tokens first, in a few
+certain size, or for none (``reach``); so does the number of tokens before the
+key in the global order, since two sets that first meet there share none of
+them.  What can still link is compared with one document of the list, the one
+with the least of such tokens first, in a few
 rounds where many pairs would be left; then those documents of a list that are
 in different components and within each other's reach are compared, all of them.
 

@@ -144,3 +144,40 @@ def test_bitmaps_bound_the_overlap():
         bound = jaccard.at_most(jaccard.bitmap(x), len(x), jaccard.bitmap(y), len(y))
         assert bound >= len(np.intersect1d(x, y))
     assert jaccard.at_most(jaccard.bitmap(x), len(x), jaccard.bitmap(x), len(x)) == len(x)
+
+
+@pytest.mark.parametrize("hot", [0, 3])
+def test_similar_sets_meet_at_a_key_that_reaches_both(hot):
+    made = np.random.default_rng(11 + hot)
+    for _ in range(400):
+        n = int(made.integers(2, 130))
+        base = made.integers(0, 1 << 63, n).astype(np.uint64)
+        sets = []
+        for _ in range(2):
+            own = made.integers(0, 1 << 63, int(made.integers(0, n // 6 + 1))).astype(np.uint64)
+            sets.append(np.unique(np.concatenate([base[made.random(n) > made.random() / 6], own])))
+        x, y = sets
+        same = len(np.intersect1d(x, y))
+        found = [{}, {}]
+        for s, out in zip(sets, found):
+            keys, _, far = jaccard.prefix_keys(s, (s % np.uint64(4)).astype(np.int64) * hot, np.uint64(7))
+            out.update(zip(keys.tolist(), far.tolist()))
+        meet = any(len(y) <= found[0][k] and len(x) <= found[1][k] for k in found[0].keys() & found[1].keys())
+        if min(len(x), len(y)) > 1 and 100 * same >= 80 * (len(x) + len(y) - same) and not np.array_equal(x, y):
+            assert meet
+
+
+def test_groups_of_edited_copies_against_brute_force(docs_of):
+    made = random.Random(3)
+    texts = []
+    for length in (60, 150):
+        base = [f"b{made.randrange(10 ** 6)}" for _ in range(length)]
+        for _ in range(60):  # from few edits to so many that a copy links with none or few
+            copy = list(base)
+            for _ in range(made.randrange(length // 18)):
+                copy[made.randrange(len(copy))] = f"e{made.randrange(10 ** 6)}"
+            if made.random() < 0.4:
+                del copy[made.randrange(len(copy))]
+            texts.append(" ".join(copy))
+    rows = [*enumerate(texts), *[(None, t + " end") for t in texts[:10]], *[(4, texts[4])] * 3]
+    assert got(docs_of([t for _, t in rows], [i for i, _ in rows])) == brute(rows)
