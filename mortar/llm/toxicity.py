@@ -1,11 +1,12 @@
 """Toxicity by a weighted grammar of finite-state transducers.
 
-A lexicon transducer turns words into symbols (insult, threat, target,
-negation, report); five small machines read the symbols of a clause and are
-composed into one: what counts is a clause in which an insult or a threat is
-completed, weighted up when it is aimed at a target nearby, and down under
-negation or reported speech.  A document's score is a logistic function of
-its matched clauses, never of single words outside one.
+A lexicon transducer turns words into weighted symbols (insult, threat,
+target, negation, report).  Its output goes through a composition of three
+transducers: negation and reported speech weigh the insults and threats in
+their scope down, and the clause grammar accepts insults and threats with
+their target (``clauses``).  A document's score is a logistic function of its
+accepted clauses; a threat word that is aimed at nobody ("kill the process")
+is none.
 
 Insult words and stems are learnt from labelled rows (at most ``TRAIN_ROWS``):
 terms whose distinct contexts lie almost all in toxic documents, so that many
@@ -57,51 +58,107 @@ SHARE_OF_STEM = 0.9
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 CLAUSE = re.compile(r"[.!?;:\n\r]+")
 PLAIN, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
-LABELS = ("insult", "aimed insult", "threat", "aimed threat")
-NEGATED, REPORTED = 0.4, 0.6
-
-
-class Machine:
-    """A transducer over symbols: (state, symbol) -> (state, output)."""
-
-    def __init__(self, start: int, arcs):
-        self.start, self.arcs = start, arcs
-
-
-def within(symbol: int, reach: int) -> Machine:
-    """Outputs how long ago ``symbol`` was seen: 1 while it is within ``reach`` words."""
-    def arcs(state, seen):
-        state = reach if seen == symbol else max(state - 1, 0)
-        return state, int(state > 0)
-    return Machine(0, arcs)
-
-
-def since(symbol: int) -> Machine:
-    """Outputs 1 from ``symbol`` to the end of the clause."""
-    def arcs(state, seen):
-        state = 1 if seen == symbol else state
-        return state, state
-    return Machine(0, arcs)
-
-
-def event(symbol: int) -> Machine:
-    return Machine(0, lambda state, seen: (0, int(seen == symbol)))
-
-
-class Composition:
-    """The machines run side by side as one; its arcs are tabled as they are met."""
-
-    def __init__(self, machines: list[Machine]):
-        self.machines = machines
-        self.start = tuple(m.start for m in machines)
-        self.table: dict = {}
-
-    def step(self, state: tuple, symbol: int) -> tuple[tuple, tuple]:
-        key = (state, symbol)
-        if key not in self.table:
-            moves = [m.arcs(s, symbol) for m, s in zip(self.machines, state)]
-            self.table[key] = tuple(m[0] for m in moves), tuple(m[1] for m in moves)
-        return self.table[key]
+LABELS = ("insult", "aimed insult", "aimed threat")
+BARE_INSULT, AIMED_INSULT, AIMED_THREAT = range(3)
+AIMED, NEGATED, REPORTED = 1.5, 0.4, 0.6
+# Words between which a target is near, and words that a negation weighs down.
+REACH, NEGATION_REACH = 3, 2
+TABLE = 100_000
+
+
+class Transducer:
+    """Finite-state: ``arcs(state, symbol)`` gives (state, outputs), ``end(state)`` the outputs at the end of a clause."""
+
+    def __init__(self, start, arcs, end=lambda state: ()):
+        self.start, self.arcs, self.end = start, arcs, end
+
+
+def scope(opener: int, reach: int | None, factor: float) -> Transducer:
+    """Weighs insults and threats down by ``factor`` for ``reach`` words (None: the whole clause) after ``opener``."""
+    def arcs(left, symbol):
+        kind, weight = symbol
+        if kind == opener:
+            return reach or 1, ((PLAIN, 0.0),)
+        if left and kind in (INSULT, THREAT):
+            symbol = kind, weight * factor
+        return (left if reach is None else max(left - 1, 0)), (symbol,)
+    return Transducer(0, arcs)
+
+
+def clauses() -> Transducer:
+    """Accepts the clauses that count; outputs (label, weight) of each.
+
+    An insult or a threat is aimed when a target, or for a threat also an
+    insult, stands within ``REACH`` words on either side.  Accepting: aimed
+    insult, aimed threat, and the insult without a target (a call, a verdict).
+    A threat word that is aimed at nobody is no clause.
+
+    State: words for which the last target, the last insult are still near,
+    and the insults and threats that wait for one.
+    """
+    def bare(waiting):
+        return tuple((BARE_INSULT, w) for kind, w, _ in waiting if kind == INSULT)
+
+    def arcs(state, symbol):
+        target, insult, waiting = state
+        kind, weight = symbol
+        out = ()
+        if kind == TARGET:
+            out = tuple((AIMED_THREAT if k == THREAT else AIMED_INSULT, w * AIMED) for k, w, _ in waiting)
+            waiting = ()
+        elif kind == INSULT:
+            out = tuple((AIMED_THREAT, w * AIMED) for k, w, _ in waiting if k == THREAT)
+            waiting = tuple(x for x in waiting if x[0] == INSULT)
+        over = tuple(x for x in waiting if x[2] == 1)
+        waiting = tuple((k, w, left - 1) for k, w, left in waiting if left > 1)
+        out += bare(over)
+        if kind == INSULT and target:
+            out += ((AIMED_INSULT, weight * AIMED),)
+        elif kind == THREAT and (target or insult):
+            out += ((AIMED_THREAT, weight * AIMED),)
+        elif kind in (INSULT, THREAT):
+            waiting += ((kind, weight, REACH),)
+        target = REACH if kind == TARGET else max(target - 1, 0)
+        insult = REACH if kind == INSULT else max(insult - 1, 0)
+        return (target, insult, waiting), out
+
+    return Transducer((0, 0, ()), arcs, lambda state: bare(state[2]))
+
+
+def compose(first: Transducer, then: Transducer) -> Transducer:
+    """What ``first`` puts out is what ``then`` reads; a state is a pair of theirs."""
+    def read(state, symbols):
+        out = []
+        for symbol in symbols:
+            state, made = then.arcs(state, symbol)
+            out += made
+        return state, out
+
+    def arcs(state, symbol):
+        a, middle = first.arcs(state[0], symbol)
+        b, out = read(state[1], middle)
+        return (a, b), tuple(out)
+
+    def end(state):
+        b, out = read(state[1], first.end(state[0]))
+        return (*out, *then.end(b))
+
+    return Transducer((first.start, then.start), arcs, end)
+
+
+def tabled(machine: Transducer) -> Transducer:
+    """``machine`` with its arcs kept as they are met, at most ``TABLE`` of them."""
+    table: dict = {}
+
+    def arcs(state, symbol):
+        found = table.get((state, symbol))
+        if found is None:
+            if len(table) >= TABLE:
+                table.clear()
+            found = table[state, symbol] = machine.arcs(state, symbol)
+        return found
+
+    return Transducer(machine.start, arcs, machine.end)
 
 
 class Grammar:
@@ -115,8 +172,8 @@ class Grammar:
         self.lengths = sorted({len(s) for s in self.stems})
         anchors = [w for w, (s, _) in self.words.items() if s in (INSULT, THREAT)] + list(self.stems)
         self.heads = {a[:3] for a in anchors}
-        self.machine = Composition(
-            [event(INSULT), event(THREAT), within(TARGET, 4), within(NEGATION, 3), since(REPORT)])
+        self.machine = tabled(compose(
+            scope(NEGATION, NEGATION_REACH, NEGATED), compose(scope(REPORT, None, REPORTED), clauses())))
 
     def symbol(self, word: str) -> tuple[int, float]:
         found = self.words.get(word)
@@ -129,16 +186,12 @@ class Grammar:
         return PLAIN, 0.0
 
     def clause(self, words: list[str]) -> list[tuple[int, float]]:
-        """(label, weight) of the insults and threats that the clause completes."""
-        machine, state, out = self.machine, self.machine.start, []
-        symbols = [self.symbol(w) for w in words]
-        for at, (symbol, weight) in enumerate(symbols):
-            state, (insult, threat, aimed, negated, reported) = machine.step(state, symbol)
-            if insult or threat:
-                aimed = aimed or any(s == TARGET for s, _ in symbols[at + 1:at + 4])
-                weight *= (1.5 if aimed else 1.0) * (NEGATED if negated else 1) * (REPORTED if reported else 1)
-                out.append((2 * threat + bool(aimed), weight))
-        return out
+        """(label, weight) of what the grammar accepts in the clause."""
+        state, found = self.machine.start, []
+        for word in words:
+            state, out = self.machine.arcs(state, self.symbol(word))
+            found += out
+        return [*found, *self.machine.end(state)]
 
     def features(self, text: str) -> list[float]:
         """Summed weight by label, the heaviest clause, and matches per hundred words (logs)."""
@@ -258,7 +311,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float =
 
 
 # Where there is nothing to fit on: any matched clause passes the threshold.
-DEFAULT_WEIGHTS = [1.0, 1.5, 1.0, 2.0, 1.0, 0.5, -3.0]
+DEFAULT_WEIGHTS = [1.0, 1.5, 2.0, 1.0, 0.5, -3.0]
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = TRAIN_ROWS) -> tuple[dict, list]:

@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -78,6 +79,34 @@ def test_grammar_scores_clauses():
     assert g.features("A fine day. Nothing else!")[:5] == [0, 0, 0, 0, 0]
 
 
+def test_grammar_against_enumerated_clauses():
+    """Every clause of up to six words over one word of each kind."""
+    g = Grammar({"idiot": 2.0})
+    for n in range(7):
+        for words in itertools.product("x idiot kill you not said".split(), repeat=n):
+            want = []
+            for i, word in enumerate(words):
+                if word not in ("idiot", "kill"):
+                    continue
+                near = [*words[max(i - 3, 0):i], *words[i + 1:i + 4]]
+                aimed = "you" in near or (word == "kill" and "idiot" in near)
+                weight = 2.0 * (0.4 if "not" in words[max(i - 2, 0):i] else 1) * (0.6 if "said" in words[:i] else 1)
+                if aimed:
+                    want.append((2 if word == "kill" else 1, weight * 1.5))
+                elif word == "idiot":
+                    want.append((0, weight))
+            found = g.clause(list(words))
+            assert sorted((k, round(w, 9)) for k, w in found) == sorted((k, round(w, 9)) for k, w in want), words
+
+
+def test_threats_need_a_target():
+    g = Grammar({"idiot": 2.0})
+    for text in ("Kill the process.", "Burn the file to disk; shoot a film", "kill. you", "hurt " * 1000):
+        assert g.features(text) == [0] * 5
+    assert g.features("I will hurt you")[2] > 0 and g.features("burn that idiot")[2] > 0
+    assert len(g.clause(["idiot"] * 5000)) == 5000
+
+
 def test_copies_of_one_toxic_text_teach_nothing(spark):
     made = random.Random(5)
     rows = [(" ".join(f"w{made.randint(0, 5000)}" for _ in range(30)), 0) for _ in range(400)]
