@@ -40,6 +40,7 @@ import sys
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
@@ -233,40 +234,84 @@ def plain_text(node: Node) -> str:
 
 
 def match_trees(a: list, b: list, pairs: list | None = None) -> int:
-    """Simple tree matching: size of the best order-preserving alignment; appends (a, b) node pairs."""
-    scores: dict[tuple[int, int], tuple[int, list]] = {}
+    """Simple tree matching: size of the best order-preserving alignment; appends (a, b) node pairs.
 
-    def score(x: list, y: list) -> int:
-        if x[0] != y[0]:
+    A score depends on the shapes of two subtrees (tags and their order) only,
+    so each pair of shapes is aligned once and equal shapes match whole.  Equal
+    shapes at both ends of two child lists are matched without a table, which
+    loses nothing: no partner fits a subtree better than its equal.  The table
+    of what lies between is filled by whole rows; two bits a cell are kept.
+    """
+    ids: dict[tuple, int] = {}
+    kinds: list[tuple] = []
+    sizes: list[int] = []
+    aligned: dict[tuple[int, int], tuple] = {}
+
+    def shapes(node: list, out: dict[int, int]) -> int:
+        key = node[0], tuple(shapes(child, out) for child in node[3])
+        if key not in ids:
+            ids[key] = len(kinds)
+            kinds.append(key)
+            sizes.append(1 + sum(sizes[k] for k in key[1]))
+        out[node[2]] = ids[key]
+        return ids[key]
+
+    def score(x: int, y: int) -> int:
+        if x == y:
+            return sizes[x]
+        if kinds[x][0] != kinds[y][0]:
             return 0
-        known = scores.get((x[2], y[2]))
-        if known:
-            return known[0]
-        p, q = x[3], y[3]
-        table = [[0] * (len(q) + 1) for _ in range(len(p) + 1)]
-        for i in range(1, len(p) + 1):
-            above, row = table[i - 1], table[i]
-            for j in range(1, len(q) + 1):
-                s = score(p[i - 1], q[j - 1])
-                row[j] = max(above[j], row[j - 1], above[j - 1] + s if s else 0)
-        scores[x[2], y[2]] = (table[-1][-1] + 1, table)
-        return table[-1][-1] + 1
+        if (x, y) not in aligned:
+            aligned[x, y] = align(kinds[x][1], kinds[y][1])
+        return aligned[x, y][0]
+
+    def align(p: tuple, q: tuple) -> tuple:
+        """(score, equal children at the begin, at the end, rows of the table between)."""
+        short, first, last = min(len(p), len(q)), 0, 0
+        while last < short and p[-1 - last] == q[-1 - last]:
+            last += 1
+        while first < short - last and p[first] == q[first]:
+            first += 1
+        whole = 1 + sum(sizes[k] for k in (*p[:first], *p[len(p) - last:]))
+        p, q = p[first:len(p) - last], q[first:len(q) - last]
+        if not p or not q:
+            return whole, first, last, []
+        different, place = np.unique(np.array(q), return_inverse=True)
+        different = different.tolist()
+        above, rows = np.zeros(len(q) + 1, np.int64), []
+        for k in p:
+            line = np.array([score(k, other) for other in different])[place]
+            both = np.where(line > 0, above[:-1] + line, 0)
+            row = np.maximum.accumulate(np.maximum(above[1:], both))
+            rows.append((np.packbits((line > 0) & (row == both)), np.packbits(row == above[1:])))
+            above[1:] = row
+        return whole + int(above[-1]), first, last, rows
+
+    def bit(bits: np.ndarray, at: int) -> bool:
+        return bool(bits[at >> 3] >> (7 - (at & 7)) & 1)
 
     def trace(x: list, y: list) -> None:
         pairs.append((x, y))
-        table = scores[x[2], y[2]][1]
-        i, j = len(x[3]), len(y[3])
-        while i and j:
-            s = score(x[3][i - 1], y[3][j - 1])
-            if s and table[i][j] == table[i - 1][j - 1] + s:
-                trace(x[3][i - 1], y[3][j - 1])
+        p, q, key = x[3], y[3], (in_a[x[2]], in_b[y[2]])
+        first, last, rows = (0, len(p), []) if key[0] == key[1] else aligned[key][1:]
+        i, j = len(p) - last, len(q) - last
+        for m, n in zip(reversed(p[i:]), reversed(q[j:])):
+            trace(m, n)
+        while i > first and j > first:
+            match, up = rows[i - first - 1]
+            if bit(match, j - first - 1):
                 i, j = i - 1, j - 1
-            elif table[i][j] == table[i - 1][j]:
+                trace(p[i], q[j])
+            elif bit(up, j - first - 1):
                 i -= 1
             else:
                 j -= 1
+        for m, n in zip(reversed(p[:first]), reversed(q[:first])):
+            trace(m, n)
 
-    best = score(a, b)
+    in_a: dict[int, int] = {}
+    in_b: dict[int, int] = {}
+    best = score(shapes(a, in_a), shapes(b, in_b))
     if best and pairs is not None:
         trace(a, b)
     return best

@@ -102,6 +102,52 @@ def test_tree_matching_keeps_order():
         (t, t) for t in ("#root", "div", "ul", "li", "p")]
 
 
+def test_matching_against_the_plain_recurrence():
+    import random
+    made = random.Random(8)
+
+    def tree(depth, count):
+        count[0] += 1
+        number = count[0]
+        children = [tree(depth - 1, count) for _ in range(made.randint(0, 4))] if depth else []
+        return [made.choice("pqr") if number > 1 else "root", "", number, children]
+
+    def plain(x, y):
+        if x[0] != y[0]:
+            return 0
+        table = [[0] * (len(y[3]) + 1) for _ in range(len(x[3]) + 1)]
+        for i, m in enumerate(x[3]):
+            for j, n in enumerate(y[3]):
+                s = plain(m, n)
+                table[i + 1][j + 1] = max(table[i][j + 1], table[i + 1][j], table[i][j] + s)
+        return table[-1][-1] + 1
+
+    def parents(node):
+        return {c[2]: node[2] for c in node[3]} | {k: v for c in node[3] for k, v in parents(c).items()}
+
+    for _ in range(400):
+        a, b, pairs = tree(4, [0]), tree(4, [0]), []
+        assert match_trees(a, b, pairs) == plain(a, b) == len(pairs)
+        up, over = parents(a), parents(b)
+        partner = {x[2]: y[2] for x, y in pairs}
+        assert all(x[0] == y[0] for x, y in pairs) and len(set(partner.values())) == len(pairs)
+        assert all(partner[up[x]] == over[y] for x, y in partner.items() if x in up)
+        assert [partner[x] for x in sorted(partner)] == sorted(partner.values())
+
+
+def test_thousands_of_siblings_are_matched_quickly():
+    import time
+
+    def page(n, odd):
+        inside = "".join(f'<div id="c{i}"><p>{i}</p>{"<ul><li>x</ul>" if i % odd == 0 else ""}</div>' for i in range(n))
+        return skeleton(parse(f"<body>{inside}</body>"))
+    begun = time.time()
+    for a, b in ((page(10_000, 20_000), page(9_000, 20_000)), (page(4000, 7), page(4000, 5))):
+        pairs = []
+        assert match_trees(a, b, pairs) == len(pairs) > 8000
+    assert time.time() - begun < 15
+
+
 def test_whole_table_against_the_article_element(spark):
     import html
     import re
