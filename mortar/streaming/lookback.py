@@ -12,8 +12,11 @@ and changes no state (``late_rows`` lists them; a restatement belongs into
 ``restate``).  Lateness is judged per loan, not by a watermark over the stream,
 which would drop one loan's month because others are ahead.
 
-State is at most a dozen numbers per loan in Spark's state store; a task holds
-the rows of one loan and micro-batch, so cut a large backlog by
+State is at most a dozen numbers per loan in Spark's state store.  A call of
+the state function costs much more than a loan's rows, and a monthly tape has
+nearly every loan, so loans are grouped by a hash of their id into at most
+``BUCKETS`` groups, each with the states of its loans.  A task holds the rows
+of one bucket and micro-batch, so cut a large backlog by
 ``max_files_per_trigger`` or ``max_bytes_per_trigger``.
 """
 
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from itertools import groupby
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -39,7 +43,12 @@ CARRIED = ("LOAN_ID", "ACT_DTE", "LOAN_AGE", "DLQ_STATUS", "MOD_FLAG", "ZB_CODE"
 ORDER = ("ACT_DTE", "LOAN_AGE", "DLQ_STATUS", "ZB_CODE", "MOD_FLAG", "LAST_UPB")
 OUTPUT = ("LOAN_ID string, ACT_DTE date, LOAN_AGE int, DLQ_STATUS int, MOD_FLAG string, ZB_CODE string, LAST_UPB double, "
           "DLQ_LAG int, DLQ_LAGs12 array<int>, FIRST_MOD boolean, FIRST_90D boolean, LATE boolean")
-STATE = "last date, statuses array<int>, modified boolean, serious boolean"
+# the loans of a bucket, in the same order in each array
+STATE = ("loans array<string>, last array<date>, statuses array<array<int>>, modified array<boolean>, "
+         "serious array<boolean>")
+# Groups of the state function; a checkpoint keeps the number it began with.
+BUCKETS = 8192
+_UNSEEN = (None, [], False, False)
 
 
 def _step(rows: list[dict], state: tuple, look_back: int, serious_from: int) -> tuple[list[dict], tuple]:
@@ -69,15 +78,19 @@ def lookback_stream(stream: DataFrame, look_back: int = LOOK_BACK) -> DataFrame:
 
         rows = []
         for frame in frames:
+            frame = frame[list(CARRIED)]
             plain = frame.astype(object).where(frame.notna(), None)
             rows += plain.to_dict("records")
         for r in rows:
             for c in ("LOAN_AGE", "DLQ_STATUS"):
                 r[c] = None if r[c] is None else int(r[c])
-        rows.sort(key=lambda r: tuple((r[c] is not None, 0 if r[c] is None else r[c]) for c in ORDER))
-        known = state.get if state.exists else (None, [], False, False)
-        out, after = _step(rows, known, look_back, serious_from)
-        state.update(after)
+        rows.sort(key=lambda r: (r["LOAN_ID"], *((r[c] is not None, 0 if r[c] is None else r[c]) for c in ORDER)))
+        states = {loan: known for loan, *known in zip(*state.get)} if state.exists else {}
+        out = []
+        for loan, own in groupby(rows, key=lambda r: r["LOAN_ID"]):
+            made, states[loan] = _step(list(own), states.get(loan, _UNSEEN), look_back, serious_from)
+            out += made
+        state.update((list(states), *map(list, zip(*states.values()))))
         made = pd.DataFrame(out, dtype=object)
         for c in ("LOAN_AGE", "DLQ_STATUS", "DLQ_LAG"):
             made[c] = made[c].astype("Int32")
@@ -88,8 +101,9 @@ def lookback_stream(stream: DataFrame, look_back: int = LOOK_BACK) -> DataFrame:
         made["LAST_UPB"] = made["LAST_UPB"].astype("Float64")
         yield made
 
-    rows = stream.where(F.col("LOAN_ID").isNotNull() & F.col("ACT_DTE").isNotNull()).select(*CARRIED)
-    return rows.groupBy("LOAN_ID").applyInPandasWithState(update, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
+    rows = stream.where(F.col("LOAN_ID").isNotNull() & F.col("ACT_DTE").isNotNull()).select(
+        *CARRIED, F.pmod(F.xxhash64("LOAN_ID"), F.lit(BUCKETS)).alias("bucket"))
+    return rows.groupBy("bucket").applyInPandasWithState(update, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def ingest_lookback(spark: SparkSession, source_dir: str, target_dir: str, checkpoint_dir: str,
