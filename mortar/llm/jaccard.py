@@ -105,7 +105,7 @@ class Shingler:
 
     def _powers(self, n: int) -> None:
         if len(self.power) < n:
-            n = max(n, 2 * CHUNK_BYTES)
+            n = max(n + n // 8, CHUNK_BYTES + CHUNK_BYTES // 8)
             for name, factor in (("power", self.base), ("inverse", self.back)):
                 steps = np.full(n, factor)
                 steps[0] = 1
@@ -121,7 +121,9 @@ class Shingler:
         begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         # prefix sums of letter values times powers: a word's sum, shifted back to its start
         sums = np.zeros(len(data) + 1, _U)
-        np.cumsum(self.letters[data] * self.power[:len(data)], out=sums[1:])
+        sums[1:] = self.letters[data]
+        sums[1:] *= self.power[:len(data)]
+        np.cumsum(sums, out=sums)
         hashes = _mix((sums[end] - sums[begin]) * self.inverse[begin] + (end - begin).astype(_U))
         stops = np.searchsorted(begin, np.cumsum(lengths))
         k, total = self.words, len(hashes)
@@ -376,7 +378,7 @@ def _possible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, set) of the given class nodes, from the texts of their first documents.
+    """(node, set: array of tokens) of the given class nodes, from the texts of their first documents.
 
     Texts are found by doc_id and hash, so many null or repeated doc_ids do not meet each other's classes.
     """
@@ -389,15 +391,17 @@ def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) ->
         shingler = Shingler(words)
         for batch in batches:
             for first, some in _chunks(batch):
-                made = [s.tobytes() for s in shingler.sets(some)]
+                made = shingler.sets(some)
                 # another text of the same hash is not the class's own
-                own = [hashlib.blake2b(m, digest_size=16).digest() == sig.as_py()
+                own = [hashlib.blake2b(m.tobytes(), digest_size=16).digest() == sig.as_py()
                        for m, sig in zip(made, batch.column("sig").slice(first, len(some)))]
+                offsets = np.concatenate(([0], np.cumsum([len(m) for m in made]))).astype(np.int32)
                 rows = pa.RecordBatch.from_arrays(
-                    [batch.column("node").slice(first, len(some)), pa.array(made, pa.binary())], names=["node", "set"])
+                    [batch.column("node").slice(first, len(some)),
+                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(made).view(np.int64)))], names=["node", "set"])
                 yield rows.filter(pa.array(own))
 
-    return texts.mapInArrow(sets, "node long, set binary")
+    return texts.mapInArrow(sets, "node long, set array<long>")
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -406,19 +410,12 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
     made = _sets(docs, classes, ends, words)
     left = made.select(F.col("node").alias("a"), F.col("set").alias("sa"))
     right = made.select(F.col("node").alias("b"), F.col("set").alias("sb"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fit = []
-            for sa, sb in zip(batch.column("sa"), batch.column("sb")):
-                x, y = np.frombuffer(sa.as_buffer(), _U), np.frombuffer(sb.as_buffer(), _U)
-                same = len(np.intersect1d(x, y, assume_unique=True))
-                fit.append(100 * same >= percent * (len(x) + len(y) - same))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["u", "v"]).filter(
-                pa.array(fit, pa.bool_()))
-
-    return both.select("a", "b", "sa", "sb").mapInArrow(compare, "u long, v long").distinct()
+    # in the JVM: thousands of whole sets a batch are too much for the Python workers beside it
+    both = pairs.select("a", "b").join(left, "a").join(right, "b").select(
+        "a", "b", F.size("sa").cast("long").alias("na"), F.size("sb").cast("long").alias("nb"),
+        F.size(F.array_intersect("sa", "sb")).cast("long").alias("same"))
+    return both.where(100 * F.col("same") >= percent * (F.col("na") + F.col("nb") - F.col("same"))).select(
+        F.col("a").alias("u"), F.col("b").alias("v")).distinct()
 
 
 def reach(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -429,14 +426,7 @@ def reach(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int, per
     set's size m.  Nodes that not even the smallest similar set could meet are
     left out.
     """
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("set")]
-            if sets:
-                node = np.repeat(batch.column("node").to_numpy(), [len(x) for x in sets])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets)), pa.array(node)], names=["token", "node"])
-
-    own = _sets(docs, classes, nodes, words).mapInArrow(tokens, "token long, node long").groupBy("token").agg(
+    own = _sets(docs, classes, nodes, words).select(F.explode("set").alias("token"), "node").groupBy("token").agg(
         F.min("node").alias("node"), F.max("node").alias("last")).where(F.col("node") == F.col("last")).groupBy(
         "node").agg(F.count(F.lit(1)).alias("own"))
     own_n = F.coalesce("own", F.lit(0))

@@ -181,3 +181,25 @@ def test_groups_of_edited_copies_against_brute_force(docs_of):
             texts.append(" ".join(copy))
     rows = [*enumerate(texts), *[(None, t + " end") for t in texts[:10]], *[(4, texts[4])] * 3]
     assert got(docs_of([t for _, t in rows], [i for i, _ in rows])) == brute(rows)
+
+
+def test_whole_sets_are_compared_without_python(spark):
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    words = [f"w{i}" for i in range(104)]  # 100 shingles
+    texts = [" ".join(words), " ".join(words[:94] + ["x"] * 10), " ".join(words[:74]), " ".join(words[:84]), "one"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sigs = [(i, hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+            for i, s in enumerate(Shingler().sets([t.encode() for t in texts]))]
+    classes = docs.join(spark.createDataFrame(sigs, "doc_id long, sig binary"), "doc_id").select(
+        (F.col("doc_id") + 10).alias("node"), F.col("doc_id").alias("rep"), F.xxhash64("text").alias("tag"), "sig")
+    pairs = spark.createDataFrame([(a, b) for a in range(10, 15) for b in range(a + 1, 15)], "a long, b long")
+    linked = jaccard._verified(docs, classes, pairs, jaccard.WORDS, jaccard.PERCENT)
+    sets = [shingles(t) for t in texts]
+    want = {(a, b) for a in range(5) for b in range(a + 1, 5)
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert {(r.u - 10, r.v - 10) for r in linked.collect()} == want and (0, 3) in want and (0, 2) not in want
+    text = linked._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("MapInArrow") == 2  # the sets of both sides; their comparison is an expression
