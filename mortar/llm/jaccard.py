@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_path
 from .components import components
-from .text import broadcast_if_small, cut, fingerprint, lookup
+from .text import broadcast_if_small, cut, fingerprint, lookup, small_batches
 
 # Workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -476,6 +476,11 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     ``mark`` tells texts apart, ``label`` components; a single document without copies has none.
     """
+    with small_batches(docs.sparkSession):
+        return _linked(docs, words, percent)
+
+
+def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     index_path, list_path = scratch_path(spark, "shingle-index"), scratch_path(spark, "shingle-lists")
     _index_rows(docs, words, percent).write.parquet(index_path)

@@ -203,3 +203,19 @@ def test_whole_sets_are_compared_without_python(spark):
     assert {(r.u - 10, r.v - 10) for r in linked.collect()} == want and (0, 3) in want and (0, 2) not in want
     text = linked._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("MapInArrow") == 2  # the sets of both sides; their comparison is an expression
+
+
+def test_texts_go_to_python_in_small_batches(spark, docs_of, monkeypatch):
+    from mortar.llm.text import ARROW_BYTES, _ARROW_CONF
+
+    before, seen = spark.conf.get(_ARROW_CONF), []
+    monkeypatch.setattr(jaccard, "cut", lambda df, real=jaccard.cut: (seen.append(spark.conf.get(_ARROW_CONF)), real(df))[1])
+    component_digest(docs_of([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x")])).collect()
+    assert seen and set(seen) == {str(ARROW_BYTES)} and spark.conf.get(_ARROW_CONF) == before
+    spark.conf.set(_ARROW_CONF, "4096")
+    try:
+        seen.clear()
+        component_digest(docs_of([(1, "a b")])).collect()
+        assert set(seen) == {"4096"}
+    finally:
+        spark.conf.set(_ARROW_CONF, before)
