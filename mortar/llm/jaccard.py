@@ -24,6 +24,7 @@ them.  What can still link is compared with one document of the list, the one
 with the least of such tokens first, in a few
 rounds where many pairs would be left; then those documents of a list that are
 in different components and within each other's reach are compared, all of them.
+A round takes up only what the one before has left of lists that have many pairs.
 
 Skew: equal sets are one class whatever their number; keys of tokens with
 very high corpus counts are dealt over several sub-lists for the first
@@ -436,11 +437,13 @@ def reach(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int, per
 
 
 def _still_apart(rows: DataFrame) -> DataFrame:
-    """The (key, node, n, most, label) of each list that another one of the list, of another component, may be similar to.
+    """The (key, node, n, most, label) of each list that another one of the list, of another component, may be similar to,
+    and the list's ``size`` so far.
 
     Two nodes may be similar if each one's size is in the other's reach.  Of
     two nodes that do not reach their own size one would have to be smaller
-    than the other and larger, so one of a pair does ("strong").
+    than the other and larger, so one of a pair does ("strong").  Components
+    only grow together: what is left out here need not be asked again.
     """
     strong = F.col("most") >= F.col("n")
     lists = cut(rows.groupBy("key").agg(
@@ -452,7 +455,19 @@ def _still_apart(rows: DataFrame) -> DataFrame:
     found = lookup(rows, lists, "key", "size", [F.col("node")]).where(F.col("size").isNotNull()).where(
         F.when(strong, apart | (F.coalesce("weak", F.lit(-1)) >= F.col("n"))).otherwise(
             (F.col("most") >= F.col("least")) & (apart | (F.col("label") != F.col("low")))))
-    return found.select("key", "node", "n", "most", "label")
+    return found.select("key", "node", "n", "most", "label", "size")
+
+
+def _pairs_left(rows: DataFrame) -> tuple[int, float]:
+    """Rows of the lists, and their pairs of different components (a pair counts in each of its lists)."""
+    size, pairs = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("own")).groupBy("key").agg(
+        F.sum("own").alias("size"), F.sum(F.col("own").cast("double") * F.col("own")).alias("within")).agg(
+        F.sum("size"), F.sum((F.col("size").cast("double") * F.col("size") - F.col("within")) / 2)).first()
+    return size or 0, pairs or 0.0
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
 def _with_hubs(rest: DataFrame, step: int) -> DataFrame:
@@ -493,7 +508,7 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
         F.col("first.row").alias("row"), F.col("first.tag").alias("tag"), "n", "copies"))
     # the class's first row stands for all its copies
     one = index.select("row", "n", "keys", "parts", "far").join(classes.select("row", "node"), "row")
-    bitmaps = index.select("row", "n", "bits").join(classes.select("row", "node"), "row").select("node", "n", "bits")
+    bitmaps = cut(index.select("row", "n", "bits").join(classes.select("row", "node"), "row").select("node", "n", "bits"))
     postings = one.select(F.explode(F.arrays_zip("keys", "parts", "far")).alias("p"), "node", "n").select(
         F.col("p.keys").alias("key"), F.col("p.parts").alias("part"), "node", "n", F.col("p.far").alias("far"))
     (postings.repartition("key", "part").sortWithinPartitions("key", "part")
@@ -508,15 +523,16 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     # long lists: what is still in different components, whatever its sub-list
     posted = lists.where(F.col("key").isNotNull()).select(F.col("key").cast("string").alias("key"), F.col("a").alias("node"), "far")
     able = cut(reach(docs, classes, posted.select("node").distinct(), words, percent))
-    long_lists = posted.join(able, "node").withColumn("most", F.least("most", "far")).drop("far")
+    rest = posted.join(able, "node").withColumn("most", F.least("most", "far")).drop("far")
+    later = None  # lists of at most PAIRS pairs a document wait for the end
     for step in range(ROUNDS + 1):
-        rest = cut(_still_apart(long_lists.join(labels, "node", "left").withColumn(
-            "label", F.coalesce("label", "node"))))
-        size, pairs = rest.groupBy("key", "label").agg(F.count(F.lit(1)).alias("own")).groupBy("key").agg(
-            F.sum("own").alias("size"), F.sum(F.col("own").cast("double") * F.col("own")).alias("within")).agg(
-            F.sum("size"), F.sum((F.col("size").cast("double") * F.col("size") - F.col("within")) / 2)).first()
+        found = cut(_still_apart(_labelled(rest, labels)))
+        left = later.unionByName(found) if step else found
+        size, pairs = _pairs_left(left)
         if step == ROUNDS or not size or pairs <= PAIRS * size:
             break
+        many = F.col("size") > 2 * PAIRS + 1
+        later, rest = left.where(~many), found.where(many).drop("size")
         met = cut(_possible(_with_hubs(rest, step).join(tried, ["a", "b"], "left_anti"), bitmaps, percent))
         more = cut(_verified(docs, classes, met, words, percent))
         tried, links = tried.union(met), links.union(more)
@@ -525,6 +541,7 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
         elif step:
             break
     if size:
+        rest = cut(_labelled(left, labels)) if step else left
         other = rest.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("most").alias("far"),
                             F.col("label").alias("with"))
         cross = rest.withColumnRenamed("node", "a").join(other, "key").where(

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 from operator import add
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -42,6 +43,8 @@ CACHE_SEGMENTS = 200_000
 CACHE_PARTS = 20_000
 CACHE_PAIRS = 150_000
 CACHE_CHARS = 48
+# Texts are encoded, and their rows sent on, in pieces of about this many bytes.
+PIECE_BYTES = 1 << 20
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -287,6 +290,18 @@ def _tokenizer(shared: dict) -> CachedTokenizer:
     return shared["tokenizer"]
 
 
+def small_pieces(batch: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in pieces whose texts hold about PIECE_BYTES; a longer text is one of its own."""
+    first, size = 0, 0
+    for row, n in enumerate(pc.binary_length(batch.column(text_at)).to_pylist()):
+        size += n or 0
+        if size >= PIECE_BYTES:
+            yield batch.slice(first, row + 1 - first)
+            first, size = row + 1, 0
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
 def encode_texts(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``docs`` plus ``ids`` (comma-joined decimal ids) and ``decoded``."""
     return _with_tokens(docs, path, {"ids": T.StringType(), "decoded": T.StringType()},
@@ -317,8 +332,9 @@ def _with_tokens(docs: DataFrame, path: str | None, columns: dict[str, T.DataTyp
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _tokenizer(vocabulary.value)
         for batch in batches:
-            rows = [make(*cache.both(t.as_py())) for t in batch.column(text_at)]
-            made = [pa.array([r[k] for r in rows], arrow[t]) for k, t in enumerate(columns.values())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[f.name for f in schema.fields])
+            for piece in small_pieces(batch, text_at):
+                rows = [make(*cache.both(t.as_py())) for t in piece.column(text_at)]
+                made = [pa.array([r[k] for r in rows], arrow[t]) for k, t in enumerate(columns.values())]
+                yield pa.RecordBatch.from_arrays([*piece.columns, *made], names=[f.name for f in schema.fields])
 
     return docs.select(*[F.col(f.name) for f in taken]).mapInArrow(run, schema)

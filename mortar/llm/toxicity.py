@@ -367,5 +367,7 @@ def toxicity_digest(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS)
 def keep_clean(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> DataFrame:
     """``docs`` without those that score THRESHOLD or more."""
     model = train(train_docs, labels, limit=limit)
-    scored = score_texts(docs.select(F.struct(*docs.columns).alias("_row"), "text"), model)
-    return scored.where(F.col("score") < THRESHOLD).select("_row.*")
+    others = [c for c in docs.columns if c != "text"]  # a text goes to Python once
+    scored = score_texts(docs.select(F.struct(*others).alias("_row"), "text"), model)
+    return scored.where(F.col("score") < THRESHOLD).select(
+        *["text" if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])

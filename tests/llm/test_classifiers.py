@@ -137,3 +137,11 @@ def test_the_sample_bound_holds_for_repeated_ids(spark, docs_of):
     assert len(rows) == 2
     assert sorted(rows) == sorted(
         training_rows(docs.repartition(5), labels, "quality", (5, 9), 2).collect())
+
+
+def test_a_text_goes_to_python_once(tables):
+    docs, labels = tables[:2]
+    plan = keep_clean(docs, docs, labels)._jdf.queryExecution().optimizedPlan().toString()
+    line = next(x for x in plan.splitlines() if "MapInArrow" in x)
+    below = plan[plan.index(line):].splitlines()[1]
+    assert below.count("text") == 1  # the column, and no field of the struct beside it

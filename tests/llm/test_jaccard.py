@@ -219,3 +219,26 @@ def test_texts_go_to_python_in_small_batches(spark, docs_of, monkeypatch):
         assert set(seen) == {"4096"}
     finally:
         spark.conf.set(_ARROW_CONF, before)
+
+
+def test_later_rounds_take_up_only_what_is_left_of_lists_with_many_pairs(docs_of, monkeypatch):
+    made = random.Random(5)
+    texts = []
+    for size in (6, 6, 6, 40):  # documents that share a passage, of which some are similar
+        passage = [f"p{size}x{len(texts)}w{i}" for i in range(70)]
+        for _ in range(size):
+            own = [f"o{made.randrange(10 ** 9)}" for _ in range(made.choice([4, 12, 20]))]
+            texts.append(" ".join(passage + own))
+    for name, value in (("SHORT", 2), ("PAIRS", 2), ("FREQUENT", 10 ** 6)):
+        monkeypatch.setattr(jaccard, name, value)
+    taken, found, real = [], [], jaccard._still_apart
+
+    def counted(rows):
+        taken.append(rows.count())
+        out = real(rows)
+        found.append((out.count(), out.groupBy("key").count().where(f"count > {2 * jaccard.PAIRS + 1}").agg({"count": "sum"}).first()[0] or 0))
+        return out
+
+    monkeypatch.setattr(jaccard, "_still_apart", counted)
+    assert got(docs_of(texts)) == brute(list(enumerate(texts)))
+    assert len(taken) > 1 and all(later <= many < first for later, (_, many), first in zip(taken[1:], found, taken))

@@ -1,9 +1,11 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 
+import mortar.llm.pieces as pieces
 from mortar.llm.pieces import CachedTokenizer, MergeTokenizer, encode_texts, model_path, read_model, token_digest
 
 EDGES = ["", " ", "  a  b ", "\ta\n b", "a▁b", "é́ ﬁ Ａ", "\x00x", "🤖 hi", "a\xa0b", "<s> </s> <unk>", "\n\n\n   x", "<0x41>",
@@ -54,3 +56,14 @@ def test_query_and_operator(library, docs_of, sf0001_docs):
     out = encode_texts(docs_of(["a b", None]).selectExpr("*", "5 AS ids"))
     assert {r.doc_id: (r.ids, r.decoded, r.lang) for r in out.collect()} == {
         0: (",".join(map(str, library.encode("a b"))), "a b", "en"), 1: ("", "", "en")}
+
+
+def test_rows_are_encoded_in_small_pieces(docs_of, monkeypatch):
+    monkeypatch.setattr(pieces, "PIECE_BYTES", 10)
+    texts = ["abcd", None, "", "ééé", "x" * 50, "y", "z" * 9, "w", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(texts)], names=["doc_id", "text"])
+    parts = [p.to_pydict() for p in pieces.small_pieces(batch, 1)]
+    assert [p["doc_id"] for p in parts] == [[0, 1, 2, 3], [4], [5, 6], [7, 8]]
+    assert [t for p in parts for t in p["text"]] == texts
+    out = encode_texts(docs_of(texts).coalesce(1)).collect()
+    assert [(r.doc_id, r.text, r.decoded) for r in out] == [(i, t, t or "") for i, t in enumerate(texts)]

@@ -54,3 +54,15 @@ def test_stages_on_an_empty_table(spark):
         assert out.count() == 0
         if name != corpus_pipeline.STAGES[-1][0]:
             assert out.columns == docs.columns
+
+
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    from mortar.llm.text import ARROW_BYTES, _ARROW_CONF
+
+    before, seen = spark.conf.get(_ARROW_CONF), []
+    real = corpus_pipeline.cut
+    monkeypatch.setattr(corpus_pipeline, "cut", lambda df: (seen.append(spark.conf.get(_ARROW_CONF)), real(df))[1])
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for stage in (corpus_pipeline.toxicity, corpus_pipeline.encoding):
+        stage(spark, docs, SF)
+    assert seen == [str(ARROW_BYTES)] * 2 and spark.conf.get(_ARROW_CONF) == before
