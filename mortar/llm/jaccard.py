@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import scratch_path
+from ..session import remove_path, scratch_path
 from .components import components
 from .text import broadcast_if_small, cut, fingerprint, lookup, small_batches
 
@@ -555,10 +555,12 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     names = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = names.groupBy("label").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("parts"))
     # single documents without links are their own component and need no lookup
-    grouped = names.join(least, "label").where((F.col("parts") > 1) | (F.col("copies") > 1)).select(
-        F.hex("sig").alias("sig"), "copies", "component_id", "label")
-    rows = index.select("doc_id", "mark", "n", F.hex("sig").alias("sig"))
-    found = lookup(rows, cut(grouped), "sig", "copies", [F.col("doc_id")])
+    grouped = cut(names.join(least, "label").where((F.col("parts") > 1) | (F.col("copies") > 1)).select(
+        F.hex("sig").alias("sig"), "copies", "component_id", "label"))
+    rows = cut(index.select("doc_id", "mark", "n", F.hex("sig").alias("sig")))
+    for path in (index_path, list_path):  # read by nothing from here on
+        remove_path(spark, path)
+    found = lookup(rows, grouped, "sig", "copies", [F.col("doc_id")])
     return found.select("doc_id", "mark", F.col("n").alias("n_shingles"),
                         F.coalesce("component_id", "doc_id").alias("component_id"), "label")
 

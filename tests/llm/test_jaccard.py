@@ -242,3 +242,13 @@ def test_later_rounds_take_up_only_what_is_left_of_lists_with_many_pairs(docs_of
     monkeypatch.setattr(jaccard, "_still_apart", counted)
     assert got(docs_of(texts)) == brute(list(enumerate(texts)))
     assert len(taken) > 1 and all(later <= many < first for later, (_, many), first in zip(taken[1:], found, taken))
+
+
+def test_the_index_is_removed_when_it_has_been_read(docs_of, monkeypatch):
+    import os
+
+    paths, real = [], jaccard.scratch_path
+    monkeypatch.setattr(jaccard, "scratch_path", lambda spark, label: (paths.append(real(spark, label)), paths[-1])[1])
+    out = jaccard.link_components(docs_of(["a b c d e f", "a b c d e f", "x"]))
+    assert len(paths) == 2 and not any(os.path.exists(p.removeprefix("file://").removeprefix("file:")) for p in paths)
+    assert sorted((r.doc_id, r.component_id) for r in out.collect()) == [(0, 0), (1, 0), (2, 2)]
