@@ -31,7 +31,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .labelled import held_out, training_rows
-from .text import cut
+from .text import broadcast_if_small, cut, fingerprint, small_batches
 
 # Workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -367,7 +367,9 @@ def toxicity_digest(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS)
 def keep_clean(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> DataFrame:
     """``docs`` without those that score THRESHOLD or more."""
     model = train(train_docs, labels, limit=limit)
-    others = [c for c in docs.columns if c != "text"]  # a text goes to Python once
-    scored = score_texts(docs.select(F.struct(*others).alias("_row"), "text"), model)
-    return scored.where(F.col("score") < THRESHOLD).select(
-        *["text" if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
+    # a score is the text's own, so the rejected texts tell the rows: these alone are written, in small batches
+    mark = fingerprint(F.coalesce("text", F.lit("")))
+    with small_batches(docs.sparkSession):
+        gone = cut(score_texts(docs.select("text"), model).where(F.col("score") >= THRESHOLD).select(
+            mark.alias("_text")).distinct())
+    return docs.join(broadcast_if_small(gone), mark == F.col("_text"), "left_anti")

@@ -139,9 +139,13 @@ def test_the_sample_bound_holds_for_repeated_ids(spark, docs_of):
         training_rows(docs.repartition(5), labels, "quality", (5, 9), 2).collect())
 
 
-def test_a_text_goes_to_python_once(tables):
+def test_texts_are_scored_in_small_batches(spark, tables, monkeypatch):
+    from mortar.llm import toxicity
+    from mortar.llm.text import ARROW_BYTES, _ARROW_CONF
+
+    before, seen, real = spark.conf.get(_ARROW_CONF), [], toxicity.cut
+    monkeypatch.setattr(toxicity, "cut", lambda df: (seen.append((spark.conf.get(_ARROW_CONF), df.columns)), real(df))[1])
     docs, labels = tables[:2]
     plan = keep_clean(docs, docs, labels)._jdf.queryExecution().optimizedPlan().toString()
-    line = next(x for x in plan.splitlines() if "MapInArrow" in x)
-    below = plan[plan.index(line):].splitlines()[1]
-    assert below.count("text") == 1  # the column, and no field of the struct beside it
+    assert seen[-1] == (str(ARROW_BYTES), ["_text"]) and spark.conf.get(_ARROW_CONF) == before
+    assert "MapInArrow" not in plan  # whole rows do not go to Python
