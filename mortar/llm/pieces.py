@@ -8,10 +8,9 @@ steps back where nothing fits, and marks the places it had to leave in a
 bitfield so that none is tried twice.
 
 A merge can only cross two characters that stand side by side in some piece.
-Texts are cut wherever they do not (before every run of blanks, between
-letters and most punctuation, around characters outside the vocabulary, which
-become byte pieces), and the encodings of short segments are kept in a
-bounded cache.
+Texts are cut where they do not: before every run of blanks, between
+letters and punctuation, around digits and characters outside the vocabulary
+(which become byte pieces), and in long runs between any two such characters.  The encodings of short segments are kept in a bounded cache.
 
 Spark deals the rows; each task holds the vocabulary (a fixed table read from
 the model file on the driver) and its cache, nothing else.
@@ -79,7 +78,7 @@ class MergeTokenizer:
         self.chars = {p for p in self.ids if len(p) == 1}
         self.matches = ahocorasick.Automaton()
         for p in self.ids:
-            self.matches.add_word(p, self.ids[p])
+            self.matches.add_word(p, (self.ids[p], len(p) - 1))
         self.matches.make_automaton()
         self.lengths = [len(p) for p in self.pieces]
         # the next option at a place: the longest piece that begins a piece, or -1
@@ -87,10 +86,32 @@ class MergeTokenizer:
                         for p in self.pieces]
         self.said = [p.replace(BLANK, " ") if k == "text" else "" for p, _, k in pieces]
         self.side_by_side = {a + b for p in self.ids for a, b in zip(p, p[1:])}
+        # runs of characters that pieces link with one another, and every other
+        # character by itself; all with the blanks before them, if a piece may hold both
+        shapes = [f"{BLANK}*[{re.escape(''.join(sorted(group)))}]+" for group in self.groups()]
+        single = "".join(sorted(b for a, b in self.side_by_side if a == BLANK != b))
+        shapes += [f"{BLANK}*[{re.escape(single)}]"] if single else []
+        self.runs = re.compile("|".join([*shapes, f"{BLANK}+", "."]), re.DOTALL)
+        self.numbers = [str(i) for i in range(len(self.pieces))]
+        self.stable: dict[int, bool] = {}  # by piece, at most one entry for each
         self.fits: dict[int, bool] = {}
         self.older_fits: dict[int, bool] = {}
         self.split = re.compile(" +[^ ]*")
 
+    def groups(self) -> list[set[str]]:
+        """Characters reachable from one another by standing side by side in pieces; those always alone are left out.
+
+        Blanks count for nothing here: they only begin a segment.
+        """
+        group = {c: {c} for c in self.chars if c != BLANK}
+        for a, b in sorted(self.side_by_side):
+            if a in group and b in group and group[a] is not group[b]:
+                small, large = sorted((group[a], group[b]), key=len)
+                large |= small
+                group.update(dict.fromkeys(small, large))
+        found = {id(g): g for c, g in group.items() if len(g) > 1 or c + c in self.side_by_side}
+        return sorted(found.values(), key=lambda g: (-len(g), min(g)))
+
     def merge(self, text: str) -> list[str]:
         """Plain merging: the best-scored adjacent pair first, leftmost on a tie."""
         parts, score = list(text), self.score.get
@@ -110,39 +131,42 @@ class MergeTokenizer:
         return parts
 
     def compatible(self, left: int, right: int) -> bool:
-        """Whether two tokens stay as they are when their characters are merged again (right -1: one token)."""
-        key = left << 32 | right & 0xFFFFFFFF
-        known = self.fits.get(key)
+        """Whether two tokens stay as they are when their characters are merged again; kept under ``fits``."""
+        key = left * len(self.pieces) + right
+        known = self.older_fits.get(key)
         if known is None:
-            known = self.older_fits.get(key)
-            if known is None:
-                pair = [self.pieces[left]] if right < 0 else [self.pieces[left], self.pieces[right]]
-                known = self.merge("".join(pair)) == pair
-            if len(self.fits) >= CACHE_PAIRS:
-                self.older_fits, self.fits = self.fits, {}
-            self.fits[key] = known
+            pair = [self.pieces[left], self.pieces[right]]
+            known = self.merge("".join(pair)) == pair
+        if len(self.fits) >= CACHE_PAIRS:
+            self.older_fits = dict(self.fits)
+            self.fits.clear()
+        self.fits[key] = known
+        return known
+
+    def merges(self, token: int) -> bool:
+        """Whether a token's characters merge to the token itself; kept under ``stable``."""
+        known = self.stable[token] = self.merge(self.pieces[token]) == [self.pieces[token]]
         return known
 
     def path(self, text: str) -> list[int]:
         """Ids of a text whose characters are all in the vocabulary."""
-        size, lengths, shorter = len(text), self.lengths, self.shorter
+        size, count, lengths, shorter = len(text), len(self.pieces), self.lengths, self.shorter
         longest = [0] * size
-        for end, i in self.matches.iter(text):  # by end, so the longest match from a place comes last
-            longest[end + 1 - lengths[i]] = i
-        fits, compatible = self.fits.get, self.compatible
-        failed = bytearray(size // 8 + 1)
-        stuck = False  # whether any place has failed
+        for end, (i, n) in self.matches.iter(text):  # by end, so the longest match from a place comes last
+            longest[end - n] = i
+        fits, stable = self.fits.get, self.stable.get
+        failed = None  # a bit for every place, once one has failed
         out: list[int] = []
         at, last, token = 0, -1, longest[0]
         while True:
             while token >= 0:
                 end = at + lengths[token]
-                if not (stuck and failed[end >> 3] >> (end & 7) & 1):
-                    if at:
-                        if fits(last << 32 | token) or compatible(last, token):
-                            break
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
                     # a first token must be what its own characters merge to
-                    elif end == 1 or compatible(token, -1):
+                    known = fits(last * count + token) if at else stable(token)
+                    if known is None:
+                        known = self.compatible(last, token) if at else self.merges(token)
+                    if known:
                         break
                 token = shorter[token]
             if token >= 0:
@@ -152,8 +176,9 @@ class MergeTokenizer:
                 at, last = end, token
                 token = longest[at]
             else:
+                if failed is None:
+                    failed = bytearray(size // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
-                stuck = True
                 left = out.pop()
                 at -= lengths[left]
                 last = out[-1] if out else -1
@@ -169,6 +194,13 @@ class MergeTokenizer:
         return [self.byte_ids.get(b, self.unknown) for b in text.encode("utf-8", "surrogatepass")]
 
     def cuts(self, text: str) -> list[str]:
+        """The text cut around the characters outside ``runs``, and its long runs between any two that never meet."""
+        parts = self.runs.findall(text)
+        if len(text) <= CACHE_CHARS:
+            return parts
+        return [p for part in parts for p in (self.cuts_between(part) if len(part) > CACHE_CHARS else [part])]
+
+    def cuts_between(self, text: str) -> list[str]:
         """The text cut between characters that no piece holds side by side."""
         side = self.side_by_side
         places = [i for i, pair in enumerate(map(add, text, text[1:]), 1) if pair not in side]
@@ -246,30 +278,36 @@ class CachedTokenizer:
         self.parts = Generations(self._part, CACHE_PARTS)
         self.whole = Generations(self._whole, CACHE_SEGMENTS)
 
-    def _part(self, part: str) -> tuple[str, str]:
-        ids = self.tokenizer.segment(part)
-        return ",".join(map(str, ids)), self.tokenizer.spell(ids)
+    def _part(self, part: str) -> str | tuple[str, str]:
+        tokenizer = self.tokenizer
+        ids = tokenizer.segment(part)
+        text = ",".join([tokenizer.numbers[i] for i in ids])
+        if part[0] in tokenizer.chars:  # the pieces of a path spell it
+            return text
+        said = tokenizer.spell(ids)
+        return text if said == part else (text, said)
 
-    def _first(self, part: str) -> tuple[str, str]:
+    def _first(self, part: str) -> str | tuple[str, str]:
         """The word before its punctuation, which is a segment of its own elsewhere."""
         word = part[1:]
+        if BLANK in word:
+            return self._part(part)
         entry = self.whole.known(word)
         if entry is None:
-            ids, said = self._part(part)
-            entry = ids if said == " " + word else (ids, said)
+            entry = self._part(part)
             self.whole.keep(word, entry)
-        return (entry, " " + word) if isinstance(entry, str) else entry
+        return entry
 
     def _whole(self, segment: str) -> str | tuple[str, str]:
-        first, *rest = self.tokenizer.cuts(BLANK + segment.replace(" ", BLANK))
-        if not rest:
-            ids, said = self._part(first)
-        else:
-            ids, said = self._part(first) if BLANK in first[1:] else self._first(first)
-            entries = [self.parts[p] for p in rest]
-            ids = ",".join([ids, *[e[0] for e in entries]])
-            said = "".join([said, *[e[1] for e in entries]])
-        return ids if said == " " + segment else (ids, said)
+        parts = self.tokenizer.cuts(BLANK + segment.replace(" ", BLANK))
+        if len(parts) == 1:
+            return self._part(parts[0])
+        entries = [self._first(parts[0]), *[self.parts[p] for p in parts[1:]]]
+        try:
+            return ",".join(entries)
+        except TypeError:  # some part does not decode to itself
+            pairs = [(e, p.replace(BLANK, " ")) if isinstance(e, str) else e for e, p in zip(entries, parts)]
+        return ",".join([p[0] for p in pairs]), "".join([p[1] for p in pairs])
 
     def both(self, text: str | None) -> tuple[str, str]:
         whole = self.whole

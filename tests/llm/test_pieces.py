@@ -67,3 +67,55 @@ def test_rows_are_encoded_in_small_pieces(docs_of, monkeypatch):
     assert [t for p in parts for t in p["text"]] == texts
     out = encode_texts(docs_of(texts).coalesce(1)).collect()
     assert [(r.doc_id, r.text, r.decoded) for r in out] == [(i, t, t or "") for i, t in enumerate(texts)]
+
+
+def test_cut_at_groups_of_characters(library, tokenizer):
+    made = random.Random(3)
+    for _ in range(1500):
+        text = "".join(made.choice(["the", "qzx", "─", "ГДЕж", "據据数", "и", "5", "№", "£", " ", "  ", "▁", ",", '."', "…", "🤖", "\n",
+                                    "é", "ß", "\r", "́"]) for _ in range(made.randint(1, 40)))
+        assert tokenizer.encode(text) == library.encode(text), text
+        assert CachedTokenizer(tokenizer).both(text)[1] == library.decode(library.encode(text))
+    pieces = [p for p in tokenizer.ids if len(p) > 1 and "▁" not in p[1:]]  # no piece may be cut
+    assert not [p for p in pieces if len(tokenizer.cuts(p)) > 1]
+    for text in ["▁word,", "▁(word).", "▁▁x\ny", "▁12", "qz" * 40 + ",5"]:
+        parts = tokenizer.cuts(text)
+        assert "".join(parts) == text
+        assert not {a[-1] + b[0] for a, b in zip(parts, parts[1:])} & tokenizer.side_by_side
+    assert tokenizer.cuts("▁word,") == ["▁word", ","]
+    assert tokenizer.cuts("▁12") == ["▁", "1", "2"]
+    assert tokenizer.cuts("a──") == ["a", "──"]
+
+
+def test_known_pairs_are_not_merged_or_looked_up_again(monkeypatch):
+    tokenizer = MergeTokenizer(read_model(model_path()))
+    made = random.Random(4)
+    words = ["▁" + "".join(made.choice("abcdehilnorstu") for _ in range(12)) for _ in range(300)]
+    first = [tokenizer.path(w) for w in words]
+    assert False in tokenizer.fits.values()
+
+    def asked(*_):
+        raise AssertionError("a known pair was asked again")
+    monkeypatch.setattr(tokenizer, "compatible", asked)
+    monkeypatch.setattr(tokenizer, "merge", asked)
+    assert [tokenizer.path(w) for w in words] == first
+
+
+def test_full_caches(library, monkeypatch):
+    for name in ("CACHE_PAIRS", "CACHE_PARTS", "CACHE_SEGMENTS"):
+        monkeypatch.setattr(pieces, name, 3)
+    cached = CachedTokenizer(MergeTokenizer(read_model(model_path())))
+    made = random.Random(5)
+    for _ in range(300):
+        text = "".join(made.choice("abehnorst ,.\n5é🤖") for _ in range(made.randint(1, 40)))
+        ids = library.encode(text)
+        assert cached.both(text) == (",".join(map(str, ids)), library.decode(ids))
+    assert len(cached.tokenizer.fits) <= 3 and len(cached.whole) <= 3 and len(cached.parts) <= 3
+
+
+def test_entries_of_texts_that_decode_to_themselves_are_ids_alone(tokenizer):
+    cached = CachedTokenizer(tokenizer)
+    for text in ["word", "word,", "word.\nNext", "5🤖x", "(a"]:
+        cached.both(text)
+        assert isinstance(cached.whole[text], str), text
+    assert all(isinstance(e, str) for e in cached.parts.values())
